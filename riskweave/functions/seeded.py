@@ -1,0 +1,69 @@
+"""Random draws that are functions of a row's id.
+
+A draw depends on seed, purpose and id only. It is the same whatever the
+partitioning, however often it is evaluated and on whichever executor, so random
+columns need neither be stored nor protected from re-evaluation.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_DIGITS = 13  # hexadecimal digits of a draw: 52 bits, exact in a double
+_SCALE = float(16**_DIGITS)
+
+
+def uniform(seed: int, purpose: str, *ids: Column | str) -> Column:
+    """Uniform on [0, 1)."""
+    parts = [F.lit(f"{seed}:{purpose}"), *[_column(i).cast("string") for i in ids]]
+    digest = F.md5(F.concat_ws(":", *parts))
+    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") / _SCALE
+
+
+def between(low: float, high: float, draw: Column) -> Column:
+    return F.lit(float(low)) + draw * F.lit(float(high - low))
+
+
+def whole(low: int, high: int, draw: Column) -> Column:
+    """Whole number from low up to, not including, high."""
+    return (F.floor(draw * F.lit(high - low)) + low).cast("bigint")
+
+
+def normal(draw_a: Column, draw_b: Column) -> Column:
+    """Standard normal from two uniform draws."""
+    radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - draw_a))
+    return radius * F.cos(F.lit(2 * math.pi) * draw_b)
+
+
+def exponential(scale: float, draw: Column) -> Column:
+    return F.lit(-float(scale)) * F.ln(F.lit(1.0) - draw)
+
+
+def poisson_steps(rate: float) -> list[float]:
+    """Cumulative probabilities of 0, 1, 2, ... up to where doubles reach one."""
+    steps, term, total, k = [], math.exp(-rate), 0.0, 0
+    while total + term > total and total + term < 1.0 or k <= rate:
+        total += term
+        steps.append(total)
+        k += 1
+        term *= rate / k
+    return steps
+
+
+def poisson(rate: float, draw: Column) -> Column:
+    """Poisson count: how many cumulative probabilities the draw has reached."""
+    steps = F.array(*[F.lit(step) for step in poisson_steps(rate)])
+    return F.size(F.filter(steps, lambda step: step <= draw)).cast("bigint")
+
+
+def pick(options: list[str], draw: Column) -> Column:
+    """One of the options, all equally likely."""
+    choices = F.array(*[F.lit(option) for option in options])
+    return F.element_at(choices, (F.floor(draw * len(options)) + 1).cast("int"))
+
+
+def _column(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value

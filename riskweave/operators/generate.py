@@ -1,0 +1,247 @@
+"""Seeded generators for the four source tables.
+
+Each takes the ids it should describe as a frame, so its work is spread like
+that frame; the functions with counts start from ``spark.range``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave.functions import seeded
+from riskweave.functions.columns import CATEGORY_RISK, category_risk
+from riskweave.operators.ordered import dense_key, running_sum
+from riskweave.sources.tables import write_source
+
+SEED = 42
+# Defaults and distributions of the generated data.
+FIRST_CUSTOMER, CUSTOMERS = 1001, 1000
+FIRST_MERCHANT, MERCHANTS = 2001, 1000
+TRANSACTIONS_PER_CUSTOMER = 5.0
+FIRST_CREATION_DAY = "2020-01-01"
+YEAR_START, YEAR_SECONDS = "2022-01-01 00:00:00", 364 * 86400
+CHANNELS = ["Online", "POS", "ATM", "MobileApp", "Web"]
+AT_HOME = 0.9
+USUAL_FAILURES, MANY_FAILURES, USUAL_SHARE = 0.5, 5.0, 0.95
+LOGIN_LEAD_SECONDS = 60.0
+
+
+def customers_from_ids(
+    ids: DataFrame, loaded_at: Column, start_id: int = FIRST_CUSTOMER, seed: int = SEED
+) -> DataFrame:
+    """Customer profiles for the CustomerIDs in ``ids``.
+
+    One account is created per day, counted from ``start_id``.
+    """
+
+    def draw(purpose: str) -> Column:
+        return seeded.uniform(seed, purpose, "CustomerID")
+
+    fraud = draw("customer.fraud")
+    created = F.date_add(F.lit(FIRST_CREATION_DAY).cast("date"), F.col("day").cast("int"))
+    return ids.select("CustomerID", (F.col("CustomerID") - start_id).alias("day")).select(
+        "CustomerID",
+        created.cast("timestamp_ntz").alias("AccountCreationDate"),
+        seeded.whole(18, 65, draw("customer.age")).alias("Age"),
+        F.month(created).alias("AccountCreationMonth"),
+        seeded.between(50, 200, draw("customer.amount")).alias("AvgTransactionAmount"),
+        F.when(fraud < 0.9, 0).when(fraud < 0.98, 1).otherwise(2).cast("bigint").alias(
+            "PastFraudCount"
+        ),
+        _device(draw("customer.device")).alias("HomeDevice"),
+        _address("192.168", draw("customer.ip1"), draw("customer.ip2")).alias("HomeIP"),
+        seeded.between(30, 45, draw("customer.lat")).alias("HomeLat"),
+        seeded.between(-100, -70, draw("customer.lon")).alias("HomeLon"),
+        loaded_at.alias("ingestion_date"),
+    )
+
+
+def merchants_from_ids(ids: DataFrame, loaded_at: Column, seed: int = SEED) -> DataFrame:
+    """Merchants for the MerchantIDs in ``ids``; the category sets the risk score."""
+    draw = seeded.uniform(seed, "merchant.category", "MerchantID")
+    named = ids.select(
+        "MerchantID",
+        F.concat(F.lit("Merchant_"), F.col("MerchantID").cast("string")).alias("MerchantName"),
+        seeded.pick(list(CATEGORY_RISK), draw).alias("Category"),
+    )
+    return named.select(
+        "*",
+        category_risk(F.col("Category")).alias("MerchantRiskScore"),
+        loaded_at.alias("ingestion_date"),
+    )
+
+
+def _device(draw: Column) -> Column:
+    return F.concat(F.lit("dev_"), seeded.whole(1000, 9999, draw).cast("string"))
+
+
+def _address(network: str, draw_a: Column, draw_b: Column) -> Column:
+    parts = [seeded.whole(0, 255, draw).cast("string") for draw in (draw_a, draw_b)]
+    return F.concat_ws(".", F.lit(network), *parts)
+
+
+def transactions_for(
+    customers: DataFrame,
+    merchants: DataFrame,
+    loaded_at: Column,
+    avg_txs_per_cust: float = TRANSACTIONS_PER_CUSTOMER,
+    seed: int = SEED,
+) -> DataFrame:
+    """At least one transaction per customer, numbered by customer and time.
+
+    A customer's times are drawn and sorted as one short array. The first number
+    of each customer is a running sum of the counts, so transactions themselves
+    are never sorted. Merchants are drawn by their place in the order of their
+    ids: an equi-join on a uniform number.
+    """
+    counted = customers.withColumn(
+        "_count",
+        F.greatest(
+            F.lit(1),
+            seeded.poisson(avg_txs_per_cust, seeded.uniform(seed, "tx.count", "CustomerID")),
+        ),
+    )
+    offsets = running_sum(counted, [], ["CustomerID"], "_count", "_through")
+
+    def drawn_time(slot: Column) -> Column:
+        draw = seeded.uniform(seed, "tx.time", F.col("CustomerID"), slot)
+        return F.floor(draw * F.lit(YEAR_SECONDS * 1000.0)).cast("bigint")
+
+    times = F.array_sort(F.transform(F.sequence(F.lit(1), F.col("_count")), drawn_time))
+    slots = offsets.select("*", F.posexplode(times).alias("_pos", "_millis")).withColumn(
+        "TransactionID", (F.col("_through") - F.col("_count") + F.col("_pos") + 1).cast("bigint")
+    )
+
+    def draw(purpose: str) -> Column:
+        return seeded.uniform(seed, f"tx.{purpose}", "TransactionID")
+
+    mean = F.col("AvgTransactionAmount")
+    amount = mean + F.lit(0.3) * mean * seeded.normal(draw("amount1"), draw("amount2"))
+    year_start = F.lit(YEAR_START).cast("timestamp_ntz")
+    happened = F.timestamp_add("MILLISECOND", F.col("_millis"), year_start)
+    elsewhere = draw("place") >= AT_HOME
+
+    def place(home: str) -> Column:
+        near = F.lit(0.01) * seeded.normal(draw(f"{home}.near1"), draw(f"{home}.near2"))
+        far = seeded.between(1, 5, draw(f"{home}.far"))
+        return F.col(home) + F.when(elsewhere, far).otherwise(near)
+
+    ranked = dense_key(merchants.select("MerchantID"), ["MerchantID"], "_rank")
+    merchant_count = ranked.count()
+    drawn = slots.select(
+        "TransactionID",
+        "CustomerID",
+        happened.alias("Timestamp"),
+        F.month(happened).alias("TimestampMonth"),
+        F.greatest(amount, F.lit(1.0)).alias("TransactionAmount"),
+        F.when(draw("device") < AT_HOME, F.col("HomeDevice"))
+        .otherwise(_device(draw("device.other")))
+        .alias("DeviceID"),
+        F.when(draw("ip") < AT_HOME, F.col("HomeIP"))
+        .otherwise(_address("10.0", draw("ip1"), draw("ip2")))
+        .alias("IP_Address"),
+        place("HomeLat").alias("Lat"),
+        place("HomeLon").alias("Lon"),
+        seeded.pick(CHANNELS, draw("channel")).alias("Channel"),
+        (F.floor(draw("merchant") * F.lit(merchant_count)) + 1).cast("bigint").alias("_rank"),
+        F.when(
+            draw("failures") < USUAL_SHARE, seeded.poisson(USUAL_FAILURES, draw("failures.usual"))
+        )
+        .otherwise(seeded.poisson(MANY_FAILURES, draw("failures.many")))
+        .alias("FailedTransactions"),
+    )
+    return drawn.join(ranked, "_rank").select(
+        *[c for c in drawn.columns if c not in ("_rank", "FailedTransactions")],
+        "MerchantID",
+        "FailedTransactions",
+        loaded_at.alias("ingestion_date"),
+    )
+
+
+def login_attempts_for(transactions: DataFrame, seed: int = SEED) -> DataFrame:
+    """A failed login shortly before the transaction for each of its failures."""
+    tries = transactions.where("FailedTransactions > 0").select(
+        "TransactionID",
+        "CustomerID",
+        "Timestamp",
+        "ingestion_date",
+        F.explode(F.sequence(F.lit(1), F.col("FailedTransactions"))).alias("_try"),
+    )
+    lead = seeded.exponential(
+        LOGIN_LEAD_SECONDS, seeded.uniform(seed, "login.lead", "TransactionID", "_try")
+    )
+    millis = F.floor(lead * F.lit(1000.0)).cast("bigint")
+    at = F.timestamp_add("MILLISECOND", -millis, F.col("Timestamp"))
+    return tries.select(
+        "CustomerID",
+        at.alias("LoginTimestamp"),
+        F.month(at).alias("LoginTimestampMonth"),
+        F.lit(False).alias("Success"),
+        "ingestion_date",
+    )
+
+
+def arrival_times(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    start: Column,
+    scale_seconds: float = 3600.0,
+    seed: int = SEED,
+) -> DataFrame:
+    """Add ``arrival_time``: per key, exponential gaps added up from ``start``.
+
+    ``order`` must identify a row within its key. Gaps are whole milliseconds.
+    """
+    gap = seeded.exponential(scale_seconds, seeded.uniform(seed, "arrival.gap", *keys, *order))
+    gaps = df.withColumn("_gap", F.floor(gap * F.lit(1000.0)).cast("bigint"))
+    elapsed = running_sum(gaps, keys, order, "_gap", "_elapsed")
+    arrival = F.timestamp_add("MILLISECOND", F.col("_elapsed"), start)
+    return elapsed.select(*df.columns, arrival.alias("arrival_time"))
+
+
+def generate_customers(
+    spark: SparkSession,
+    loaded_at: Column,
+    start_id: int = FIRST_CUSTOMER,
+    num_customers: int = CUSTOMERS,
+    seed: int = SEED,
+) -> DataFrame:
+    ids = spark.range(start_id, start_id + num_customers).toDF("CustomerID")
+    return customers_from_ids(ids, loaded_at, start_id, seed)
+
+
+def generate_merchants(
+    spark: SparkSession,
+    loaded_at: Column,
+    start_id: int = FIRST_MERCHANT,
+    num_merchants: int = MERCHANTS,
+    seed: int = SEED,
+) -> DataFrame:
+    ids = spark.range(start_id, start_id + num_merchants).toDF("MerchantID")
+    return merchants_from_ids(ids, loaded_at, seed)
+
+
+def generate_tables(
+    customers: DataFrame,
+    merchants: DataFrame,
+    loaded_at: Column,
+    avg_txs_per_cust: float = TRANSACTIONS_PER_CUSTOMER,
+    seed: int = SEED,
+) -> dict[str, DataFrame]:
+    """All four tables; the failure counts become logins and are dropped."""
+    transactions = transactions_for(customers, merchants, loaded_at, avg_txs_per_cust, seed)
+    return {
+        "customers": customers,
+        "merchants": merchants,
+        "transactions": transactions.drop("FailedTransactions"),
+        "login_attempts": login_attempts_for(transactions, seed),
+    }
+
+
+def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
+    """Write each table partitioned by its key, straight to the store."""
+    return {name: write_source(df, root, name) for name, df in tables.items()}

@@ -63,6 +63,20 @@ def partition_month(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def conform(name: str, df: DataFrame) -> DataFrame:
+    """``df`` with exactly the declared columns and types; absent columns are null."""
+    if name not in SOURCES:
+        return df
+    df = partition_month(name, df)
+    present = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in SOURCES[name]
+        ]
+    )
+
+
 def write_source(df: DataFrame, root: str, name: str) -> str:
     """Write one source table partitioned by its key; returns its path.
 
@@ -77,7 +91,7 @@ def write_source(df: DataFrame, root: str, name: str) -> str:
         df.write.mode("overwrite").parquet(path)
         return path
     (
-        partition_month(name, df)
+        conform(name, df)
         .hint("rebalance", key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
