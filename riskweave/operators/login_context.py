@@ -18,7 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.operators.ordered import POSITION, SEGMENT, carried_forward, ordered_segments
+from riskweave.operators.ordered import (
+    POSITION,
+    SEGMENT,
+    carried_forward,
+    ordered_segments,
+    partitions_for,
+)
 from riskweave.operators.skew import KeySkew, measure_skew
 
 # Fixed value: length of the look-back for failed logins.
@@ -47,7 +53,9 @@ def with_login_context(
     context = context_by_window(tx, events, hours)
     if hot_tx is None:
         return context
-    return context.unionByName(context_by_segments(hot_tx, hot_events, hours))
+    # Two probes per transaction moment and one event per login.
+    partitions = partitions_for(transactions, 2 * skew.rows)
+    return context.unionByName(context_by_segments(hot_tx, hot_events, hours, partitions))
 
 
 def _login_events(logins: DataFrame) -> DataFrame:

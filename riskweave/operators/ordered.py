@@ -18,6 +18,8 @@ from riskweave.session import materialize
 
 POSITION = "_position"
 SEGMENT = "_segment"
+# What one task sorts, at most (range partitioning balances by a sample).
+ROWS_PER_SEGMENT = 2_000_000
 # monotonically_increasing_id() keeps the partition above bit 33.
 _ROW_BITS = 33
 
@@ -27,6 +29,12 @@ def order_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
+def partitions_for(df: DataFrame, rows: int) -> int:
+    """At least the session's shuffle partitions, and enough for ``rows``."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, -(-rows // ROWS_PER_SEGMENT))
+
+
 def ordered_segments(
     df: DataFrame, order: Sequence[str | Column], partitions: int | None = None
 ) -> DataFrame:
@@ -34,10 +42,11 @@ def ordered_segments(
 
     Adds ``_position``, rising in the given order, and ``_segment``. Both are
     frozen in the shared folder: range boundaries come from a sample and could
-    differ between two evaluations.
+    differ between two evaluations. Unless ``partitions`` is given, rows are
+    counted, so that no segment outgrows a task however large the frame.
     """
     keys = order_columns(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df, df.count())
     placed = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)

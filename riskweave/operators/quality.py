@@ -266,27 +266,25 @@ def ingestion_skew(models: Mapping[str, DataFrame], tolerance_seconds: int = 10)
 
 
 def column_profile(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Minimum, maximum, distinct values and nulls per column, from one pass.
+    """Minimum, maximum, distinct values and nulls per column.
 
+    Each column is grouped by itself: only that column is read and shuffled, its
+    repeated values having met before the shuffle. Counting all distinct values
+    in one aggregate would send every row once per column, as wide as the table.
     Values are compared in their own type and shown as text.
     """
-    columns = list(columns)
-    aggregates = []
+    profiles = []
     for name in columns:
-        aggregates += [
-            F.min(name).alias(f"{name}.min"),
-            F.max(name).alias(f"{name}.max"),
-            F.countDistinct(name).alias(f"{name}.distinct"),
-            F.count_if(F.col(name).isNull()).alias(f"{name}.nulls"),
-        ]
-    entries = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col(f"`{name}.min`").cast("string").alias("min_value"),
-            F.col(f"`{name}.max`").cast("string").alias("max_value"),
-            F.col(f"`{name}.distinct`").alias("distinct_values"),
-            F.col(f"`{name}.nulls`").alias("null_values"),
+        value = F.col(name)
+        values = df.groupBy(value).agg(F.count("*").alias("_n"))
+        profiles.append(
+            values.agg(
+                F.min(value).cast("string").alias("min_value"),
+                F.max(value).cast("string").alias("max_value"),
+                F.count(value).alias("distinct_values"),
+                F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), F.lit(0)).alias(
+                    "null_values"
+                ),
+            ).select(F.lit(name).alias("column_name"), "*")
         )
-        for name in columns
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    return reduce(DataFrame.unionByName, profiles)

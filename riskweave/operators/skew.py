@@ -18,10 +18,14 @@ GROUP_LIMIT = 2_000_000
 
 @dataclass(frozen=True)
 class KeySkew:
-    """The hot keys of a set of frames; ``hot`` is None if there are none."""
+    """The hot keys of a set of frames; ``hot`` is None if there are none.
+
+    ``rows`` is the number of rows they (and a missing key) have in all frames.
+    """
 
     key: str
     hot: DataFrame | None
+    rows: int = 0
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """Rows of ordinary keys, and rows of hot keys plus those without a key."""
@@ -42,8 +46,9 @@ def measure_skew(key: str, frames: Sequence[DataFrame], limit: int = GROUP_LIMIT
     """
     counts = [df.groupBy(key).agg(F.count("*").alias("n")) for df in frames]
     per_key = reduce(DataFrame.unionByName, counts).groupBy(key).agg(F.sum("n").alias("n"))
-    largest = per_key.agg(F.max("n")).first()[0]
-    if largest is None or largest <= limit:
+    large = per_key.where(F.col("n") > limit)
+    rows = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if rows == 0:
         return KeySkew(key, None)
     # The written table has an exact size, by which Spark decides on broadcasts.
-    return KeySkew(key, materialize(per_key.where(F.col("n") > limit).select(key), "hot_keys"))
+    return KeySkew(key, materialize(large.select(key), "hot_keys"), rows)

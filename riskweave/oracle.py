@@ -1,0 +1,663 @@
+"""The SQL twin of each query, for a single-node engine over the same tables.
+
+Every statement is written against the provided tables alone. It states the
+result in the plainest relational way and shares nothing with the Spark side but
+the text that derives the source tables and the fixed values.
+"""
+
+from __future__ import annotations
+
+from riskweave.functions.columns import CATEGORY_RISK
+from riskweave.functions.seeded import poisson_steps
+from riskweave.operators import quality as Q
+from riskweave.sources.provided import DERIVATIONS
+
+_RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+_AS_OF = "DATE '2024-02-01'"
+
+_SOURCES = {
+    name: text.format(customer="customer", supplier="supplier", events="events")
+    for name, text in DERIVATIONS.items()
+}
+
+# Named steps in dependency order; a statement may select from any of them.
+_STEPS = {
+    **_SOURCES,
+    "landing_customer": f"""
+        SELECT CustomerID, AccountCreationDate, Age, PastFraudCount, HomeDevice, HomeIP,
+               HomeLat, HomeLon, {_RUN_TS} AS ingestion_date
+        FROM customers""",
+    "landing_merchant": f"""
+        SELECT MerchantID, MerchantName, Category, MerchantRiskScore,
+               {_RUN_TS} AS ingestion_date
+        FROM merchants""",
+    "landing_transaction": f"""
+        SELECT TransactionID, CustomerID, Timestamp, TransactionAmount, DeviceID, IP_Address,
+               Lat, Lon, Channel, MerchantID, {_RUN_TS} AS ingestion_date
+        FROM transactions""",
+    "landing_login_attempt": """
+        SELECT CustomerID, LoginTimestamp, Success, ingestion_date FROM login_attempts""",
+    "stg_customer": """
+        SELECT CustomerID AS customer_id, AccountCreationDate AS account_creation_date,
+               Age AS age, ifnull(PastFraudCount, 0) AS past_fraud_count,
+               trim(ifnull(HomeDevice, 'Unknown')) AS home_device, trim(HomeIP) AS home_ip,
+               HomeLat AS home_latitude, HomeLon AS home_longitude
+        FROM landing_customer""",
+    "stg_merchant": """
+        SELECT MerchantID AS merchant_id,
+               trim(ifnull(MerchantName, 'Unnamed Merchant')) AS merchant_name,
+               trim(ifnull(Category, 'Uncategorized')) AS merchant_category,
+               ifnull(MerchantRiskScore, 5e-1) AS merchant_risk_score, ingestion_date
+        FROM landing_merchant""",
+    "stg_transaction": """
+        SELECT TransactionID AS transaction_id, CustomerID AS customer_id,
+               MerchantID AS merchant_id, Timestamp AS transaction_timestamp,
+               CASE WHEN TransactionAmount <> 0 THEN TransactionAmount END AS transaction_amount,
+               trim(ifnull(DeviceID, 'Unknown')) AS device_id,
+               trim(ifnull(IP_Address, 'Unknown')) AS ip_address,
+               trim(ifnull(Channel, 'Unknown')) AS channel,
+               Lat AS latitude, Lon AS longitude, ingestion_date
+        FROM landing_transaction""",
+    "stg_login_attempt": """
+        SELECT CustomerID AS customer_id, LoginTimestamp AS login_timestamp,
+               Success AS is_success, ingestion_date
+        FROM landing_login_attempt""",
+    "dim_customer": f"""
+        SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, s.*,
+               past_fraud_count > 0 AS has_fraud_history,
+               date_part('day', age({_AS_OF}, account_creation_date)) AS account_age_days,
+               month(account_creation_date) AS account_creation_month,
+               year(account_creation_date) AS account_creation_year,
+               CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN 'Under 25'
+                    WHEN age >= 65 THEN '65+'
+                    ELSE (age - (age - 5) % 10)::VARCHAR || '-'
+                      || (age - (age - 5) % 10 + 9)::VARCHAR END AS age_tier,
+               CASE WHEN past_fraud_count >= 6 THEN 'High' WHEN past_fraud_count >= 3
+                    THEN 'Medium' ELSE 'Low' END AS risk_level
+        FROM stg_customer s""",
+    "dim_merchant": """
+        SELECT s.*, merchant_risk_score >= 7e-1 AS is_high_risk_merchant,
+               CASE WHEN merchant_risk_score < 2e-1 THEN 'Low Risk'
+                    WHEN merchant_risk_score < 5e-1 THEN 'Medium Risk'
+                    ELSE 'High Risk' END AS merchant_risk_category
+        FROM stg_merchant s""",
+    "fact_transaction": """
+        SELECT transaction_id, customer_id, merchant_id, transaction_timestamp,
+               transaction_amount, device_id, ip_address, channel, latitude, longitude,
+               CASE WHEN hour(transaction_timestamp) <= 6 THEN 'Night (12AM-6AM)'
+                    WHEN hour(transaction_timestamp) <= 11 THEN 'Morning (7AM-11AM)'
+                    WHEN hour(transaction_timestamp) <= 17 THEN 'Afternoon (12PM-5PM)'
+                    ELSE 'Evening (6PM-11PM)' END AS transaction_time_of_day,
+               ifnull(transaction_amount > 150, false) AS is_high_value_transaction,
+               ifnull(risk_level = 'High' AND transaction_amount > 150, false)
+                 OR ifnull(has_fraud_history AND transaction_amount > 500, false)
+                 AS has_elevated_fraud_risk,
+               round(sqrt(pow(home_latitude - latitude, 2) + pow(home_longitude - longitude, 2)),
+                     9) AS distance_from_home
+        FROM stg_transaction LEFT JOIN dim_customer USING (customer_id)""",
+    "login_parts": """
+        SELECT customer_id, login_timestamp, is_success,
+               month(login_timestamp) AS login_month, year(login_timestamp) AS login_year,
+               dayofweek(login_timestamp) AS login_day_of_week,
+               hour(login_timestamp) AS login_hour,
+               CASE hour(login_timestamp) // 6 WHEN 0 THEN 'Night (12AM-6AM)'
+                    WHEN 1 THEN 'Morning (6AM-12PM)' WHEN 2 THEN 'Afternoon (12PM-6PM)'
+                    ELSE 'Evening (6PM-12AM)' END AS login_time_of_day,
+               isodow(login_timestamp) >= 6 AS is_weekend_login
+        FROM stg_login_attempt""",
+    "customer_login_metrics": """
+        SELECT customer_id, count(*) AS total_login_attempts,
+               count(*) FILTER (NOT is_success) AS failed_login_attempts,
+               count(*) FILTER (is_weekend_login) AS weekend_login_attempts,
+               count(*) FILTER (login_hour < 6) AS night_login_attempts
+        FROM login_parts GROUP BY customer_id""",
+    "fact_login_attempt": """
+        SELECT md5(p.customer_id::VARCHAR || '-' || login_timestamp::VARCHAR)
+                 AS login_attempt_id, p.*, m.* EXCLUDE (customer_id)
+        FROM login_parts p LEFT JOIN customer_login_metrics m ON p.customer_id = m.customer_id""",
+    "v_transaction": """
+        SELECT f.*, c.age AS customer_age, c.past_fraud_count AS customer_past_fraud_count,
+               c.home_ip AS customer_home_ip, c.home_latitude AS customer_home_latitude,
+               c.home_longitude AS customer_home_longitude,
+               c.has_fraud_history AS customer_has_fraud_history,
+               c.age_tier AS customer_age_tier, c.risk_level AS customer_risk_level,
+               m.merchant_name, m.merchant_risk_category, m.is_high_risk_merchant
+        FROM fact_transaction f
+        LEFT JOIN dim_customer c ON c.customer_id = f.customer_id
+        LEFT JOIN dim_merchant m ON m.merchant_id = f.merchant_id""",
+    "v_login_attempt": """
+        SELECT l.*, c.risk_level AS customer_risk_level,
+               c.has_fraud_history AS customer_has_fraud_history
+        FROM fact_login_attempt l LEFT JOIN dim_customer c ON c.customer_id = l.customer_id""",
+    "last_logins": """
+        SELECT t.transaction_id, t.customer_id, t.transaction_timestamp, l.login_attempt_id,
+               l.login_timestamp, l.login_hour, l.is_weekend_login, l.night_login_attempts
+        FROM stg_transaction t ASOF LEFT JOIN fact_login_attempt l
+          ON t.customer_id = l.customer_id AND t.transaction_timestamp >= l.login_timestamp""",
+    "failures": """
+        SELECT t.transaction_id, t.customer_id, t.transaction_timestamp,
+               count(l.customer_id) AS failed_logins_24h
+        FROM stg_transaction t LEFT JOIN stg_login_attempt l
+          ON l.customer_id = t.customer_id AND NOT l.is_success
+         AND l.login_timestamp BETWEEN t.transaction_timestamp - INTERVAL 24 HOUR
+                                   AND t.transaction_timestamp
+        GROUP BY ALL""",
+    "enriched": """
+        SELECT v.*, f.failed_logins_24h,
+               NOT ifnull(abs(latitude - customer_home_latitude) < 1e-2
+                      AND abs(longitude - customer_home_longitude) < 1e-2, false) AS geo_mismatch,
+               ifnull(login_hour < 6, false) AS odd_hours,
+               ifnull(is_weekend_login, false) AS weekend_login,
+               ifnull(night_login_attempts > 0, false) AS night_login
+        FROM v_transaction v
+        JOIN failures f ON f.transaction_id = v.transaction_id
+        JOIN last_logins l ON l.transaction_id = v.transaction_id""",
+    "deviations": """
+        SELECT customer_id, avg(transaction_amount) AS mean,
+               stddev_pop(transaction_amount) AS deviation
+        FROM stg_transaction GROUP BY customer_id""",
+    "zscores": """
+        SELECT transaction_id, t.customer_id, transaction_amount,
+               round((transaction_amount - mean) / CASE deviation WHEN 0 THEN 1 ELSE deviation END,
+                     6) AS amount_zscore
+        FROM stg_transaction t LEFT JOIN deviations d ON d.customer_id = t.customer_id""",
+    "fired": """
+        SELECT e.*, amount_zscore,
+               failed_logins_24h > 3 AS f1, geo_mismatch AS f2,
+               ifnull(is_high_risk_merchant, false) AS f3,
+               ifnull(customer_risk_level <> 'Low', false) AS f4,
+               ifnull(customer_past_fraud_count > 0, false) AS f5,
+               odd_hours AS f6, weekend_login AS f7, night_login AS f8,
+               ifnull(abs(amount_zscore) > 3, false) AS f9
+        FROM enriched e JOIN zscores z ON z.transaction_id = e.transaction_id""",
+    "weighted": """
+        SELECT *, (f1::INT + 2 * f2::INT + 2 * f3::INT + 2 * f4::INT + 2 * f5::INT
+                   + f6::INT + f7::INT + f8::INT + 2 * f9::INT)::INT AS risk_score,
+               concat_ws(',', CASE WHEN f1 THEN 'FAILED_LOGIN' END,
+                 CASE WHEN f2 THEN 'GEO_MISMATCH' END, CASE WHEN f3 THEN 'HIGH_RISK_MERCHANT' END,
+                 CASE WHEN f4 THEN 'CUSTOMER_RISK' END, CASE WHEN f5 THEN 'PAST_FRAUD' END,
+                 CASE WHEN f6 THEN 'ODD_HOURS' END, CASE WHEN f7 THEN 'WEEKEND_LOGIN' END,
+                 CASE WHEN f8 THEN 'NIGHT_LOGIN' END, CASE WHEN f9 THEN 'AMOUNT_OUTLIER' END
+               ) AS flags
+        FROM fired""",
+    "scored": "SELECT *, (risk_score >= 5)::INT AS label FROM weighted",
+    "alerts": """
+        SELECT transaction_id::VARCHAR AS transaction_id, customer_id::VARCHAR AS customer_id,
+               transaction_timestamp, risk_score, flags
+        FROM scored WHERE label = 1""",
+    "snapshots": """
+        SELECT merchant_id, merchant_name, merchant_category, merchant_risk_score,
+               TIMESTAMP '2024-01-01 00:00:00' AS ingestion_date FROM stg_merchant
+        UNION ALL
+        SELECT merchant_id, merchant_name, merchant_category, merchant_risk_score + 25e-2,
+               ingestion_date FROM stg_merchant""",
+    "split": """
+        SELECT transaction_id, label,
+               CASE WHEN 5 * row_number() OVER (PARTITION BY label
+                          ORDER BY md5(transaction_id::VARCHAR), transaction_id)
+                         <= count(*) OVER (PARTITION BY label)
+                    THEN 'test' ELSE 'train' END AS split
+        FROM scored""",
+}
+
+_WITH = "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in _STEPS.items())
+
+
+def _select(statement: str) -> str:
+    return f"{_WITH}\n{statement}"
+
+
+# ---- data quality ----------------------------------------------------------
+
+
+def _check_counts(kind: str) -> str:
+    """One row per declared check of a kind, each counted by its own scan."""
+    landing = {
+        "raw_customer": "landing_customer",
+        "raw_merchant": "landing_merchant",
+        "raw_transaction": "landing_transaction",
+        "raw_login_attempt": "landing_login_attempt",
+    }
+    parts = []
+    for check in Q.checks_of(kind):
+        table = landing.get(check.model, check.model)
+        column = check.columns[0]
+        if kind == Q.NOT_NULL:
+            failing = f"(SELECT count(*) - count({column}) FROM {table})"
+        elif kind == Q.BETWEEN:
+            low = "-1e300" if check.low is None else check.low
+            high = "1e300" if check.high is None else check.high
+            failing = (
+                f"(SELECT count(*) FROM {table} WHERE {column} NOT BETWEEN {low} AND {high})"
+            )
+        elif kind == Q.IN_SET:
+            failing = f"(SELECT count(*) FROM {table} WHERE {column} NOT IN (true, false))"
+        elif kind == Q.NOT_CONSTANT:
+            failing = f"(SELECT (count(DISTINCT {column}) = 1)::BIGINT FROM {table})"
+        elif kind == Q.TYPE:
+            failing = (
+                f"(SELECT count(*) FROM {table}"
+                f" WHERE lower(typeof({column})) <> '{check.type_name}')"
+            )
+        elif kind == Q.UNIQUE:
+            failing = (
+                f"(SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL"
+                f" GROUP BY {column} HAVING count(*) > 1))"
+            )
+        else:
+            failing = (
+                f"(SELECT count(*) FROM (SELECT 1 FROM {table}"
+                f" GROUP BY {', '.join(check.columns)} HAVING count(*) > 1))"
+            )
+        parts.append(
+            f"SELECT '{check.model}' AS model, '{check.label}' AS column_name,"
+            f" '{check.kind}' AS check_kind, {failing}::BIGINT AS failing_rows"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _orphans(relation: str, child: str, parent: str, key: str) -> str:
+    return f"""
+        SELECT '{relation}' AS relation, count(*) AS orphan_rows,
+               count(DISTINCT {key}) AS orphan_keys
+        FROM {child} WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM {parent})"""
+
+
+def _profile() -> str:
+    columns = (
+        "CustomerID",
+        "AccountCreationDate",
+        "Age",
+        "PastFraudCount",
+        "HomeDevice",
+        "HomeIP",
+        "HomeLat",
+        "HomeLon",
+    )
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, min({c})::VARCHAR AS min_value,
+            max({c})::VARCHAR AS max_value, count(DISTINCT {c}) AS distinct_values,
+            count(*) - count({c}) AS null_values FROM customers"""
+        for c in columns
+    )
+
+
+def _key_types() -> str:
+    relations = (
+        ("tx_customer", "transactions", "customers", "CustomerID"),
+        ("tx_merchant", "transactions", "merchants", "MerchantID"),
+        ("login_customer", "login_attempts", "customers", "CustomerID"),
+    )
+    parts = [
+        f"""SELECT '{name}' AS relation,
+            (SELECT lower(any_value(typeof({key}))) FROM {child}) AS child_type,
+            (SELECT lower(any_value(typeof({key}))) FROM {parent}) AS parent_type"""
+        for name, child, parent, key in relations
+    ]
+    return (
+        "SELECT *, (child_type <> parent_type)::BIGINT AS failing_rows FROM ("
+        + " UNION ALL ".join(parts)
+        + ")"
+    )
+
+
+# ---- generators ------------------------------------------------------------
+
+
+def _uniform(purpose: str, *ids: str) -> str:
+    texts = ", ".join([f"'42:{purpose}'", *[f"({i})::VARCHAR" for i in ids]])
+    digits = f"substr(md5(concat_ws(':', {texts})), 1, 13)"
+    return f"(('0x' || {digits})::BIGINT / 4503599627370496e0)"
+
+
+def _whole(low: int, high: int, draw: str) -> str:
+    return f"(floor({draw} * {high - low}) + {low})::BIGINT"
+
+
+def _normal(a: str, b: str) -> str:
+    return f"(sqrt(-2e0 * ln(1e0 - {a})) * cos(2e0 * pi() * {b}))"
+
+
+def _poisson(rate: float, draw: str) -> str:
+    steps = ", ".join(f"{step!r}::DOUBLE" for step in poisson_steps(rate))
+    return f"len(list_filter([{steps}], lambda step: step <= {draw}))::BIGINT"
+
+
+def _pick(options: list[str], draw: str) -> str:
+    listed = ", ".join(f"'{o}'" for o in options)
+    return f"([{listed}])[(floor({draw} * {len(options)}) + 1)::INT]"
+
+
+def _place(home: str) -> str:
+    near = _normal(
+        _uniform(f"tx.{home}.near1", "TransactionID"), _uniform(f"tx.{home}.near2", "TransactionID")
+    )
+    far = f"(1e0 + {_uniform(f'tx.{home}.far', 'TransactionID')} * 4e0)"
+    return (
+        f"{home} + CASE WHEN {_uniform('tx.place', 'TransactionID')} >= 9e-1 THEN {far}"
+        f" ELSE 1e-2 * {near} END"
+    )
+
+
+def _risk_case(category: str) -> str:
+    whens = " ".join(f"WHEN '{name}' THEN {risk}e0" for name, risk in CATEGORY_RISK.items())
+    return f"CASE {category} {whens} END"
+
+
+def _tx(purpose: str) -> str:
+    return _uniform(f"tx.{purpose}", "TransactionID")
+
+
+_GENERATED = {
+    "made_customers": f"""
+        SELECT CustomerID, day::TIMESTAMP AS AccountCreationDate,
+               {_whole(18, 65, _uniform("customer.age", "CustomerID"))} AS Age,
+               month(day)::INT AS AccountCreationMonth,
+               5e1 + {_uniform("customer.amount", "CustomerID")} * 15e1 AS AvgTransactionAmount,
+               (CASE WHEN {_uniform("customer.fraud", "CustomerID")} < 9e-1 THEN 0
+                     WHEN {_uniform("customer.fraud", "CustomerID")} < 98e-2 THEN 1
+                     ELSE 2 END)::BIGINT AS PastFraudCount,
+               'dev_' || {_whole(1000, 9999, _uniform("customer.device", "CustomerID"))}::VARCHAR
+                 AS HomeDevice,
+               '192.168.' || {_whole(0, 255, _uniform("customer.ip1", "CustomerID"))}::VARCHAR
+                 || '.' || {_whole(0, 255, _uniform("customer.ip2", "CustomerID"))}::VARCHAR
+                 AS HomeIP,
+               3e1 + {_uniform("customer.lat", "CustomerID")} * 15e0 AS HomeLat,
+               -1e2 + {_uniform("customer.lon", "CustomerID")} * 3e1 AS HomeLon,
+               {_RUN_TS} AS ingestion_date
+        FROM (SELECT c_custkey AS CustomerID, DATE '2020-01-01' + c_custkey::INT AS day
+              FROM customer)""",
+    "made_merchants": f"""
+        SELECT MerchantID, MerchantName, Category, {_risk_case("Category")} AS MerchantRiskScore,
+               {_RUN_TS} AS ingestion_date
+        FROM (SELECT s_suppkey AS MerchantID, 'Merchant_' || s_suppkey::VARCHAR AS MerchantName,
+                     {_pick(list(CATEGORY_RISK), _uniform("merchant.category", "s_suppkey"))}
+                       AS Category
+              FROM supplier)""",
+    "made_counts": f"""
+        SELECT CustomerID, greatest(1, {_poisson(5.0, "u")}) AS tx_count
+        FROM (SELECT CustomerID, {_uniform("tx.count", "CustomerID")} AS u FROM made_customers)""",
+    "made_slots": f"""
+        SELECT CustomerID, floor({_uniform("tx.time", "CustomerID", "slot")} * 31449600000e0)::BIGINT
+                 AS millis
+        FROM (SELECT CustomerID, unnest(range(1, tx_count + 1)) AS slot FROM made_counts)""",
+    "made_numbers": """
+        SELECT row_number() OVER (ORDER BY CustomerID, millis) AS TransactionID, CustomerID,
+               TIMESTAMP '2022-01-01 00:00:00' + to_milliseconds(millis) AS Timestamp
+        FROM made_slots""",
+    "made_draws": f"""
+        SELECT n.*, c.* EXCLUDE (CustomerID), {_tx("failures.usual")} AS u_usual,
+               {_tx("failures.many")} AS u_many,
+               floor({_tx("merchant")} * (SELECT count(*) FROM made_merchants))::BIGINT + 1 AS rank
+        FROM made_numbers n JOIN made_customers c ON c.CustomerID = n.CustomerID""",
+    "made_ranks": """
+        SELECT MerchantID, row_number() OVER (ORDER BY MerchantID) AS rank FROM made_merchants""",
+    "made_transactions": f"""
+        SELECT TransactionID, CustomerID, Timestamp, month(Timestamp)::INT AS TimestampMonth,
+               greatest(1e0, AvgTransactionAmount + 3e-1 * AvgTransactionAmount
+                 * {_normal(_tx("amount1"), _tx("amount2"))}) AS TransactionAmount,
+               CASE WHEN {_tx("device")} < 9e-1 THEN HomeDevice
+                    ELSE 'dev_' || {_whole(1000, 9999, _tx("device.other"))}::VARCHAR END
+                 AS DeviceID,
+               CASE WHEN {_tx("ip")} < 9e-1 THEN HomeIP
+                    ELSE '10.0.' || {_whole(0, 255, _tx("ip1"))}::VARCHAR || '.'
+                         || {_whole(0, 255, _tx("ip2"))}::VARCHAR END AS IP_Address,
+               {_place("HomeLat")} AS Lat, {_place("HomeLon")} AS Lon,
+               {_pick(["Online", "POS", "ATM", "MobileApp", "Web"], _tx("channel"))} AS Channel,
+               MerchantID,
+               CASE WHEN {_tx("failures")} < 95e-2 THEN {_poisson(0.5, "u_usual")}
+                    ELSE {_poisson(5.0, "u_many")} END AS FailedTransactions,
+               {_RUN_TS} AS ingestion_date
+        FROM made_draws JOIN made_ranks USING (rank)""",
+    "made_logins": f"""
+        SELECT CustomerID, LoginTimestamp, month(LoginTimestamp)::INT AS LoginTimestampMonth,
+               false AS Success, ingestion_date
+        FROM (SELECT CustomerID, ingestion_date, Timestamp - to_milliseconds(floor(
+                       -6e1 * ln(1e0 - {_uniform("login.lead", "TransactionID", "try")}) * 1e3
+                     )::BIGINT) AS LoginTimestamp
+              FROM (SELECT *, unnest(range(1, FailedTransactions + 1)) AS try
+                    FROM made_transactions))""",
+}
+
+_WITH_GENERATED = "WITH " + ",\n".join(f"{n} AS ({text})" for n, text in _GENERATED.items())
+
+
+def _generated(statement: str) -> str:
+    return f"{_WITH_GENERATED}\n{statement}"
+
+
+_MART_OVER_SNAPSHOTS = """
+    SELECT f.*, c.age AS customer_age, c.past_fraud_count AS customer_past_fraud_count,
+           c.home_ip AS customer_home_ip, c.home_latitude AS customer_home_latitude,
+           c.home_longitude AS customer_home_longitude,
+           c.has_fraud_history AS customer_has_fraud_history,
+           c.age_tier AS customer_age_tier, c.risk_level AS customer_risk_level,
+           s.merchant_name,
+           CASE WHEN s.merchant_risk_score < 2e-1 THEN 'Low Risk'
+                WHEN s.merchant_risk_score < 5e-1 THEN 'Medium Risk'
+                WHEN s.merchant_id IS NOT NULL THEN 'High Risk' END AS merchant_risk_category,
+           s.merchant_risk_score >= 7e-1 AS is_high_risk_merchant
+    FROM fact_transaction f
+    LEFT JOIN dim_customer c ON c.customer_id = f.customer_id
+    LEFT JOIN snapshots s ON s.merchant_id = f.merchant_id"""
+
+_ALERTS = _select("SELECT * FROM alerts")
+
+ORACLE_SQL: dict[str, str] = {
+    **{
+        name: _select(f"SELECT * FROM {name}")
+        for name in (
+            "landing_customer",
+            "landing_merchant",
+            "landing_transaction",
+            "landing_login_attempt",
+            "stg_customer",
+            "stg_merchant",
+            "stg_transaction",
+            "stg_login_attempt",
+            "dim_customer",
+            "dim_merchant",
+            "fact_transaction",
+            "fact_login_attempt",
+            "customer_login_metrics",
+            "v_transaction",
+            "v_login_attempt",
+        )
+    },
+    "source_counts": _select(
+        """SELECT 'customers' AS table_name, count(*) AS row_count FROM customers
+        UNION ALL SELECT 'merchants', count(*) FROM merchants
+        UNION ALL SELECT 'transactions', count(*) FROM transactions
+        UNION ALL SELECT 'login_attempts', count(*) FROM login_attempts"""
+    ),
+    "partitioned_roundtrip_customers": _select(
+        """SELECT * REPLACE (AccountCreationDate::TIMESTAMP AS AccountCreationDate),
+                  month(AccountCreationDate)::INT AS AccountCreationMonth
+           FROM landing_customer"""
+    ),
+    "partitioned_roundtrip_merchants": _select("SELECT * FROM landing_merchant"),
+    "partitioned_roundtrip_transactions": _select(
+        "SELECT *, month(Timestamp)::INT AS TimestampMonth FROM landing_transaction"
+    ),
+    "partitioned_roundtrip_login_attempts": _select(
+        "SELECT *, month(LoginTimestamp)::INT AS LoginTimestampMonth FROM landing_login_attempt"
+    ),
+    "alerts_sink_roundtrip": _ALERTS,
+    "alerts_table_append": _select(
+        f"""SELECT *, {_RUN_TS} AS inserted_at FROM alerts
+        UNION ALL SELECT *, {_RUN_TS} FROM alerts WHERE risk_score >= 7"""
+    ),
+    "alerts_new_only": _select("SELECT * FROM alerts WHERE risk_score < 7"),
+    "account_age": _select(
+        f"""SELECT customer_id, account_age_days,
+                   date_diff('day', account_creation_date, {_AS_OF}) AS account_age_total_days
+            FROM dim_customer"""
+    ),
+    "merchant_risk_map": _select(
+        f"""SELECT merchant_id, merchant_category,
+                   {_risk_case("merchant_category")} AS category_risk_score
+            FROM stg_merchant"""
+    ),
+    "merchant_latest": _select(
+        """SELECT * FROM snapshots
+        QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY ingestion_date DESC) = 1"""
+    ),
+    "transaction_amount_tier": _select(
+        """SELECT transaction_id, transaction_amount,
+                  CASE WHEN transaction_amount <= 100 THEN 'Low'
+                       WHEN transaction_amount <= 150 THEN 'Mid' ELSE 'High' END
+                    AS transaction_amount_tier
+           FROM stg_transaction"""
+    ),
+    "login_surrogate_key": _select(
+        "SELECT customer_id, login_timestamp, login_attempt_id FROM fact_login_attempt"
+    ),
+    "v_transaction_fanout": _select(_MART_OVER_SNAPSHOTS),
+    "scoring_sample": _select("SELECT * FROM v_transaction ORDER BY transaction_id LIMIT 5000"),
+    "asof_last_login": _select(
+        """SELECT transaction_id, customer_id, transaction_timestamp,
+                  login_attempt_id AS last_login_attempt_id,
+                  login_timestamp AS last_login_timestamp
+           FROM last_logins"""
+    ),
+    "failed_logins_24h": _select("SELECT * FROM failures"),
+    "enriched_transactions": _select("SELECT * FROM enriched"),
+    "feature_means": _select(
+        """SELECT round(avg(failed_logins_24h), 9) AS failed_logins_24h,
+                  round(avg(geo_mismatch::INT), 9) AS geo_mismatch,
+                  round(avg(odd_hours::INT), 9) AS odd_hours,
+                  round(avg(weekend_login::INT), 9) AS weekend_login,
+                  round(avg(night_login::INT), 9) AS night_login
+           FROM enriched"""
+    ),
+    "amount_zscore": _select("SELECT * FROM zscores"),
+    "rule_scores": _select(
+        """SELECT transaction_id, customer_id, transaction_timestamp, failed_logins_24h,
+                  geo_mismatch, odd_hours, weekend_login, night_login, amount_zscore,
+                  risk_score, flags, label
+           FROM scored"""
+    ),
+    "rule_labels": _select("SELECT transaction_id, risk_score, label FROM scored"),
+    "rule_alerts": _ALERTS,
+    "incremental_alerts": _ALERTS,
+    "stream_failed_logins": _select(
+        "SELECT transaction_id, customer_id, failed_logins_24h FROM failures"
+    ),
+    "top_risky_customers": _select(
+        """SELECT customer_id, sum(risk_score)::BIGINT AS total_risk_score FROM alerts
+        GROUP BY customer_id ORDER BY total_risk_score DESC, customer_id LIMIT 10"""
+    ),
+    "notification_feed": _select(
+        """SELECT transaction_id, customer_id,
+                  'Sending email to customer ' || customer_id || '...' AS message FROM alerts"""
+    ),
+    "notification_customers": _select(
+        """SELECT DISTINCT customer_id,
+                  'Sending email to customer ' || customer_id || '...' AS message FROM alerts"""
+    ),
+    "training_features": _select(
+        """SELECT transaction_id, label, transaction_amount, failed_logins_24h,
+                  geo_mismatch::INT AS geo_mismatch, odd_hours::INT AS odd_hours,
+                  weekend_login::INT AS weekend_login, night_login::INT AS night_login,
+                  f3::INT AS is_high_risk_merchant,
+                  ifnull(customer_has_fraud_history, false)::INT AS customer_has_fraud_history,
+                  customer_past_fraud_count,
+                  (list_position(['Low', 'Medium', 'High'], customer_risk_level) - 1)::INT
+                    AS customer_risk_level
+           FROM scored"""
+    ),
+    "stratified_split": _select("SELECT * FROM split"),
+    "label_distribution": _select(
+        "SELECT split, label, count(*) AS row_count FROM split GROUP BY split, label"
+    ),
+    "class_weights": _select(
+        """SELECT label, count(*) AS row_count,
+                  round((SELECT count(*) FROM scored) / (2e0 * count(*)), 9) AS class_weight
+           FROM scored GROUP BY label"""
+    ),
+    "binary_metrics": _select(
+        """SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy,
+                  CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
+                  CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
+                  CASE WHEN tp + fp + fn > 0 THEN round(2 * tp / (2 * tp + fp + fn), 9) ELSE 0 END
+                    AS f1
+           FROM (SELECT count(*) FILTER (label = 1 AND has_elevated_fraud_risk) AS tp,
+                        count(*) FILTER (label = 0 AND has_elevated_fraud_risk) AS fp,
+                        count(*) FILTER (label = 1 AND NOT has_elevated_fraud_risk) AS fn,
+                        count(*) FILTER (label = 0 AND NOT has_elevated_fraud_risk) AS tn
+                 FROM scored)"""
+    ),
+    **{
+        name: _select(_check_counts(kind))
+        for name, kind in (
+            ("dq_unique", Q.UNIQUE),
+            ("dq_not_null", Q.NOT_NULL),
+            ("dq_between", Q.BETWEEN),
+            ("dq_in_set", Q.IN_SET),
+            ("dq_not_constant", Q.NOT_CONSTANT),
+            ("dq_unique_combo", Q.UNIQUE_COMBO),
+            ("dq_types", Q.TYPE),
+        )
+    },
+    "dq_key_types": _select(_key_types()),
+    "dq_key_sequence": _select(
+        """SELECT min(CustomerID) AS first_key, max(CustomerID) AS last_key,
+                  max(CustomerID) - min(CustomerID) + 1 - count(DISTINCT CustomerID)
+                    AS missing_keys,
+                  (SELECT count(*) FROM (SELECT 1 FROM customers WHERE CustomerID IS NOT NULL
+                                         GROUP BY CustomerID HAVING count(*) > 1))
+                    AS repeated_keys
+           FROM customers"""
+    ),
+    "dq_category_risk": _select(
+        f"""SELECT Category AS category, count(*) AS merchants,
+                   count(*) FILTER ({_risk_case("Category")} IS NULL) AS unknown_category,
+                   count(*) FILTER (MerchantRiskScore IS DISTINCT FROM {_risk_case("Category")})
+                     AS score_mismatch
+            FROM merchants GROUP BY Category"""
+    ),
+    "dq_ingestion_skew": _select(
+        """SELECT min(latest) AS first_load, max(latest) AS last_load,
+                  date_sub('second', min(latest), max(latest)) AS skew_seconds,
+                  (date_sub('second', min(latest), max(latest)) >= 10)::BIGINT AS failing_rows
+           FROM (SELECT max(ingestion_date) AS latest FROM landing_customer
+                 UNION ALL SELECT max(ingestion_date) FROM landing_merchant
+                 UNION ALL SELECT max(ingestion_date) FROM landing_transaction
+                 UNION ALL SELECT max(ingestion_date) FROM landing_login_attempt)"""
+    ),
+    "orphans_tx_customer": _select(
+        _orphans("tx_customer", "stg_transaction", "stg_customer", "customer_id")
+    ),
+    "orphans_tx_merchant": _select(
+        _orphans("tx_merchant", "stg_transaction", "stg_merchant", "merchant_id")
+    ),
+    "orphans_login_customer": _select(
+        _orphans("login_customer", "stg_login_attempt", "stg_customer", "customer_id")
+    ),
+    "profile_customers": _select(_profile()),
+    "gen_customers": _generated(
+        """SELECT * REPLACE (round(AvgTransactionAmount, 6) AS AvgTransactionAmount,
+                             round(HomeLat, 6) AS HomeLat, round(HomeLon, 6) AS HomeLon)
+           FROM made_customers"""
+    ),
+    "gen_merchants": _generated("SELECT * FROM made_merchants"),
+    "gen_transactions": _generated(
+        """SELECT * REPLACE (round(TransactionAmount, 6) AS TransactionAmount,
+                             round(Lat, 6) AS Lat, round(Lon, 6) AS Lon)
+           FROM made_transactions"""
+    ),
+    "gen_login_attempts": _generated("SELECT * FROM made_logins"),
+    "gen_all_counts": _generated(
+        """SELECT 'customers' AS table_name, count(*) AS row_count FROM made_customers
+        UNION ALL SELECT 'merchants', count(*) FROM made_merchants
+        UNION ALL SELECT 'transactions', count(*) FROM made_transactions
+        UNION ALL SELECT 'login_attempts', count(*) FROM made_logins"""
+    ),
+    "arrival_times": _select(
+        f"""SELECT CustomerID, TransactionID, TIMESTAMP '2022-01-01 00:00:00' + to_milliseconds(
+                  sum(floor(-36e2 * ln(1e0 - {_uniform("arrival.gap", "CustomerID",
+                      "TransactionID")}) * 1e3)::BIGINT)
+                    OVER (PARTITION BY CustomerID ORDER BY TransactionID)::BIGINT) AS arrival_time
+           FROM transactions"""
+    ),
+}
