@@ -8,6 +8,8 @@ columns need neither be stored nor protected from re-evaluation.
 from __future__ import annotations
 
 import math
+import operator
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,9 +56,12 @@ def poisson_steps(rate: float) -> list[float]:
 
 
 def poisson(rate: float, draw: Column) -> Column:
-    """Poisson count: how many cumulative probabilities the draw has reached."""
-    steps = F.array(*[F.lit(step) for step in poisson_steps(rate)])
-    return F.size(F.filter(steps, lambda step: step <= draw)).cast("bigint")
+    """Poisson count: how many cumulative probabilities the draw has reached.
+
+    Give ``draw`` as a column computed beforehand: it is compared many times.
+    """
+    reached = [(draw >= step).cast("bigint") for step in poisson_steps(rate)]
+    return reduce(operator.add, reached)
 
 
 def pick(options: list[str], draw: Column) -> Column:

@@ -97,13 +97,9 @@ def transactions_for(
     are never sorted. Merchants are drawn by their place in the order of their
     ids: an equi-join on a uniform number.
     """
-    counted = customers.withColumn(
-        "_count",
-        F.greatest(
-            F.lit(1),
-            seeded.poisson(avg_txs_per_cust, seeded.uniform(seed, "tx.count", "CustomerID")),
-        ),
-    )
+    drawn = customers.withColumn("_draw", seeded.uniform(seed, "tx.count", "CustomerID"))
+    count = F.greatest(F.lit(1), seeded.poisson(avg_txs_per_cust, F.col("_draw")))
+    counted = drawn.withColumn("_count", count).drop("_draw")
     offsets = running_sum(counted, [], ["CustomerID"], "_count", "_through")
 
     def drawn_time(slot: Column) -> Column:
@@ -115,14 +111,21 @@ def transactions_for(
         "TransactionID", (F.col("_through") - F.col("_count") + F.col("_pos") + 1).cast("bigint")
     )
 
+    # The draws several expressions share are columns of their own.
+    shared = {
+        f"_{purpose}": seeded.uniform(seed, f"tx.{purpose}", "TransactionID")
+        for purpose in ("place", "failures", "failures.usual", "failures.many")
+    }
+    year_start = F.lit(YEAR_START).cast("timestamp_ntz")
+    happened = F.timestamp_add("MILLISECOND", F.col("_millis"), year_start)
+    slots = slots.withColumns({**shared, "Timestamp": happened})
+
     def draw(purpose: str) -> Column:
         return seeded.uniform(seed, f"tx.{purpose}", "TransactionID")
 
     mean = F.col("AvgTransactionAmount")
     amount = mean + F.lit(0.3) * mean * seeded.normal(draw("amount1"), draw("amount2"))
-    year_start = F.lit(YEAR_START).cast("timestamp_ntz")
-    happened = F.timestamp_add("MILLISECOND", F.col("_millis"), year_start)
-    elsewhere = draw("place") >= AT_HOME
+    elsewhere = F.col("_place") >= AT_HOME
 
     def place(home: str) -> Column:
         near = F.lit(0.01) * seeded.normal(draw(f"{home}.near1"), draw(f"{home}.near2"))
@@ -131,11 +134,15 @@ def transactions_for(
 
     ranked = dense_key(merchants.select("MerchantID"), ["MerchantID"], "_rank")
     merchant_count = ranked.count()
-    drawn = slots.select(
+    failures = F.when(
+        F.col("_failures") < USUAL_SHARE,
+        seeded.poisson(USUAL_FAILURES, F.col("`_failures.usual`")),
+    ).otherwise(seeded.poisson(MANY_FAILURES, F.col("`_failures.many`")))
+    made = slots.select(
         "TransactionID",
         "CustomerID",
-        happened.alias("Timestamp"),
-        F.month(happened).alias("TimestampMonth"),
+        "Timestamp",
+        F.month("Timestamp").alias("TimestampMonth"),
         F.greatest(amount, F.lit(1.0)).alias("TransactionAmount"),
         F.when(draw("device") < AT_HOME, F.col("HomeDevice"))
         .otherwise(_device(draw("device.other")))
@@ -147,14 +154,10 @@ def transactions_for(
         place("HomeLon").alias("Lon"),
         seeded.pick(CHANNELS, draw("channel")).alias("Channel"),
         (F.floor(draw("merchant") * F.lit(merchant_count)) + 1).cast("bigint").alias("_rank"),
-        F.when(
-            draw("failures") < USUAL_SHARE, seeded.poisson(USUAL_FAILURES, draw("failures.usual"))
-        )
-        .otherwise(seeded.poisson(MANY_FAILURES, draw("failures.many")))
-        .alias("FailedTransactions"),
+        failures.alias("FailedTransactions"),
     )
-    return drawn.join(ranked, "_rank").select(
-        *[c for c in drawn.columns if c not in ("_rank", "FailedTransactions")],
+    return made.join(ranked, "_rank").select(
+        *[c for c in made.columns if c not in ("_rank", "FailedTransactions")],
         "MerchantID",
         "FailedTransactions",
         loaded_at.alias("ingestion_date"),

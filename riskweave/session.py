@@ -32,12 +32,16 @@ def get_spark(app_name: str = "riskweave", cores: int | None = None) -> SparkSes
     come from spark-submit.
     """
     builder = SparkSession.builder.appName(app_name)
+    # Column expressions need no record of the Python line that built them.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if cores is not None:
         builder = (
             builder.master(f"local[{cores}]")
             .config("spark.sql.shuffle.partitions", str(cores))
             .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
             .config("spark.ui.enabled", "false")
+            # Small local data still deserves all cores.
+            .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         )
     return configure(builder.getOrCreate())
 
