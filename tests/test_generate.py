@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import statistics
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.functions import seeded
+from riskweave.functions.columns import CATEGORY_RISK
+from riskweave.operators import generate as G
+from riskweave.operators.layers import run_timestamp
+from riskweave.operators.quality import orphans
+from riskweave.schemas import SOURCES
+from riskweave.session import materialize
+from riskweave.sources.tables import conform, read_sources
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def loaded_at(spark):
+    return run_timestamp("2024-02-01 00:00:00")
+
+
+@pytest.fixture(scope="module")
+def customers(spark, loaded_at):
+    return materialize(G.generate_customers(spark, loaded_at, 2000, 800), "customers")
+
+
+@pytest.fixture(scope="module")
+def merchants(spark, loaded_at):
+    return materialize(G.generate_merchants(spark, loaded_at, 3000, 60), "merchants")
+
+
+@pytest.fixture(scope="module")
+def transactions(customers, merchants, loaded_at):
+    return materialize(G.transactions_for(customers, merchants, loaded_at), "transactions")
+
+
+@pytest.mark.parametrize("start, count", [(1001, 100), (5000, 50)])
+def test_number_of_customers(spark, loaded_at, start, count):
+    made = G.generate_customers(spark, loaded_at, start, count)
+    assert [r[0] for r in rows(made, "CustomerID")] == list(range(start, start + count))
+
+
+def test_customer_fields(customers):
+    got = customers.agg(
+        F.min("Age"),
+        F.max("Age"),
+        F.min("AvgTransactionAmount"),
+        F.max("AvgTransactionAmount"),
+        F.min("HomeLat"),
+        F.max("HomeLat"),
+        F.min("HomeLon"),
+        F.max("HomeLon"),
+    ).first()
+    assert 18 <= got[0] <= 20 and 62 <= got[1] <= 64
+    assert 50 <= got[2] < 52 and 198 < got[3] < 200
+    assert 30 <= got[4] and got[5] < 45 and -100 <= got[6] and got[7] < -70
+    counts = {r[0]: r[1] for r in customers.groupBy("PastFraudCount").count().collect()}
+    assert set(counts) == {0, 1, 2} and 680 < counts[0] < 760
+    whole = customers.dropna()
+    assert whole.count() == 800
+    first = customers.where("CustomerID = 2031").first()
+    assert first.AccountCreationDate == datetime(2020, 2, 1)
+    assert first.AccountCreationMonth == 2
+    assert first.HomeDevice.startswith("dev_") and first.HomeIP.startswith("192.168.")
+
+
+def test_merchant_categories_carry_their_score(merchants):
+    got = {(r.Category, r.MerchantRiskScore) for r in merchants.collect()}
+    assert got == set(CATEGORY_RISK.items())
+
+
+def test_transactions_are_numbered_by_customer_and_time(transactions):
+    got = [
+        tuple(r)
+        for r in transactions.select("TransactionID", "CustomerID", "Timestamp")
+        .orderBy("TransactionID")
+        .collect()
+    ]
+    assert [r[0] for r in got] == list(range(1, len(got) + 1))
+    assert [r[1:] for r in got] == sorted(r[1:] for r in got)
+    assert min(r[2] for r in got) >= datetime(2022, 1, 1)
+    assert max(r[2] for r in got) < datetime(2022, 12, 31)
+
+
+def test_transaction_counts_and_drift(transactions, customers):
+    per_customer = [r[1] for r in transactions.groupBy("CustomerID").count().collect()]
+    assert len(per_customer) == 800 and min(per_customer) >= 1
+    assert 4.8 < statistics.mean(per_customer) < 5.2
+    assert 4.2 < statistics.variance(per_customer) < 5.8
+    joined = transactions.join(customers, "CustomerID")
+    got = joined.agg(
+        F.avg((F.col("DeviceID") == F.col("HomeDevice")).cast("int")),
+        F.avg((F.col("IP_Address") == F.col("HomeIP")).cast("int")),
+        F.avg((F.abs(F.col("Lat") - F.col("HomeLat")) < 0.1).cast("int")),
+        F.min("TransactionAmount"),
+        F.avg(F.col("TransactionAmount") / F.col("AvgTransactionAmount")),
+        F.countDistinct("Channel"),
+        F.countDistinct("MerchantID"),
+    ).first()
+    assert all(0.88 < share < 0.92 for share in got[:3])
+    assert got[3] >= 1.0 and 0.98 < got[4] < 1.02
+    assert got[5] == 5 and got[6] == 60
+
+
+def test_integrity(transactions, customers, merchants):
+    assert orphans(transactions, customers, "CustomerID", "r").first().orphan_rows == 0
+    assert orphans(transactions, merchants, "MerchantID", "r").first().orphan_rows == 0
+
+
+def test_logins_precede_their_transaction(transactions):
+    logins = G.login_attempts_for(transactions)
+    expected = transactions.agg(F.sum("FailedTransactions")).first()[0]
+    assert logins.count() == expected
+    assert rows(logins.select("Success").distinct()) == [(False,)]
+    mean = expected / transactions.count()
+    assert 0.6 < mean < 0.85  # 95% with mean 0.5, 5% with mean 5
+    assert dict(logins.dtypes)["CustomerID"] == dict(transactions.dtypes)["CustomerID"]
+
+
+def test_rows_do_not_depend_on_partitioning(spark, customers, merchants, transactions, loaded_at):
+    again = G.transactions_for(customers.repartition(7), merchants.repartition(3), loaded_at)
+    assert transactions.exceptAll(again).count() == 0
+    other = G.generate_customers(spark, loaded_at, 2000, 800, seed=7)
+    assert other.exceptAll(customers).count() > 700
+
+
+def test_whole_set_is_written_in_the_declared_schemas(spark, loaded_at, tmp_path):
+    tables = G.generate_tables(
+        G.generate_customers(spark, loaded_at, num_customers=30),
+        G.generate_merchants(spark, loaded_at, num_merchants=5),
+        loaded_at,
+    )
+    assert "FailedTransactions" not in tables["transactions"].columns
+    G.write_tables(tables, str(tmp_path))
+    back = read_sources(spark, str(tmp_path))
+    for name, df in back.items():
+        assert df.schema == SOURCES[name]
+        assert rows(df) == rows(conform(name, tables[name]))
+
+
+def test_arrival_times_rise_from_the_start(spark):
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    ids = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").alias("i"))
+    got = rows(G.arrival_times(ids, ["k"], ["i"], start, scale_seconds=60.0), "k", "i", "arrival_time")
+    for key in (0, 1):
+        times = [r[2] for r in sorted(r for r in got if r[0] == key)]
+        assert times == sorted(times) and times[0] > datetime(2024, 1, 1)
+        mean_gap = (times[-1] - datetime(2024, 1, 1)).total_seconds() / len(times)
+        assert 54 < mean_gap < 66
+
+
+def test_poisson_draws(spark):
+    draws = spark.range(20000).select(seeded.uniform(1, "p", "id").alias("u"))
+    got = draws.select(seeded.poisson(5.0, F.col("u")).alias("n")).agg(
+        F.avg("n"), F.var_samp("n"), F.min("n")
+    ).first()
+    assert 4.9 < got[0] < 5.1 and 4.8 < got[1] < 5.2 and got[2] == 0
+    steps = seeded.poisson_steps(0.5)
+    assert steps == sorted(steps) and steps[-1] > 1 - 1e-12
+
+
+def test_normal_and_uniform_draws(spark):
+    u = [seeded.uniform(1, purpose, "id") for purpose in ("a", "b")]
+    got = spark.range(20000).select(u[0].alias("u"), seeded.normal(*u).alias("z")).agg(
+        F.avg("u"), F.min("u"), F.max("u"), F.avg("z"), F.stddev("z")
+    ).first()
+    assert 0.49 < got[0] < 0.51 and 0 <= got[1] < 0.001 and 0.999 < got[2] < 1
+    assert abs(got[3]) < 0.03 and 0.98 < got[4] < 1.02

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators import metrics
+from riskweave.operators.rules import RULES, apply_rules, reweighted
+from riskweave.operators.sampling import stratified_split
+from tests.conftest import rows
+
+INPUT = (
+    "failed_logins_24h bigint, geo_mismatch boolean, is_high_risk_merchant boolean,"
+    " customer_risk_level string, customer_has_fraud_history boolean,"
+    " customer_past_fraud_count bigint, odd_hours boolean, weekend_login boolean,"
+    " night_login boolean, amount_zscore double"
+)
+QUIET = (3, False, False, "Low", False, 0, False, False, False, 3.0)
+
+
+def scored(spark, *cases):
+    result = apply_rules(spark.createDataFrame(list(cases), INPUT))
+    return [(r.risk_score, r.flags, r.label) for r in result.collect()]
+
+
+def test_nothing_fires_at_the_thresholds(spark):
+    assert scored(spark, QUIET) == [(0, "", 0)]
+
+
+@pytest.mark.parametrize(
+    "position, value, flag, weight",
+    [
+        (0, 4, "FAILED_LOGIN", 1),
+        (1, True, "GEO_MISMATCH", 2),
+        (2, True, "HIGH_RISK_MERCHANT", 2),
+        (3, "Medium", "CUSTOMER_RISK", 2),
+        (3, "High", "CUSTOMER_RISK", 2),
+        (4, True, "PAST_FRAUD", 2),
+        (5, 1, "PAST_FRAUD", 2),
+        (6, True, "ODD_HOURS", 1),
+        (7, True, "WEEKEND_LOGIN", 1),
+        (8, True, "NIGHT_LOGIN", 1),
+        (9, 3.01, "AMOUNT_OUTLIER", 2),
+        (9, -3.01, "AMOUNT_OUTLIER", 2),
+    ],
+)
+def test_each_rule_alone(spark, position, value, flag, weight):
+    case = list(QUIET)
+    case[position] = value
+    assert scored(spark, tuple(case)) == [(weight, flag, 0)]
+
+
+def test_unknown_conditions_do_not_fire(spark):
+    assert scored(spark, (None,) * 10) == [(0, "", 0)]
+
+
+def test_everything_fires_in_rule_order(spark):
+    everything = (9, True, True, "High", True, 5, True, True, True, 9.0)
+    flags = ",".join(rule.flag for rule in RULES)
+    assert scored(spark, everything) == [(14, flags, 1)]
+
+
+def test_label_starts_at_five(spark):
+    four = (4, False, True, "Low", False, 0, True, False, False, 0.0)
+    five = (4, True, True, "Low", False, 0, False, False, False, 0.0)
+    assert [s[::2] for s in scored(spark, four, five)] == [(4, 0), (5, 1)]
+
+
+def test_score_is_the_sum_of_the_flags_weights(spark):
+    options = [[3, 4], [False, True], [False, True], ["Low", "High"], [False, True], [0]]
+    options += [[False, True]] * 3 + [[0.0, 4.0]]
+    cases = list(itertools.product(*options))
+    weights = {rule.flag: rule.weight for rule in RULES}
+    for score, flags, label in scored(spark, *cases):
+        assert score == sum(weights[f] for f in flags.split(",") if f)
+        assert label == (score >= 5)
+
+
+def test_reweighted(spark):
+    rules = reweighted({"GEO_MISMATCH": 5})
+    case = (0, True, False, "Low", False, 0, False, False, False, 0.0)
+    row = apply_rules(spark.createDataFrame([case], INPUT), rules).first()
+    assert (row.risk_score, row.label) == (5, 1)
+    with pytest.raises(ValueError):
+        reweighted({"NO_SUCH": 1})
+
+
+@pytest.mark.parametrize("digits", [1, 2, 4])
+@pytest.mark.parametrize("sizes", [(1, 3), (5, 4), (37, 211), (0, 10)])
+def test_stratified_split_is_exact(spark, sizes, digits):
+    data = [(i, int(i >= sizes[0])) for i in range(sum(sizes))]
+    df = spark.createDataFrame(data, "transaction_id bigint, label int")
+    got = {r[0]: r[2] for r in stratified_split(df, hash_digits=digits).collect()}
+    want = {}
+    for label in (0, 1):
+        ids = [i for i, known in data if known == label]
+        ids.sort(key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
+        want.update({i: "test" if n < len(ids) // 5 else "train" for n, i in enumerate(ids)})
+    assert got == want
+
+
+def test_label_distribution(spark):
+    df = spark.createDataFrame([("train", 1), ("train", 1), ("test", 0)], "split string, label int")
+    assert rows(metrics.label_distribution(df)) == [("test", 0, 1), ("train", 1, 2)]
+
+
+def test_class_weights_balance_the_classes(spark):
+    df = spark.createDataFrame([(0,)] * 3 + [(1,)], "label int")
+    assert rows(metrics.class_weights(df)) == [(0, 3, 4 / 6), (1, 1, 2.0)]
+    weighted = metrics.with_class_weight(df).groupBy("label").agg(F.sum("class_weight"))
+    assert {r[1] for r in weighted.collect()} == {2.0}
+
+
+def test_binary_metrics(spark):
+    pairs = [(1, 1.0)] * 6 + [(0, 1.0)] * 2 + [(1, 0.0)] * 3 + [(0, 0.0)] * 9
+    df = spark.createDataFrame(pairs, "label int, prediction double")
+    row = metrics.binary_metrics(df).first()
+    assert (row.tp, row.fp, row.fn, row.tn) == (6, 2, 3, 9)
+    assert row.accuracy == 15 / 20 and row.precision == 6 / 8 and row.recall == 6 / 9
+    assert row.f1 == pytest.approx(2 * 0.75 * (6 / 9) / (0.75 + 6 / 9))
+
+
+def test_binary_metrics_without_positives(spark):
+    df = spark.createDataFrame([(0, 0.0)], "label int, prediction double")
+    row = metrics.binary_metrics(df).first()
+    assert (row.accuracy, row.precision, row.recall, row.f1) == (1.0, 0.0, 0.0, 0.0)
+    empty = metrics.binary_metrics(df.where("label = 7")).first()
+    assert empty.accuracy == 0.0
