@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions import columns as C
-from riskweave.operators.login_context import FAILED, LAST, LOOKBACK_HOURS, with_login_context
+from riskweave.operators.login_context import (
+    FAILED,
+    LAST,
+    LOOKBACK_HOURS,
+    context_by_segments,
+    context_by_window,
+    timeline_partitions,
+    with_login_context,
+)
 from riskweave.operators.skew import KeySkew, measure_skew
 
-FEATURES = (
-    "failed_logins_24h",
-    "geo_mismatch",
-    "odd_hours",
-    "weekend_login",
-    "night_login",
-)
+LOGIN_FLAGS = ("odd_hours", "weekend_login", "night_login")
+FEATURES = ("failed_logins_24h", "geo_mismatch", *LOGIN_FLAGS)
 
 
 def last_logins(transactions: DataFrame, logins: DataFrame, **options) -> DataFrame:
@@ -40,33 +45,78 @@ def failed_logins(transactions: DataFrame, logins: DataFrame, **options) -> Data
     )
 
 
+def _login_flags(logins: DataFrame) -> DataFrame:
+    """What the features need of a login; flags instead of text keep the shuffle small.
+
+    ``night_login`` looks at the customer's lifetime count of night logins, later
+    ones included, as the published feature does.
+    """
+    flags = {
+        "odd_hours": F.col("login_time_of_day") == C.LOGIN_NIGHT,
+        "weekend_login": F.col("is_weekend_login"),
+        "night_login": F.col("night_login_attempts") > 0,
+    }
+    return logins.select(
+        "customer_id",
+        "login_timestamp",
+        "login_attempt_id",
+        "is_success",
+        *[flag.alias(name) for name, flag in flags.items()],
+    )
+
+
+def _with_features(context: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The five behavioural features behind the given columns."""
+    mismatch = C.geo_mismatch(
+        F.col("latitude"),
+        F.col("longitude"),
+        F.col("customer_home_latitude"),
+        F.col("customer_home_longitude"),
+    )
+    return context.select(
+        *columns,
+        F.col(FAILED).alias("failed_logins_24h"),
+        mismatch.alias("geo_mismatch"),
+        *[C.or_false(F.col(f"{LAST}.{flag}")).alias(flag) for flag in LOGIN_FLAGS],
+    )
+
+
 def enrich_transactions(
     transactions: DataFrame,
     logins: DataFrame,
     hours: int = LOOKBACK_HOURS,
     skew: KeySkew | None = None,
 ) -> DataFrame:
-    """Mart transactions plus the five behavioural features.
+    """Mart transactions plus the five behavioural features."""
+    context = with_login_context(transactions, _login_flags(logins), hours, skew, LOGIN_FLAGS)
+    return _with_features(context, transactions.columns)
 
-    ``night_login`` looks at the customer's lifetime count of night logins, later
-    ones included, as the published feature does.
+
+def enrich_for_rules(
+    transactions: DataFrame,
+    logins: DataFrame,
+    hours: int = LOOKBACK_HOURS,
+    skew: KeySkew | None = None,
+) -> DataFrame:
+    """``enrich_transactions`` plus ``amount_zscore``, splitting hot customers once.
+
+    Ordinary customers get both from windows over one exchange. The amount
+    statistics of hot customers come from the transactions as given, not from
+    their enriched form.
     """
-    context = with_login_context(transactions, logins, hours, skew)
-    features: dict[str, Column] = {
-        "failed_logins_24h": F.col(FAILED),
-        "geo_mismatch": C.geo_mismatch(
-            F.col("latitude"),
-            F.col("longitude"),
-            F.col("customer_home_latitude"),
-            F.col("customer_home_longitude"),
-        ),
-        "odd_hours": C.or_false(F.col(f"{LAST}.login_time_of_day") == C.LOGIN_NIGHT),
-        "weekend_login": C.or_false(F.col(f"{LAST}.is_weekend_login")),
-        "night_login": C.or_false(F.col(f"{LAST}.night_login_attempts") > 0),
-    }
-    return context.select(
-        *transactions.columns, *[column.alias(name) for name, column in features.items()]
+    skew = skew or measure_skew("customer_id", [transactions, logins])
+    tx, hot_tx = skew.split(transactions)
+    events, hot_events = skew.split(_login_flags(logins))
+    context = context_by_window(tx, events, hours, LOGIN_FLAGS)
+    cold = _zscore_by_window(_with_features(context, transactions.columns))
+    if hot_tx is None:
+        return cold
+    partitions = timeline_partitions(transactions, skew)
+    hot_context = context_by_segments(hot_tx, hot_events, hours, LOGIN_FLAGS, partitions)
+    hot = zscore_from_statistics(
+        _with_features(hot_context, transactions.columns), amount_statistics(hot_tx)
     )
+    return cold.unionByName(hot)
 
 
 def amount_statistics(transactions: DataFrame) -> DataFrame:
@@ -91,22 +141,26 @@ def zscore_from_statistics(transactions: DataFrame, statistics: DataFrame) -> Da
     )
 
 
+def _zscore_by_window(transactions: DataFrame) -> DataFrame:
+    """Keeps a partitioning by customer: no shuffle if there is one already."""
+    customer = Window.partitionBy("customer_id")
+    score = _zscore(
+        F.avg("transaction_amount").over(customer), F.stddev_pop("transaction_amount").over(customer)
+    )
+    known = F.when(F.col("customer_id").isNotNull(), score)
+    return transactions.select("*", known.alias("amount_zscore"))
+
+
 def with_amount_zscore(transactions: DataFrame, skew: KeySkew | None = None) -> DataFrame:
     """Add ``amount_zscore`` within the customer's own transactions.
 
-    Ordinary customers use a window, which keeps the partitioning the features
-    were computed in: no further shuffle. Hot customers are aggregated before the
+    Ordinary customers use a window. Hot customers are aggregated before the
     shuffle and their few statistics joined back. Transactions without a customer
     or without an amount have no score.
     """
     skew = skew or measure_skew("customer_id", [transactions])
     cold, hot = skew.split(transactions)
-    customer = Window.partitionBy("customer_id")
-    score = _zscore(
-        F.avg("transaction_amount").over(customer), F.stddev_pop("transaction_amount").over(customer)
-    )
-    known = F.when(F.col("customer_id").isNotNull(), score).alias("amount_zscore")
-    scored = cold.select("*", known)
+    scored = _zscore_by_window(cold)
     if hot is None:
         return scored
     return scored.unionByName(zscore_from_statistics(hot, amount_statistics(hot)))

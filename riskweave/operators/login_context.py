@@ -14,6 +14,8 @@ is linear in the number of events:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,7 +34,6 @@ LOOKBACK_HOURS = 24
 
 LAST = "last_login"
 FAILED = "failed_logins"
-_DETAILS = ("login_time_of_day", "is_weekend_login", "night_login_attempts")
 
 
 def with_login_context(
@@ -40,27 +41,34 @@ def with_login_context(
     logins: DataFrame,
     hours: int = LOOKBACK_HOURS,
     skew: KeySkew | None = None,
+    details: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``last_login`` (a struct, null if none) and ``failed_logins``.
 
-    Customers small enough for one task share a single window pass. Hot customers,
-    and then also transactions without a customer, take the range-partitioned
-    form. ``skew`` is measured on both inputs unless given.
+    The struct holds the login's time and id, and the columns named in ``details``.
+
+    Customers small enough for one task share a single window pass, hot ones take
+    the range-partitioned form. ``skew`` is measured on both inputs unless given.
     """
     skew = skew or measure_skew("customer_id", [transactions, logins])
     tx, hot_tx = skew.split(transactions)
     events, hot_events = skew.split(logins)
-    context = context_by_window(tx, events, hours)
+    context = context_by_window(tx, events, hours, details)
     if hot_tx is None:
         return context
-    # Two probes per transaction moment and one event per login.
-    partitions = partitions_for(transactions, 2 * skew.rows)
-    return context.unionByName(context_by_segments(hot_tx, hot_events, hours, partitions))
+    hot_context = context_by_segments(
+        hot_tx, hot_events, hours, details, timeline_partitions(transactions, skew)
+    )
+    return context.unionByName(hot_context)
+
 
+def timeline_partitions(transactions: DataFrame, skew: KeySkew) -> int:
+    """Partitions for a hot time line: two probes per transaction, an event per login."""
+    return partitions_for(transactions, 2 * skew.rows)
 
-def _login_events(logins: DataFrame) -> DataFrame:
+
+def _login_events(logins: DataFrame, details: Sequence[str]) -> DataFrame:
     """Logins as events: when, whether failed, and what a last login tells."""
-    details = [name for name in _DETAILS if name in logins.columns]
     return logins.where("customer_id IS NOT NULL AND login_timestamp IS NOT NULL").select(
         "customer_id",
         F.col("login_timestamp").alias("_at"),
@@ -70,7 +78,10 @@ def _login_events(logins: DataFrame) -> DataFrame:
 
 
 def context_by_window(
-    transactions: DataFrame, logins: DataFrame, hours: int = LOOKBACK_HOURS
+    transactions: DataFrame,
+    logins: DataFrame,
+    hours: int = LOOKBACK_HOURS,
+    details: Sequence[str] = (),
 ) -> DataFrame:
     """One exchange by customer, one sort by time, one window operator.
 
@@ -80,7 +91,7 @@ def context_by_window(
     """
     timeline = transactions.select(
         "*", F.col("transaction_timestamp").alias("_at"), F.lit(True).alias("_is_tx")
-    ).unionByName(_login_events(logins), allowMissingColumns=True)
+    ).unionByName(_login_events(logins, details), allowMissingColumns=True)
     over = "OVER (PARTITION BY customer_id ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING AND {})"
     until_now = over.format("CURRENT ROW")
     until_lookback = over.format(f"INTERVAL '{hours}:00:00.000001' HOUR TO SECOND PRECEDING")
@@ -99,6 +110,7 @@ def context_by_segments(
     transactions: DataFrame,
     logins: DataFrame,
     hours: int = LOOKBACK_HOURS,
+    details: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
     """The same for customers of any size: no task holds a whole customer.
@@ -128,7 +140,7 @@ def context_by_segments(
             )
         ).alias("_probe"),
     ).select(*instant, "_probe.*")
-    events = _login_events(logins).withColumn("_rank", F.lit(1))
+    events = _login_events(logins, details).withColumn("_rank", F.lit(1))
     timeline = events.unionByName(probes, allowMissingColumns=True).withColumn(
         "_tie", F.col("_login.login_attempt_id")
     )

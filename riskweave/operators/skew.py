@@ -20,7 +20,7 @@ GROUP_LIMIT = 2_000_000
 class KeySkew:
     """The hot keys of a set of frames; ``hot`` is None if there are none.
 
-    ``rows`` is the number of rows they (and a missing key) have in all frames.
+    A missing key counts as a key. ``rows`` is what the hot keys hold in all frames.
     """
 
     key: str
@@ -28,13 +28,12 @@ class KeySkew:
     rows: int = 0
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Rows of ordinary keys, and rows of hot keys plus those without a key."""
+        """Rows of ordinary keys, and rows of hot keys."""
         if self.hot is None:
             return df, None
-        keyed = df.where(F.col(self.key).isNotNull())
-        cold = keyed.join(self.hot, self.key, "left_anti")
-        hot = keyed.join(self.hot, self.key, "left_semi")
-        return cold, hot.unionByName(df.where(F.col(self.key).isNull()))
+        keys = self.hot.select(F.col(self.key).alias("_hot"))
+        is_hot = df[self.key].eqNullSafe(keys["_hot"])
+        return df.join(keys, is_hot, "left_anti"), df.join(keys, is_hot, "left_semi")
 
 
 def measure_skew(key: str, frames: Sequence[DataFrame], limit: int = GROUP_LIMIT) -> KeySkew:
@@ -42,7 +41,7 @@ def measure_skew(key: str, frames: Sequence[DataFrame], limit: int = GROUP_LIMIT
 
     Reads the key columns only. Counts are combined on the map side, so one row
     per key and task is shuffled and one number reaches the driver. There are at
-    most (rows / limit) hot keys. Rows without a key count as one key.
+    most (rows / limit) hot keys.
     """
     counts = [df.groupBy(key).agg(F.count("*").alias("n")) for df in frames]
     per_key = reduce(DataFrame.unionByName, counts).groupBy(key).agg(F.sum("n").alias("n"))

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from riskweave.operators import dims, facts, layers, marts
-from riskweave.operators.features import enrich_transactions, with_amount_zscore
+from riskweave.operators.features import enrich_for_rules, enrich_transactions
 from riskweave.operators.rules import apply_rules
 from riskweave.operators.skew import KeySkew, measure_skew
 
@@ -111,6 +111,13 @@ class Warehouse:
             self.v_transaction, self.fact_login_attempt, skew=self.customer_skew
         )
 
+    @cached_property
+    def features_for_rules(self) -> DataFrame:
+        """``enriched_transactions`` with the amount's z-score."""
+        return enrich_for_rules(
+            self.v_transaction, self.fact_login_attempt, skew=self.customer_skew
+        )
+
     @cached_property
     def scored_transactions(self) -> DataFrame:
-        return apply_rules(with_amount_zscore(self.enriched_transactions, self.customer_skew))
+        return apply_rules(self.features_for_rules)

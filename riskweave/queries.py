@@ -112,8 +112,7 @@ def alerts_sink_roundtrip(spark, folder):
 
 def _earlier_alerts(w: Warehouse) -> DataFrame:
     """Alerts of an earlier run that only alerted on higher scores."""
-    enriched = features.with_amount_zscore(w.enriched_transactions, w.customer_skew)
-    return A.rule_alerts(apply_rules(enriched, alert_from=EARLIER_ALERT_FROM))
+    return A.rule_alerts(apply_rules(w.features_for_rules, alert_from=EARLIER_ALERT_FROM))
 
 
 @query

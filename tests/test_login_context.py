@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.features import (
     amount_statistics,
+    enrich_for_rules,
     enrich_transactions,
     failed_logins,
     last_logins,
@@ -212,9 +213,32 @@ def test_given_statistics_give_the_same_scores(spark):
     assert given == pytest.approx({k: v for k, v in own.items()}, nan_ok=True)
 
 
-def test_skew_counts_rows_without_key(spark):
+def test_a_missing_key_can_be_hot(spark):
     df = spark.createDataFrame([(None,)] * 5 + [(1,)], "customer_id bigint")
     skew = measure_skew("customer_id", [df], limit=3)
     assert skew.rows == 5
     cold, hot = skew.split(df.withColumn("x", F.lit(1)))
-    assert rows(cold) == [(1, 1)] and hot.count() == 5
+    assert rows(cold) == [(1, 1)] and rows(hot) == [(None, 1)] * 5
+
+
+@pytest.mark.parametrize("limit", [10**6, 40])
+def test_features_for_rules_do_not_depend_on_the_split(spark, limit):
+    """With and without hot customers; equal to features and scores one by one."""
+    tx, logins = random_events(8, 9, 150, 300)
+    data = [(*t, float(t[0] % 17) or None, 40.0, -80.0, 40.0, -80.0) for t in tx]
+    mart = spark.createDataFrame(
+        data,
+        TX + ", transaction_amount double, latitude double, longitude double,"
+        " customer_home_latitude double, customer_home_longitude double",
+    )
+    events = spark.createDataFrame(logins, LOGIN)
+    skew = measure_skew("customer_id", [mart, events], limit)
+    assert (skew.hot is None) == (limit > 1000)
+    none = KeySkew("customer_id", None)
+    want = with_amount_zscore(enrich_transactions(mart, events, skew=none), none)
+    got = enrich_for_rules(mart, events, skew=skew)
+
+    def rounded(df):
+        return rows(df.withColumn("amount_zscore", F.round("amount_zscore", 9)))
+
+    assert rounded(got) == rounded(want)

@@ -7,7 +7,7 @@ import io
 
 import pytest
 
-from riskweave.operators.features import enrich_transactions, with_amount_zscore
+from riskweave.operators.features import enrich_for_rules
 from riskweave.operators.rules import apply_rules
 from riskweave.operators.skew import KeySkew
 from riskweave.plans.warehouse import Warehouse
@@ -48,8 +48,7 @@ def test_scoring_the_marts_takes_one_exchange(spark, warehouse, tmp_path):
     for name in ("v_transaction", "v_login_attempt"):
         write_mart(getattr(warehouse, name), str(tmp_path), name)
     transactions, logins = load_marts(spark, str(tmp_path))
-    enriched = enrich_transactions(transactions, logins, skew=NO_SKEW)
-    scored = apply_rules(with_amount_zscore(enriched, NO_SKEW))
+    scored = apply_rules(enrich_for_rules(transactions, logins, skew=NO_SKEW))
     assert tree(scored).count("Exchange") == 1
     assert tree(scored).count("Sort") == 1
     assert "hashpartitioning(customer_id" in plan(scored)
@@ -58,10 +57,10 @@ def test_scoring_the_marts_takes_one_exchange(spark, warehouse, tmp_path):
 
 
 def test_whole_pipeline_does_not_shuffle_again_after_the_mart(warehouse, no_broadcast):
-    enriched = enrich_transactions(
+    enriched = enrich_for_rules(
         warehouse.v_transaction, warehouse.fact_login_attempt, skew=NO_SKEW
     )
-    scored = tree(apply_rules(with_amount_zscore(enriched, NO_SKEW)))
+    scored = tree(apply_rules(enriched))
     # Transactions by merchant and by customer, merchants, customers, logins, login counts.
     assert scored.count("Exchange") == 6
     above_union = scored.split("Union")[0]
