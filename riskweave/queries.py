@@ -553,7 +553,12 @@ def stream_failed_logins(spark, folder):
         RUN_TS,
         AS_OF,
     )
-    counts = lookback.failed_login_counts(w.stg_transaction, w.stg_login_attempt, STREAM_DELAY)
+    counts = lookback.failed_login_counts(
+        w.stg_transaction,
+        w.stg_login_attempt,
+        STREAM_DELAY,
+        skew=warehouse(spark, folder).customer_skew,
+    )
     path = scratch_path(spark, "failed_logins")
     stream = lookback.start_failed_login_counts(counts, path, scratch_path(spark, "checkpoint"))
     stream.awaitTermination()
