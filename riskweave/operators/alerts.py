@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from riskweave.schemas import ALERTS
 
-# What an alert raised by the model carries.
+# What an alert raised by the model carries, and the message sent.
 MODEL_RISK_SCORE = 1
 MODEL_FLAG = "ML_MODEL"
+MESSAGE = "Sending email to customer %s..."
 
 
 def _as_alerts(df: DataFrame, risk_score: Column, flags: Column) -> DataFrame:
@@ -50,7 +51,7 @@ def top_risky_customers(alerts: DataFrame, n: int = 10) -> DataFrame:
 
 def notification_feed(alerts: DataFrame) -> DataFrame:
     """One message per alert."""
-    message = F.format_string("Sending email to customer %s...", "customer_id")
+    message = F.format_string(MESSAGE, "customer_id")
     return alerts.select("transaction_id", "customer_id", message.alias("message"))
 
 

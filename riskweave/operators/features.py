@@ -144,9 +144,8 @@ def zscore_from_statistics(transactions: DataFrame, statistics: DataFrame) -> Da
 def _zscore_by_window(transactions: DataFrame) -> DataFrame:
     """Keeps a partitioning by customer: no shuffle if there is one already."""
     customer = Window.partitionBy("customer_id")
-    score = _zscore(
-        F.avg("transaction_amount").over(customer), F.stddev_pop("transaction_amount").over(customer)
-    )
+    amount = F.col("transaction_amount")
+    score = _zscore(F.avg(amount).over(customer), F.stddev_pop(amount).over(customer))
     known = F.when(F.col("customer_id").isNotNull(), score)
     return transactions.select("*", known.alias("amount_zscore"))
 

@@ -158,7 +158,10 @@ def context_by_segments(
     )
     running = (
         placed.withColumns(
-            {"_run_failed": F.sum("_failed").over(within), "_run_login": F.max("_login").over(within)}
+            {
+                "_run_failed": F.sum("_failed").over(within),
+                "_run_login": F.max("_login").over(within),
+            }
         )
         .where("_rank <> 1")
         # Fewer rows than segments.

@@ -20,6 +20,8 @@ POSITION = "_position"
 SEGMENT = "_segment"
 # What one task sorts, at most (range partitioning balances by a sample).
 ROWS_PER_SEGMENT = 2_000_000
+# Fewer rows are not worth a task of their own.
+SMALL_SEGMENT = 2_000
 # monotonically_increasing_id() keeps the partition above bit 33.
 _ROW_BITS = 33
 
@@ -30,9 +32,11 @@ def order_columns(order: Sequence[str | Column]) -> list[Column]:
 
 
 def partitions_for(df: DataFrame, rows: int) -> int:
-    """At least the session's shuffle partitions, and enough for ``rows``."""
+    """As many as ``rows`` need; the session's shuffle partitions where that is fewer."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, -(-rows // ROWS_PER_SEGMENT))
+    needed = -(-rows // ROWS_PER_SEGMENT)
+    worthwhile = min(configured, -(-rows // SMALL_SEGMENT))
+    return max(needed, worthwhile, 1)
 
 
 def ordered_segments(

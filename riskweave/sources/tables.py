@@ -44,8 +44,9 @@ def read_nanosecond_source(spark: SparkSession, path: str, name: str) -> DataFra
             continue
         column = F.col(field.name)
         if isinstance(field.dataType, T.TimestampNTZType) and stored[field.name] == T.LongType():
-            micros = F.expr(f"`{field.name}` div 1000")
-            column = F.timestamp_micros(micros)
+            epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            micros = F.floor(column / F.lit(1000).cast("decimal(4,0)")).cast("bigint")
+            column = F.timestamp_add("MICROSECOND", micros, epoch)
         columns.append(column.cast(field.dataType).alias(field.name))
     return raw.select(*columns)
 

@@ -17,7 +17,8 @@ DATA = "/root/testdata"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.environ.setdefault("SPARK_DRIVER_MEMORY", "6g")
-    session = get_spark("riskweave-tests", cores=4)
+    session = get_spark("riskweave-tests", cores=8)
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

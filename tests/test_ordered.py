@@ -64,5 +64,7 @@ def test_a_hot_key_spans_segments_and_little_is_carried(skewed):
 
 
 def test_partitions_grow_with_the_rows(skewed):
-    assert partitions_for(skewed, 10) == 4
+    assert partitions_for(skewed, 0) == partitions_for(skewed, 10) == 1
+    assert partitions_for(skewed, 5000) == 3
+    assert partitions_for(skewed, 10**6) == 4
     assert partitions_for(skewed, 100 * ROWS_PER_SEGMENT + 1) == 101
