@@ -81,6 +81,49 @@ def _with_features(context: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def ordinary_features(
+    transactions: DataFrame, logins: DataFrame, zscore: bool, hours: int = LOOKBACK_HOURS
+) -> DataFrame:
+    """Features for customers that fit one task: one exchange, also with ``zscore``."""
+    context = context_by_window(transactions, _login_flags(logins), hours, LOGIN_FLAGS)
+    enriched = _with_features(context, transactions.columns)
+    return _zscore_by_window(enriched) if zscore else enriched
+
+
+def hot_features(
+    transactions: DataFrame,
+    logins: DataFrame,
+    zscore: bool,
+    skew: KeySkew,
+    hours: int = LOOKBACK_HOURS,
+) -> DataFrame:
+    """The same for hot customers, none of which is ever in one task.
+
+    Amount statistics come from the transactions as given, not from their
+    enriched form.
+    """
+    partitions = timeline_partitions(transactions, skew)
+    context = context_by_segments(
+        transactions, _login_flags(logins), hours, LOGIN_FLAGS, partitions
+    )
+    enriched = _with_features(context, transactions.columns)
+    if not zscore:
+        return enriched
+    return zscore_from_statistics(enriched, amount_statistics(transactions))
+
+
+def _features(
+    transactions: DataFrame, logins: DataFrame, zscore: bool, hours: int, skew: KeySkew | None
+) -> DataFrame:
+    skew = skew or measure_skew("customer_id", [transactions, logins])
+    cold_tx, hot_tx = skew.split(transactions)
+    cold_logins, hot_logins = skew.split(logins)
+    ordinary = ordinary_features(cold_tx, cold_logins, zscore, hours)
+    if hot_tx is None:
+        return ordinary
+    return ordinary.unionByName(hot_features(hot_tx, hot_logins, zscore, skew, hours))
+
+
 def enrich_transactions(
     transactions: DataFrame,
     logins: DataFrame,
@@ -88,8 +131,7 @@ def enrich_transactions(
     skew: KeySkew | None = None,
 ) -> DataFrame:
     """Mart transactions plus the five behavioural features."""
-    context = with_login_context(transactions, _login_flags(logins), hours, skew, LOGIN_FLAGS)
-    return _with_features(context, transactions.columns)
+    return _features(transactions, logins, False, hours, skew)
 
 
 def enrich_for_rules(
@@ -98,25 +140,8 @@ def enrich_for_rules(
     hours: int = LOOKBACK_HOURS,
     skew: KeySkew | None = None,
 ) -> DataFrame:
-    """``enrich_transactions`` plus ``amount_zscore``, splitting hot customers once.
-
-    Ordinary customers get both from windows over one exchange. The amount
-    statistics of hot customers come from the transactions as given, not from
-    their enriched form.
-    """
-    skew = skew or measure_skew("customer_id", [transactions, logins])
-    tx, hot_tx = skew.split(transactions)
-    events, hot_events = skew.split(_login_flags(logins))
-    context = context_by_window(tx, events, hours, LOGIN_FLAGS)
-    cold = _zscore_by_window(_with_features(context, transactions.columns))
-    if hot_tx is None:
-        return cold
-    partitions = timeline_partitions(transactions, skew)
-    hot_context = context_by_segments(hot_tx, hot_events, hours, LOGIN_FLAGS, partitions)
-    hot = zscore_from_statistics(
-        _with_features(hot_context, transactions.columns), amount_statistics(hot_tx)
-    )
-    return cold.unionByName(hot)
+    """``enrich_transactions`` plus ``amount_zscore``."""
+    return _features(transactions, logins, True, hours, skew)
 
 
 def amount_statistics(transactions: DataFrame) -> DataFrame:

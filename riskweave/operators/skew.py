@@ -14,6 +14,8 @@ from riskweave.session import materialize
 # Rows of one key a single task may hold in a sorted window (it spills beyond
 # memory, but stays one task). Larger keys take the range-partitioned form.
 GROUP_LIMIT = 2_000_000
+# Up to this many hot keys, a few megabytes, are sent to every executor.
+BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,8 +48,8 @@ def measure_skew(key: str, frames: Sequence[DataFrame], limit: int = GROUP_LIMIT
     counts = [df.groupBy(key).agg(F.count("*").alias("n")) for df in frames]
     per_key = reduce(DataFrame.unionByName, counts).groupBy(key).agg(F.sum("n").alias("n"))
     large = per_key.where(F.col("n") > limit)
-    rows = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if rows == 0:
+    keys, rows = large.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if keys == 0:
         return KeySkew(key, None)
-    # The written table has an exact size, by which Spark decides on broadcasts.
-    return KeySkew(key, materialize(large.select(key), "hot_keys"), rows)
+    hot = materialize(large.select(key), "hot_keys")
+    return KeySkew(key, F.broadcast(hot) if keys <= BROADCAST_KEYS else hot, rows)

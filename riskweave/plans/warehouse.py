@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from riskweave.operators import dims, facts, layers, marts
-from riskweave.operators.features import enrich_for_rules, enrich_transactions
+from riskweave.operators.features import hot_features, ordinary_features
 from riskweave.operators.rules import apply_rules
 from riskweave.operators.skew import KeySkew, measure_skew
 
@@ -90,9 +90,10 @@ class Warehouse:
     # marts
     @cached_property
     def v_transaction(self) -> DataFrame:
-        return marts.transaction_mart(
-            self.stg_transaction, self.customer_profile, self.dim_merchant
-        )
+        return self._mart_of(self.stg_transaction)
+
+    def _mart_of(self, staged: DataFrame) -> DataFrame:
+        return marts.transaction_mart(staged, self.customer_profile, self.dim_merchant)
 
     @cached_property
     def v_login_attempt(self) -> DataFrame:
@@ -104,19 +105,31 @@ class Warehouse:
         """Measured on staging, where it costs two column scans and no join."""
         return measure_skew("customer_id", [self.stg_transaction, self.stg_login_attempt])
 
+    def _features(self, zscore: bool) -> DataFrame:
+        """Features of the mart's transactions, hot customers split off at the source.
+
+        Splitting before the joins keeps oversized customers out of them. The fact
+        carries all login columns the features need, so the login mart is not built.
+        """
+        cold, hot = self.customer_skew.split(self.stg_transaction)
+        cold_logins, hot_logins = self.customer_skew.split(self.stg_login_attempt)
+        ordinary = ordinary_features(self._mart_of(cold), facts.login_fact(cold_logins), zscore)
+        if hot is None:
+            return ordinary
+        return ordinary.unionByName(
+            hot_features(
+                self._mart_of(hot), facts.login_fact(hot_logins), zscore, self.customer_skew
+            )
+        )
+
     @cached_property
     def enriched_transactions(self) -> DataFrame:
-        # The fact carries all login columns the features need.
-        return enrich_transactions(
-            self.v_transaction, self.fact_login_attempt, skew=self.customer_skew
-        )
+        return self._features(zscore=False)
 
     @cached_property
     def features_for_rules(self) -> DataFrame:
         """``enriched_transactions`` with the amount's z-score."""
-        return enrich_for_rules(
-            self.v_transaction, self.fact_login_attempt, skew=self.customer_skew
-        )
+        return self._features(zscore=True)
 
     @cached_property
     def scored_transactions(self) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators.alerts import rule_alerts
-from riskweave.operators.features import amount_statistics, enrich_transactions
-from riskweave.operators.features import zscore_from_statistics
+from riskweave.operators.features import amount_statistics, zscore_from_statistics
 from riskweave.operators.rules import apply_rules
 from riskweave.plans.training import TrainedForest, score_transactions
 from riskweave.plans.warehouse import Warehouse
@@ -38,10 +37,7 @@ def enrich_batch(batch: DataFrame, stored: Mapping[str, DataFrame], run_ts, as_o
     customers = batch.select("CustomerID").distinct()
     logins = stored["login_attempts"].join(customers, "CustomerID", "left_semi")
     tables = {**stored, "transactions": batch, "login_attempts": logins}
-    warehouse = Warehouse(tables, run_ts, as_of)
-    return enrich_transactions(
-        warehouse.v_transaction, warehouse.fact_login_attempt, skew=warehouse.customer_skew
-    )
+    return Warehouse(tables, run_ts, as_of).enriched_transactions
 
 
 def rule_scorer(

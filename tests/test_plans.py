@@ -9,12 +9,12 @@ import pytest
 
 from riskweave.operators.features import enrich_for_rules
 from riskweave.operators.rules import apply_rules
-from riskweave.operators.skew import KeySkew
+from riskweave.operators.skew import KeySkew, measure_skew
 from riskweave.plans.warehouse import Warehouse
 from riskweave.queries import AS_OF, RUN_TS
 from riskweave.sources.provided import provided_sources
 from riskweave.sources.tables import load_marts, write_mart
-from tests.conftest import DATA
+from tests.conftest import DATA, rows
 
 NO_SKEW = KeySkew("customer_id", None)
 
@@ -67,6 +67,29 @@ def test_whole_pipeline_does_not_shuffle_again_after_the_mart(warehouse, no_broa
     assert "Exchange" not in above_union
 
 
+def test_hot_customers_leave_before_the_joins(warehouse, no_broadcast):
+    """Checked hot keys are broadcast whatever the threshold; no nested loops appear."""
+    skew = measure_skew(
+        "customer_id", [warehouse.stg_transaction, warehouse.stg_login_attempt], limit=70
+    )
+    assert skew.hot is not None
+    split = Warehouse(warehouse.sources, RUN_TS, AS_OF)
+    split.customer_skew = skew
+    text = tree(split.scored_transactions)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert "BroadcastHashJoin LeftAnti" in text and "BroadcastHashJoin LeftSemi" in text
+    ordinary = text[: text.index("LeftSemi")].splitlines()
+    depth = {
+        join: [line.index(join) for line in ordinary if join in line]
+        for join in ("LeftAnti", "SortMergeJoin LeftOuter")
+    }
+    # Transactions, logins, and the logins the counts are taken of.
+    assert len(depth["LeftAnti"]) == 3
+    assert min(depth["LeftAnti"]) > min(depth["SortMergeJoin LeftOuter"])
+    counts = dict(rows(split.scored_transactions.groupBy("label").count()))
+    assert counts == {1: 42, 0: 160}
+
+
 def test_login_counts_are_combined_before_their_shuffle(warehouse, no_broadcast):
     fact = tree(warehouse.fact_login_attempt)
     assert fact.count("HashAggregate") == 2 and "Window" not in fact
