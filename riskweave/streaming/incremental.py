@@ -13,7 +13,7 @@ from riskweave.operators.rules import apply_rules
 from riskweave.plans.training import TrainedForest, score_transactions
 from riskweave.plans.warehouse import Warehouse
 from riskweave.schemas import SOURCES
-from riskweave.sources.alerts_store import append_alerts
+from riskweave.sources.alerts_store import append_alerts, create_alerts_folder
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -90,6 +90,8 @@ def start_incremental_alerts(
     what has landed and stops; ``continuous`` keeps it running.
     """
 
+    create_alerts_folder(transactions.sparkSession, alerts_path)
+
     def handle(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:

@@ -128,6 +128,32 @@ def test_partition_filter_prunes_directories(spark, tmp_path):
     assert len(back.select(F.input_file_name().alias("f")).distinct().collect()) == 1
 
 
+def test_a_large_partition_becomes_several_files(spark, tmp_path):
+    """All logins fall into one month, yet no single task writes them."""
+    month = spark.range(60_000).select(
+        F.col("id").alias("CustomerID"),
+        F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        .alias("LoginTimestamp"),
+        (F.col("id") % 3 == 0).alias("Success"),
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tables.write_source(month, str(tmp_path), "login_attempts")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    back = tables.read_source(spark, str(tmp_path), "login_attempts")
+    assert back.count() == 60_000
+    assert back.select("LoginTimestampMonth").distinct().count() == 1
+    assert back.select(F.input_file_name()).distinct().count() >= 3
+
+
 def test_each_merchant_load_is_a_partition_of_its_own(spark, tmp_path):
     root = str(tmp_path)
     merchants = spark.createDataFrame(

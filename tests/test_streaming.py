@@ -78,6 +78,13 @@ def test_later_files_are_picked_up(spark, sources, warehouse, tmp_path):
     assert rows(read_alerts_folder(spark, alerts), "transaction_id") == want
 
 
+def test_nothing_landed_yet(spark, sources, tmp_path):
+    landed = f"{tmp_path}/tx"
+    conform("transactions", sources["transactions"]).where("false").write.parquet(landed)
+    run(spark, landed, I.rule_scorer(sources, RUN_TS, AS_OF), f"{tmp_path}/alerts", f"{tmp_path}/c")
+    assert read_alerts_folder(spark, f"{tmp_path}/alerts").count() == 0
+
+
 def test_model_scoring_of_batches(spark, sources, warehouse, tmp_path):
     forest = train_refined(training_set(warehouse.scored_transactions), trees=10)
     landed = land(sources, "transactions", f"{tmp_path}/tx", 2)
