@@ -45,8 +45,8 @@ def measure_skew(key: str, frames: Sequence[DataFrame], limit: int = GROUP_LIMIT
     per key and task is shuffled and one number reaches the driver. There are at
     most (rows / limit) hot keys.
     """
-    counts = [df.groupBy(key).agg(F.count("*").alias("n")) for df in frames]
-    per_key = reduce(DataFrame.unionByName, counts).groupBy(key).agg(F.sum("n").alias("n"))
+    keys_of_all = reduce(DataFrame.unionByName, [df.select(key) for df in frames])
+    per_key = keys_of_all.groupBy(key).agg(F.count("*").alias("n"))
     large = per_key.where(F.col("n") > limit)
     keys, rows = large.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if keys == 0:
