@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.bpe import encode_documents
 from riskweave.llm.lines import dedup_units
 from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
+from riskweave.llm.ppm import identify_languages
+from riskweave.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +39,29 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), ranks, whole=False)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_sharding": op4_sharding,
     "op6_mixing": op6_mixing,
+    "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL = {
