@@ -14,8 +14,9 @@ WEIGHTS = (5.0, 2.0, 1.0)
 
 MOST_REPEATS = 3
 
-# The 63 bits of a row's hash are read in parts of so many bits.
-LEVEL_BITS = (13, 10, 10, 10, 10, 10)
+# The 62 bits of a row's hash are read in parts of so many bits.
+LEVEL_BITS = (12, 10, 10, 10, 10, 10)
+HASH_BITS = sum(LEVEL_BITS)
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -67,7 +68,7 @@ def _ranked(sources: DataFrame, parts: int = 16) -> DataFrame:
 def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """``source_key``, ``threshold``: rows whose hash is below make up the budget.
 
-    ``rows`` has ``source_key``, ``size``, ``h`` (63 bits); ``budgets`` has
+    ``rows`` has ``source_key``, ``size``, ``h`` (62 bits); ``budgets`` has
     ``source_key``, ``budget``. Sizes are summed by source and leading hash bits
     (combined before the shuffle, so a source with most rows costs no more than
     any other). The bucket in which the running sum passes the budget is the
@@ -79,7 +80,7 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     used = 0
     for level, bits in enumerate(LEVEL_BITS):
         used += bits
-        shift = 63 - used
+        shift = HASH_BITS - used
         inside = rows if not level else rows.join(
             state.select("source_key", "prefix"), "source_key"
         ).where(F.shiftright("h", shift + bits) == F.col("prefix")).drop("prefix")
@@ -88,7 +89,7 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         )
         ordered = Window.partitionBy("source_key").orderBy("bucket")
         running = sums.withColumn("upto", F.sum("size").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        crossing = running.join(state.drop("prefix"), "source_key").where(F.col("upto") > F.col("left"))
+        crossing = running.join(state.select("source_key", "left"), "source_key").where(F.col("upto") > F.col("left"))
         boundary = crossing.groupBy("source_key").agg(
             F.min_by(F.struct("bucket", (F.col("upto") - F.col("size")).alias("below"), "size", "n", "left"), "bucket").alias("b")
         )
@@ -97,7 +98,7 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             state.alias("s").join(boundary.alias("b"), "source_key", "left").select(
                 "source_key",
                 F.coalesce(F.col("b.left") - F.col("b.below"), F.col("s.left")).alias("left"),
-                F.coalesce(F.col("b.bucket"), ((F.col("s.prefix") + 1) * (1 << bits)) if level else F.lit(1 << bits)).alias("prefix"),
+                F.coalesce(F.col("b.bucket"), F.lit(1 << used)).alias("prefix"),
                 F.col("b.size").alias("size"),
                 F.coalesce(F.col("b.n"), F.lit(0)).alias("n"),
             ),
@@ -107,11 +108,7 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
             break
     nearer = F.coalesce(F.col("size") <= 2 * F.col("left"), F.lit(False))
     limit = F.col("prefix") + nearer.cast("long")
-    top = F.lit(1 << used)
-    return state.select(
-        "source_key",
-        F.when(limit >= top, F.lit((1 << 63) - 1)).otherwise(limit * F.lit(1 << shift)).alias("threshold"),
-    )
+    return state.select("source_key", (limit * (1 << shift)).alias("threshold"))
 
 
 def mix_sources(
@@ -140,7 +137,7 @@ def mix_sources(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(text).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long"), text), 1).alias("h"),
+        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long"), text), 64 - HASH_BITS).alias("h"),
     )
     rows = materialize(rows.withColumn("source_key", _source_key()), "sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
