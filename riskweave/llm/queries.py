@@ -12,6 +12,8 @@ from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
 from riskweave.llm.ppm import identify_languages
 from riskweave.llm.simhash import near_duplicates
+from riskweave.llm.token_store import read_back, write_store
+from riskweave.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "tokens")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return read_back(*write_store(_table(spark, sf_dir, "documents"), root, vocabulary, end_id=2))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = pack_shards(_table(spark, sf_dir, "documents"))
     return shards.select(
@@ -57,6 +65,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_token_store": op2_token_store,
     "op4_sharding": op4_sharding,
     "op6_mixing": op6_mixing,
     "op8_simhash_dedup": op8_simhash_dedup,
