@@ -12,6 +12,7 @@ from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
 from riskweave.llm.ppm import identify_languages
 from riskweave.llm.simhash import near_duplicates
+from riskweave.llm.suffixes import dedup_substrings
 from riskweave.llm.token_store import read_back, write_store
 from riskweave.session import scratch_path
 
@@ -47,6 +48,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_substrings(_table(spark, sf_dir, "documents"), length=100, whole=False)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -68,6 +76,7 @@ QUERIES = {
     "op2_token_store": op2_token_store,
     "op4_sharding": op4_sharding,
     "op6_mixing": op6_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_language_id": op9_language_id,
     "op10_byte_bpe": op10_byte_bpe,
