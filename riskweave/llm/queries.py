@@ -14,6 +14,7 @@ from riskweave.llm.ppm import identify_languages
 from riskweave.llm.simhash import near_duplicates
 from riskweave.llm.suffixes import dedup_substrings
 from riskweave.llm.token_store import read_back, write_store
+from riskweave.llm.topk import quantised, top_k
 from riskweave.session import scratch_path
 
 
@@ -35,6 +36,11 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(*write_store(_table(spark, sf_dir, "documents"), root, vocabulary, end_id=2))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(_table(spark, sf_dir, "embeddings"), scale=64.0)
+    return top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = pack_shards(_table(spark, sf_dir, "documents"))
     return shards.select(
@@ -74,6 +80,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_store": op2_token_store,
+    "op3_topk_search": op3_topk_search,
     "op4_sharding": op4_sharding,
     "op6_mixing": op6_mixing,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -102,5 +109,19 @@ SELECT doc_id, count(*) AS n_units, CAST(count(*) FILTER (cut) AS BIGINT) AS n_r
   coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start AS BIGINT) + length(unit) AS VARCHAR), ',' ORDER BY place) FILTER (cut), '') AS removed_spans,
   coalesce(string_agg(unit, chr(10) ORDER BY place) FILTER (NOT cut), '') AS text
 FROM marked GROUP BY doc_id
+""",
+    "op3_topk_search": """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """,
 }
