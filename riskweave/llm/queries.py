@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.bpe import encode_documents
+from riskweave.llm.divergence import judge
 from riskweave.llm.lines import dedup_units
 from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
@@ -49,6 +50,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(_table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -82,6 +89,7 @@ QUERIES = {
     "op2_token_store": op2_token_store,
     "op3_topk_search": op3_topk_search,
     "op4_sharding": op4_sharding,
+    "op5_quality_divergence": op5_quality_divergence,
     "op6_mixing": op6_mixing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
@@ -123,5 +131,79 @@ WITH vectors AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+""",
+    "op5_quality_divergence": r"""
+WITH docs AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), placed AS (
+  SELECT doc_id, unnest(words) AS w, unnest(range(0, len(words))) AS i FROM docs
+), windows AS (
+  SELECT doc_id, i, w, lead(w) OVER d AS w2, lead(w, 2) OVER d AS w3 FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), twice AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w2, w3) > 1 AND w3 IS NOT NULL AS hit FROM windows
+), covered AS (
+  SELECT doc_id, hit OR coalesce(lag(hit) OVER d, false) OR coalesce(lag(hit, 2) OVER d, false) AS c
+  FROM twice WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), repeats AS (
+  SELECT doc_id, count(*) AS n FROM covered WHERE c GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), classes AS (
+  SELECT doc_id, lang, text, [
+    len(regexp_extract_all(text, '[a-z]')), len(regexp_extract_all(text, '[A-Z]')), len(regexp_extract_all(text, '[0-9]')),
+    len(regexp_extract_all(text, '[\x20\x09-\x0D]')), len(regexp_extract_all(text, '[.,;:!?''"()\-]')),
+    len(regexp_extract_all(text, '[^\x00-\x7F]'))] AS found
+  FROM docs
+), class_counts AS (
+  SELECT doc_id, lang, unnest(list_append(found, length(text) - list_sum(found))) AS c, unnest(range(0, 7)) AS class, length(text) AS size
+  FROM classes
+), class_reference AS (
+  SELECT lang, class, sum(c) / greatest(1, sum(sum(c)) OVER (PARTITION BY lang)) AS q
+  FROM class_counts WHERE lang IS NOT NULL GROUP BY lang, class
+), chars AS (
+  SELECT doc_id, r.lang, round(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 9) AS d
+  FROM (SELECT doc_id, class, c / greatest(size, 1) AS p FROM class_counts) JOIN class_reference r USING (class)
+  GROUP BY doc_id, r.lang
+), lowered AS (
+  SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS w FROM docs
+), sizes AS (
+  SELECT lang, sum(len(words)) AS n FROM docs WHERE lang IS NOT NULL GROUP BY lang
+), word_reference AS (
+  SELECT lang, w, c / n AS q FROM (SELECT lang, w, count(*) AS c FROM lowered WHERE lang IS NOT NULL GROUP BY lang, w)
+  JOIN sizes USING (lang) WHERE c * 2000 >= n
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, w) <= 64
+), shares AS (
+  SELECT doc_id, w, count(*) / any_value(len(words)) AS p FROM lowered JOIN docs USING (doc_id) GROUP BY doc_id, w
+), here AS (
+  SELECT doc_id, r.lang, sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) AS f, sum(p) AS p, sum(q) AS q
+  FROM shares JOIN word_reference r USING (w) GROUP BY doc_id, r.lang
+), word_sums AS (
+  SELECT d.doc_id, t.lang, coalesce(f, 0) AS f, coalesce(h.q, 0) AS q, t.q AS whole,
+    greatest(1 - coalesce(h.p, 0), 0) AS p0, greatest(1 - t.q, 0) AS q0
+  FROM docs d CROSS JOIN (SELECT s.lang, coalesce(sum(q), 0) AS q FROM sizes s LEFT JOIN word_reference USING (lang) GROUP BY s.lang) t
+  LEFT JOIN here h ON h.doc_id = d.doc_id AND h.lang = t.lang
+), near_words AS (
+  SELECT doc_id, lang, round((f + whole - q + CASE WHEN p0 > 0 THEN p0 * log2(2 * p0 / (p0 + q0)) ELSE 0 END
+    + CASE WHEN q0 > 0 THEN q0 * log2(2 * q0 / (p0 + q0)) ELSE 0 END) / 2, 9) AS d
+  FROM word_sums
+), near AS (
+  SELECT doc_id, bool_or((length(text) < 200 OR c.d <= 0.065) AND (len(words) < 50 OR x.d <= 0.24)) AS near
+  FROM docs JOIN chars c USING (doc_id) JOIN near_words x USING (doc_id)
+  WHERE c.lang = x.lang GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(text) - len(regexp_extract_all(text, '[\x20\x09-\x0D]')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM docs LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+)
+SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(near, true) AS kept
+FROM base LEFT JOIN near USING (doc_id)
 """,
 }
