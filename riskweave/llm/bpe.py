@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.text import digest, slices, text_bytes
+from riskweave.llm.text import slices, text_bytes
 
 # What follows an apostrophe in the pattern's contractions: fixed values.
 SHORT = "stmd"
@@ -266,55 +266,59 @@ def encode(texts: list[str], merge: Merger) -> Iterator[bytes]:
         at += n
 
 
-OUTPUT = "doc_id long, td1 long, td2 long, ids array<int>, token_starts array<int>, decoded binary"
-DIGESTS = "doc_id long, td1 long, td2 long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+# What can be returned of each text.
+OUTPUTS = {
+    "ids": pa.list_(pa.int32()),
+    "token_starts": pa.list_(pa.int32()),
+    "decoded": pa.binary(),
+    "n_tokens": pa.int64(),
+    "ids_sha256": pa.string(),
+    "decoded_sha256": pa.string(),
+}
+SQL_TYPE = {pa.list_(pa.int32()): "array<int>", pa.binary(): "binary", pa.int64(): "long", pa.string(): "string"}
+
+
+def _output(name: str, text: bytes, merge: Merger) -> object:
+    if name == "ids":
+        return np.array(text.split(b","), "S").astype(np.int32) if text else np.zeros(0, np.int32)
+    if name == "token_starts":
+        tokens = text.split(b",") if text else []
+        lengths = np.fromiter((len(merge.token[t]) for t in tokens), np.int64, len(tokens))
+        return (np.cumsum(lengths) - lengths).astype(np.int32)
+    if name == "n_tokens":
+        return text.count(b",") + 1 if text else 0
+    if name == "ids_sha256":
+        return hashlib.sha256(text).hexdigest()
+    decoded = merge.decoded(text)
+    return decoded if name == "decoded" else hashlib.sha256(decoded).hexdigest()
 
 
 def encode_documents(
-    docs: DataFrame, rank_file: str, whole: bool = True, cached: int = 200_000, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    rank_file: str,
+    outputs: tuple[str, ...] = ("ids", "token_starts", "decoded"),
+    cached: int = 300_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Encode every whole text by a rank file, and decode the ids again.
 
-    Tokens never cross the boundaries of the split pattern. With ``whole``:
-    ``doc_id``, ``td1``, ``td2``, ``ids``, ``token_starts`` (each token's first
-    byte in the UTF-8 text) and ``decoded`` bytes; without: ``n_tokens`` and the
-    SHA-256 digests of the comma-joined ids and of the decoded bytes, which keep
-    the payload out of the result. A null text counts as empty and has no ids.
-    Rows are encoded one by one, so repeated rows are repeated; other columns
-    are not looked at. ``rank_file`` must be readable on every worker.
+    Tokens never cross the boundaries of the split pattern. Returns ``doc_id``
+    and the ``outputs``: ``ids``, ``token_starts`` (each token's first byte in
+    the UTF-8 text), ``decoded`` bytes, ``n_tokens``, and the SHA-256 digests of
+    the comma-joined decimal ids and of the decoded bytes. A null text counts as
+    empty and has no ids. Rows are encoded one by one, so repeated rows are
+    repeated; other columns are not looked at. ``rank_file`` must be readable on
+    every worker. Each worker caches the ids of ``2 * cached`` pieces at most.
     """
-    source = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        *digest(F.col(text_col).cast("string"), "t"),
-        F.col(text_col).cast("string").alias("text"),
-    )
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merge = merger(rank_file, cached)
         for batch in slices(batches, "text", 2 << 20):
-            encoded = encode([x.decode() for x in text_bytes(batch["text"])], merge)
-            keys = {c: batch[c] for c in ("doc_id", "td1", "td2")}
-            yield pa.RecordBatch.from_pydict(keys | (_whole if whole else _digests)(encoded, merge))
+            encoded = list(encode([x.decode() for x in text_bytes(batch["text"])], merge))
+            columns = [pa.array([_output(o, x, merge) for x in encoded], OUTPUTS[o]) for o in outputs]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", *outputs])
 
-    return source.mapInArrow(run, OUTPUT if whole else DIGESTS)
-
-
-def _whole(encoded: Iterator[bytes], merge: Merger) -> dict[str, pa.Array]:
-    ids, starts, decoded = [], [], []
-    for text in encoded:
-        tokens = text.split(b",") if text else []
-        lengths = np.fromiter((len(merge.token[t]) for t in tokens), np.int64, len(tokens))
-        ids.append(np.array(tokens, "S").astype(np.int32) if tokens else np.zeros(0, np.int32))
-        starts.append((np.cumsum(lengths) - lengths).astype(np.int32))
-        decoded.append(merge.decoded(text))
-    ints = pa.list_(pa.int32())
-    return {"ids": pa.array(ids, ints), "token_starts": pa.array(starts, ints), "decoded": pa.array(decoded, pa.binary())}
-
-
-def _digests(encoded: Iterator[bytes], merge: Merger) -> dict[str, pa.Array]:
-    rows = [
-        (text.count(b",") + 1 if text else 0, hashlib.sha256(text).hexdigest(), hashlib.sha256(merge.decoded(text)).hexdigest())
-        for text in encoded
-    ]
-    n, ids, decoded = zip(*rows, strict=True)
-    return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids), "decoded_sha256": pa.array(decoded)}
+    types = ", ".join(f"{o} {SQL_TYPE[OUTPUTS[o]]}" for o in outputs)
+    return source.mapInArrow(run, f"doc_id long, {types}")

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskweave.llm.text import digest, keyed, same_document, word_count
+from riskweave.llm.text import digest, keyed, same_document, slices, word_count
 from riskweave.session import materialize
 
 SEPARATOR = {"line": "\n", "paragraph": "\n\n"}
@@ -16,12 +17,6 @@ SEPARATOR = {"line": "\n", "paragraph": "\n\n"}
 # Units that make up a thousandth of all units or more are at most so many.
 HOT_SHARE = 1000
 
-OUTPUT = (
-    "doc_id long, td1 long, td2 long, text string, n_units long, n_removed long, "
-    "removed_starts array<long>, removed_ends array<long>, kept_text string"
-)
-
-
 def normalised(unit: Column) -> Column:
     """Lower case, white space runs as one space, none at the ends."""
     return F.trim(F.regexp_replace(F.lower(unit), r"[\x20\x09-\x0D]+", " "))
@@ -31,6 +26,7 @@ def dedup_units(
     docs: DataFrame,
     unit: str = "line",
     min_words: int = 5,
+    carry: tuple[str, ...] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -70,26 +66,40 @@ def dedup_units(
     later = units.join(common, ["ud1", "ud2"]).unionByName(rest.join(rare, ["ud1", "ud2"])).where(~rank.eqNullSafe(F.col("first")))
     cuts = later.groupBy("doc_id", "td1", "td2").agg(F.collect_set("place").alias("places"))
 
-    cut = source.alias("s").join(cuts.alias("c"), same_document("s", "c"), "left").select("s.*", "c.places")
+    carried = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        *digest(F.col(text_col).cast("string"), "t"),
+        F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(0).alias("none")]).alias("carried"),
+    )
+    cut = carried.alias("s").join(cuts.alias("c"), same_document("s", "c"), "left").select("s.*", "c.places")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_pylist([_cut(row, separator) for row in rows], schema=ARROW_OUTPUT)
+        for batch in slices(batches, "text"):
+            texts, places = batch["text"].to_pylist(), batch["places"].to_pylist()
+            done = zip(*(_cut(t, set(p or ()), separator) for t, p in zip(texts, places, strict=True)), strict=True)
+            columns = [pa.array(x, kind) for x, kind in zip(done, ADDED.values(), strict=True)]
+            kept = ["doc_id", "td1", "td2", "text", "carried"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *columns], names=[*kept, *ADDED])
 
-    return cut.mapInArrow(remove, OUTPUT)
+    schema = T.StructType(carried.select("doc_id", "td1", "td2", "text", "carried").schema.fields + SQL_ADDED.fields)
+    cut = cut.mapInArrow(remove, schema).drop("td1", "td2")
+    return cut if carry else cut.drop("carried")
 
 
-ARROW_OUTPUT = pa.schema(
-    [("doc_id", pa.int64()), ("td1", pa.int64()), ("td2", pa.int64()), ("text", pa.string())]
-    + [("n_units", pa.int64()), ("n_removed", pa.int64())]
-    + [("removed_starts", pa.list_(pa.int64())), ("removed_ends", pa.list_(pa.int64()))]
-    + [("kept_text", pa.string())]
+SQL_ADDED = T.StructType.fromDDL(
+    "n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>, kept_text string"
 )
+ADDED = {
+    "n_units": pa.int64(),
+    "n_removed": pa.int64(),
+    "removed_starts": pa.list_(pa.int64()),
+    "removed_ends": pa.list_(pa.int64()),
+    "kept_text": pa.string(),
+}
 
 
-def _cut(row: dict, separator: str) -> dict:
-    text, places = row["text"], set(row.pop("places") or ())
+def _cut(text: str | None, places: set[int], separator: str) -> tuple:
     parts = [] if text is None else text.split(separator)
     starts, ends, kept, at = [], [], [], 0
     for place, part in enumerate(parts):
@@ -99,10 +109,4 @@ def _cut(row: dict, separator: str) -> dict:
         else:
             kept.append(part)
         at += len(part) + len(separator)
-    return row | {
-        "n_units": len(parts),
-        "n_removed": len(starts),
-        "removed_starts": starts,
-        "removed_ends": ends,
-        "kept_text": None if text is None else separator.join(kept),
-    }
+    return len(parts), len(starts), starts, ends, None if text is None else separator.join(kept)

@@ -111,51 +111,80 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source_key", (limit * (1 << shift)).alias("threshold"))
 
 
-def mix_sources(
+def mix_plan(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     most: int = MOST_REPEATS,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-) -> DataFrame:
-    """How often each document is taken so that sources meet their targets.
-
-    A source takes every document floor(target / size) times, and once more the
-    documents whose hash lies below the threshold that makes up the rest.
-    Thresholds are nested: a larger budget keeps all that a smaller one takes.
-    The hash is a function of id and text, so reruns agree; rows equal in both
-    are taken or left together.
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their sizes, and what each source takes.
 
-    Returns ``doc_id``, ``source``, ``size`` (words), ``source_size``,
-    ``target``, ``copies`` and ``taken`` (size times copies). A null text has
-    size 0; a null source is a source of its own. Sources without a word have
-    target 0 and give no copies. An empty table gives no rows.
+    A row of the plan has ``source_key``, ``source_size``, ``target``, ``whole``
+    (how often every document is taken) and ``threshold`` (hashes below are
+    taken once more).
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(text).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long"), text), 64 - HASH_BITS).alias("h"),
+        row_hash(id_col, text_col).alias("h"),
+        source_key(source_col).alias("source_key"),
     )
-    rows = materialize(rows.withColumn("source_key", _source_key()), "sizes")
+    rows = materialize(rows, "sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sources, weights, most).withColumn("source_key", _source_key())
+    targets = source_targets(sources, weights, most).withColumn("source_key", source_key("source"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("long"))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     thresholds = hash_thresholds(rows, targets.select("source_key", rest.alias("budget")))
-    plan = targets.join(thresholds, "source_key").drop("source")
-    copies = F.when(F.col("source_size") == 0, 0).otherwise(
-        F.least(F.lit(most), F.col("whole") + (F.col("h") < F.col("threshold")).cast("long"))
-    )
-    mixed = rows.join(plan, "source_key").withColumn("copies", copies.cast("long"))
+    return rows, materialize(targets.join(thresholds, "source_key").drop("source"), "mix")
+
+
+def copies(h: Column, most: int) -> Column:
+    """How often a row with hash ``h`` is taken, given its source's row of the plan."""
+    times = F.least(F.lit(most), F.col("whole") + (h < F.col("threshold")).cast("long"))
+    return F.when(F.col("source_size") == 0, 0).otherwise(times).cast("int")
+
+
+def mix_sources(docs: DataFrame, most: int = MOST_REPEATS, **parameters) -> DataFrame:
+    """How often each document is taken so that sources meet their targets.
+
+    A source takes every document floor(target / size) times, and once more the
+    documents whose hash lies below the threshold that makes up the rest.
+    Thresholds are nested: a larger budget keeps all that a smaller one takes.
+    The hash is a function of id and text, so reruns agree; rows equal in both
+    are taken or left together.
+
+    Returns ``doc_id``, ``source``, ``size`` (words), ``source_size``,
+    ``target``, ``copies`` and ``taken`` (size times copies). A null text has
+    size 0; a null source is a source of its own. Sources without a word have
+    target 0 and give no copies. An empty table gives no rows. Other columns are
+    not looked at. ``parameters`` are those of ``mix_plan``.
+    """
+    rows, plan = mix_plan(docs, most=most, **parameters)
+    mixed = rows.join(plan, "source_key").withColumn("copies", copies(F.col("h"), most))
     return mixed.select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
-def _source_key() -> Column:
+def mixed_documents(docs: DataFrame, most: int = MOST_REPEATS) -> DataFrame:
+    """The documents (columns ``doc_id``, ``text``, ``source`` and any others), each as often as the mix takes it."""
+    _, plan = mix_plan(docs, most=most)
+    rows = docs.select(F.struct("*").alias("row"), source_key("source").alias("source_key"), row_hash("doc_id", "text").alias("h"))
+    joined = rows.join(plan, "source_key")
+    repeated = joined.select("row", F.explode(F.array_repeat(F.lit(0), copies(F.col("h"), most))))
+    return repeated.select("row.*")
+
+
+def row_hash(id_col: str, text_col: str) -> Column:
+    value = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    return F.shiftrightunsigned(value, 64 - HASH_BITS)
+
+
+def source_key(source_col: str) -> Column:
     """The source as a value that joins: null and text apart."""
-    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
+    return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,8 +81,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode_documents(_table(spark, sf_dir, "documents"), ranks, whole=False)
-    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    outputs = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return encode_documents(_table(spark, sf_dir, "documents"), ranks, outputs)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_language_id": op9_language_id,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL = {

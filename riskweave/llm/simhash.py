@@ -176,8 +176,8 @@ def near_duplicates(
     other. Rows without an id get their class but never name it; a class without
     any id is null. Other columns are not looked at.
 
-    Returns ``doc_id``, ``td1``, ``td2``, ``fp`` (a signed long) and
-    ``component_id``. Documents meet by distinct fingerprint only, so copies
+    Returns ``doc_id``, ``td1``, ``td2``, ``fp`` (a signed long), ``class_fp``
+    (one of the class's fingerprints, its key) and ``component_id``. Documents meet by distinct fingerprint only, so copies
     cost one row each, and no group of them is ever paired out.
     """
     hashed = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
@@ -187,5 +187,5 @@ def near_duplicates(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
     named = members.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = materialize(members.join(named, "label").select("fp", "component_id"), "classes")
-    return hashed.join(classes, "fp").select("doc_id", "td1", "td2", "fp", "component_id")
+    classes = materialize(members.join(named, "label").select("fp", F.col("label").alias("class_fp"), "component_id"), "classes")
+    return hashed.join(classes, "fp").select("doc_id", "td1", "td2", "fp", "class_fp", "component_id")
