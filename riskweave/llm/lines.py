@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from riskweave.llm.text import digest, keyed, same_document, slices, word_count
 from riskweave.session import materialize
@@ -82,14 +83,13 @@ def dedup_units(
             kept = ["doc_id", "td1", "td2", "text", "carried"]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *columns], names=[*kept, *ADDED])
 
-    schema = T.StructType(carried.select("doc_id", "td1", "td2", "text", "carried").schema.fields + SQL_ADDED.fields)
+    schema = T.StructType(carried.select("doc_id", "td1", "td2", "text", "carried").schema.fields)
+    for name, kind in ADDED.items():
+        schema.add(name, from_arrow_type(kind))
     cut = cut.mapInArrow(remove, schema).drop("td1", "td2")
     return cut if carry else cut.drop("carried")
 
 
-SQL_ADDED = T.StructType.fromDDL(
-    "n_units long, n_removed long, removed_starts array<long>, removed_ends array<long>, kept_text string"
-)
 ADDED = {
     "n_units": pa.int64(),
     "n_removed": pa.int64(),
