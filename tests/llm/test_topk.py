@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.llm.topk import quantised, search_chunk, top_k
+
+SCHEMA = "vec_id long, embedding array<double>, v string, rank int"
+
+
+def brute(rows, k):
+    out = set()
+    usable = [
+        (i, [math.floor(64 * x) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(64 * x) < 1 << 24 for x in v)
+    ]
+    for i, q in {(i, tuple(v)) for i, v in usable if i % 5 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in usable if j != i)
+        out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])}
+    return out
+
+
+def found(spark, rows, **kw):
+    table = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)
+    return {tuple(r) for r in top_k(quantised(table), F.col("vec_id") % 5 == 0, **kw).collect()}
+
+
+@pytest.mark.parametrize("scale", [0.2, 3000.0])
+def test_against_brute_force(spark, scale):
+    rng = np.random.default_rng(1)
+    middle = rng.normal(size=(6, 8))
+    vectors = (middle[rng.integers(0, 6, 600)] + rng.normal(size=(600, 8)) * 0.3) * scale
+    rows = [(int(i), v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, rows[3][1]) for i in range(30)]  # many ties
+    assert found(spark, rows, k=7, block=8, chunk=64, query_chunk=32, sample_rows=100, centres=8) == brute(rows, 7)
+
+
+def test_unusable_short_and_few_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (5, None), (10, [1.0, None]), (15, [nan, 1.0]), (20, [inf, 1.0]), (25, [1e300, 0.0])]
+    rows += [(None, [1.0, 1.0]), (30, [-0.01]), (31, []), (1, [0.5, -0.5, 7.0])]
+    assert found(spark, rows, k=20) == brute(rows, 20)
+
+
+def test_empty_table_and_a_single_row(spark):
+    assert found(spark, []) == set()
+    assert found(spark, [(5, [1.0])]) == set()
+
+
+def test_blocks_below_the_kth_score_are_not_needed():
+    rng = np.random.default_rng(2)
+    vectors, ids = rng.integers(-30, 30, (256, 6)).astype(np.int32), np.arange(256)
+    scores = vectors @ vectors[:4].T
+    for q, (_, best, score) in enumerate(search_chunk(vectors[:4], ids[:4], np.full(4, -np.inf), vectors, ids, 5, 16)):
+        order = [i for i in np.lexsort((ids, -scores[:, q])) if i != q][:5]
+        assert sorted(best.tolist()) == sorted(order) and sorted(score.tolist()) == sorted(scores[order, q].tolist())
