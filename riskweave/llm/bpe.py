@@ -163,7 +163,7 @@ def pieces(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     data = "".join(texts).encode()
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     per_text = np.diff(np.concatenate([[0], np.searchsorted(at, np.cumsum(lengths))]))
-    return [data[a:b] for a, b in zip(offsets, [*offsets[1:], len(data)], strict=True)], per_text
+    return [data[a:b] for a, b in zip(offsets, [*offsets[1:], *[len(data)] * bool(offsets)], strict=True)], per_text
 
 
 class Merger(dict):
