@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -82,18 +83,54 @@ class WordEncoder(dict):
         self.end, self.limit, self.older = np.array([end_id], self.dtype).tobytes(), limit, {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.lower().split() for t in texts]
-        missing = {w for words in split for w in words if w not in self}
-        kept = {w: self.older[w] for w in missing if w in self.older}
-        unknown = sorted(missing - kept.keys())
-        if len(self) + len(missing) > self.limit:
+        return [b"".join(map(self.__getitem__, t.lower().split())) + self.end for t in texts]
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._ids(word)
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-            kept |= {w: self.older[w] for words in split for w in words if w in self.older}
-        self.update(kept)
-        encodings = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        self.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(unknown, encodings, strict=True))
-        return [b"".join(map(self.__getitem__, words)) + self.end for words in split]
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: bytes) -> bytes:
+        """The split pattern keeps letters in a row together and apart from the marks after them."""
+        stem = word.rstrip(MARKS)
+        if stem and (letters := _plain_letters(stem)):
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.dtype).tobytes()
+            return ids + self[word[len(stem) :]] if len(stem) < len(word) else ids
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+
+
+# Marks that are neither letters, digits nor part of a contraction.
+MARKS = b".,;:!?"
+
+
+def _byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable Latin-1 as it is, the
+    other bytes in turn from code point 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_characters()
+
+
+def _plain_letters(word: bytes) -> str:
+    """A word of Latin letters as the vocabulary writes it; empty for all other words.
+
+    Such a word passes the tokenizer's normaliser and splitter as one piece.
+    """
+    if word.isalpha():  # ASCII only, lowered already
+        return word.decode()
+    text = unicodedata.normalize("NFC", word.decode())
+    text = "".join(c.lower() for c in text)
+    if not text.isalpha() or max(text) >= "\u0250":
+        return ""
+    return "".join(_BYTES[b] for b in text.encode())
 
 
 _encoders: dict[tuple, WordEncoder] = {}
