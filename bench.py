@@ -34,7 +34,8 @@ HEADLINE = (
     "model_alerts",
     "dq_not_null",
     "dq_unique",
-    "gen_transactions",
+    "scoring_sample",
+    "rule_scores_hot",
     "incremental_alerts",
     "stream_failed_logins",
 )

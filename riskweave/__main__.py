@@ -21,9 +21,6 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(path)
         return command
 
-    generate = job("generate", "source_root")
-    generate.add_argument("--customers", type=int, default=jobs.G.CUSTOMERS)
-    generate.add_argument("--merchants", type=int, default=jobs.G.MERCHANTS)
     build = job("build", "source_root", "mart_root")
     build.add_argument("--as-of", help="day account ages refer to (default: the run's)")
     build.add_argument("--gate", action="store_true", help="stop if a quality check fails")
@@ -31,7 +28,6 @@ def parser() -> argparse.ArgumentParser:
     job("train", "mart_root", "model_path")
     score = job("score", "mart_root", "alerts_path")
     score.add_argument("--model", help="stored model; the rules are used without one")
-    score.add_argument("--limit", type=int)
     score.add_argument("--append-all", action="store_true", help="repeat stored alerts")
     report = job("report", "alerts_path")
     report.add_argument("--top", type=int, default=10)
@@ -43,11 +39,7 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = get_spark("riskweave", args.local)
-    if args.job == "generate":
-        jobs.generate_sources(
-            spark, args.source_root, args.run_ts, args.customers, args.merchants
-        )
-    elif args.job == "build":
+    if args.job == "build":
         as_of = args.as_of or args.run_ts[:10]
         warehouse = jobs.build_marts(
             spark, args.source_root, args.mart_root, args.run_ts, as_of, args.gate
@@ -63,7 +55,6 @@ def main(arguments: list[str] | None = None) -> None:
             args.alerts_path,
             args.run_ts,
             args.model,
-            args.limit,
             not args.append_all,
         )
     elif args.job == "report":

@@ -30,8 +30,8 @@ AGE_BANDS = (
 )
 OLDEST_AGE_BAND = "65+"
 UNKNOWN = "Unknown"
-MERCHANT_BANDS = ((0.2, "Low Risk"), (0.5, "Medium Risk"))
-RISKIEST_MERCHANT_BAND = "High Risk"
+HIGH_RISK_CATEGORY_FROM = 0.5
+MEDIUM_RISK_CATEGORY_FROM = 0.2
 HIGH_RISK_MERCHANT_FROM = 0.7
 HIGH_VALUE_ABOVE = 150
 FRAUD_HISTORY_AMOUNT_ABOVE = 500
@@ -83,9 +83,11 @@ def customer_risk_level(fraud_count: Column) -> Column:
 
 
 def merchant_risk_category(score: Column) -> Column:
-    # A null score is neither high nor medium, hence low.
-    return F.when(score.isNull(), MERCHANT_BANDS[0][1]).otherwise(
-        below(score, MERCHANT_BANDS, RISKIEST_MERCHANT_BAND)
+    """A null score is neither high nor medium, hence low."""
+    return (
+        F.when(score >= HIGH_RISK_CATEGORY_FROM, "High Risk")
+        .when(score >= MEDIUM_RISK_CATEGORY_FROM, "Medium Risk")
+        .otherwise("Low Risk")
     )
 
 

@@ -36,11 +36,24 @@ def model_alerts(predictions: DataFrame) -> DataFrame:
     )
 
 
+def alert_kind() -> Column:
+    """Who raised an alert: the model or the rules."""
+    return F.when(F.col("flags") == MODEL_FLAG, "model").otherwise("rules")
+
+
+def one_per_key(alerts: DataFrame) -> DataFrame:
+    """One alert for each transaction and kind, of several the highest by score and flags."""
+    rest = [c for c in alerts.columns if c not in ("transaction_id", "risk_score", "flags")]
+    highest = F.max(F.struct("risk_score", "flags", *rest)).alias("_alert")
+    best = alerts.groupBy("transaction_id", alert_kind().alias("_kind")).agg(highest)
+    return best.select("transaction_id", "_alert.*").select(*alerts.columns)
+
+
 def new_alerts(alerts: DataFrame, stored: DataFrame) -> DataFrame:
-    """Alerts on transactions that have none yet."""
-    return alerts.join(stored.select("transaction_id"), "transaction_id", "left_anti").select(
-        *alerts.columns
-    )
+    """One alert for each transaction and kind that has none yet."""
+    known = stored.select("transaction_id", alert_kind().alias("_kind"))
+    fresh = one_per_key(alerts).withColumn("_kind", alert_kind())
+    return fresh.join(known, ["transaction_id", "_kind"], "left_anti").select(*alerts.columns)
 
 
 def top_risky_customers(alerts: DataFrame, n: int = 10) -> DataFrame:
@@ -58,8 +71,3 @@ def notification_feed(alerts: DataFrame) -> DataFrame:
 def customers_to_notify(alerts: DataFrame) -> DataFrame:
     """One message per customer, however many alerts there are."""
     return notification_feed(alerts).select("customer_id", "message").distinct()
-
-
-def bounded_sample(mart: DataFrame, rows: int = 5000) -> DataFrame:
-    """The first rows by transaction id, for a bounded scoring run."""
-    return mart.orderBy("transaction_id").limit(rows)

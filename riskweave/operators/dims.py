@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions import columns as C
-from riskweave.operators.ordered import dense_key
+from riskweave.operators.ordered import dense_key_by
 
 CUSTOMER_COLUMNS = (
     "customer_sk",
@@ -50,7 +50,7 @@ def customer_profile(staged: DataFrame, as_of: date | str) -> DataFrame:
 def customer_dimension(staged: DataFrame, as_of: date | str) -> DataFrame:
     """The customer dimension, numbered 1..n in the order of customer_id."""
     profile = customer_profile(staged, as_of)
-    return dense_key(profile, ["customer_id"], "customer_sk").select(*CUSTOMER_COLUMNS)
+    return dense_key_by(profile, "customer_id", "customer_sk").select(*CUSTOMER_COLUMNS)
 
 
 def account_age(staged: DataFrame, as_of: date | str) -> DataFrame:

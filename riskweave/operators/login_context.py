@@ -164,8 +164,7 @@ def context_by_segments(
             }
         )
         .where("_rank <> 1")
-        # Fewer rows than segments.
-        .join(F.broadcast(carried), ["customer_id", SEGMENT], "left")
+        .join(carried, ["customer_id", SEGMENT], "left")
     )
     failed = F.coalesce("_run_failed", F.lit(0)) + F.coalesce("_carried_failed", F.lit(0))
     signed = F.when(F.col("_rank") == 2, failed).otherwise(-failed)

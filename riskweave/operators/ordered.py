@@ -18,8 +18,10 @@ from riskweave.session import materialize
 
 POSITION = "_position"
 SEGMENT = "_segment"
-# What one task sorts, at most (range partitioning balances by a sample).
+# What one task sorts (range partitioning balances by a sample). Beyond
+# MOST_SEGMENTS segments these grow instead: the driver samples every range.
 ROWS_PER_SEGMENT = 2_000_000
+MOST_SEGMENTS = 50_000
 # Fewer rows are not worth a task of their own.
 SMALL_SEGMENT = 2_000
 # monotonically_increasing_id() keeps the partition above bit 33.
@@ -34,7 +36,7 @@ def order_columns(order: Sequence[str | Column]) -> list[Column]:
 def partitions_for(df: DataFrame, rows: int) -> int:
     """As many as ``rows`` need; the session's shuffle partitions where that is fewer."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-rows // ROWS_PER_SEGMENT)
+    needed = min(-(-rows // ROWS_PER_SEGMENT), MOST_SEGMENTS)
     worthwhile = min(configured, -(-rows // SMALL_SEGMENT))
     return max(needed, worthwhile, 1)
 
@@ -61,7 +63,10 @@ def ordered_segments(
 
 
 def dense_key(
-    df: DataFrame, order: Sequence[str | Column], name: str, partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in a global order, without gaps.
 
@@ -76,11 +81,29 @@ def dense_key(
         SEGMENT, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
     in_segment = F.col(POSITION) - F.shiftleft(F.col(SEGMENT), _ROW_BITS)
-    # One row per partition: bounded by the partition count.
-    numbered = placed.join(F.broadcast(offsets), SEGMENT)
+    numbered = placed.join(offsets, SEGMENT)
     return numbered.select((F.col("_offset") + in_segment + 1).alias(name), *df.columns)
 
 
+def dense_key_by(
+    df: DataFrame, column: str, name: str, partitions: int | None = None
+) -> DataFrame:
+    """Number wide rows 1..n in the order of one column, without gaps.
+
+    Only the column's values and their counts are sorted and stored; rows get
+    their number by a join, and rows of equal value are told apart by a hash.
+    """
+    counts = df.groupBy(column).agg(F.count("*").alias("_rows"))
+    through = running_sum(counts, [], [column], "_rows", "_through", partitions)
+    before = through.select(
+        F.col(column).alias("_value"), (F.col("_through") - F.col("_rows")).alias("_before")
+    )
+    alike = Window.partitionBy(column).orderBy(F.xxhash64(*df.columns))
+    numbered = df.join(before, df[column].eqNullSafe(before["_value"]))
+    place = F.col("_before") + F.row_number().over(alike)
+    return numbered.select(place.cast("bigint").alias(name), *df.columns)
+
+
 def carried_forward(
     placed: DataFrame,
     keys: Sequence[str],
@@ -91,8 +114,7 @@ def carried_forward(
     ``totals`` maps a name to a source column and an aggregate that also combines
     its own results (sum, max). Only segments a key continues into are kept. The
     rows lie in key order, so at most one key crosses the border between two
-    segments: the result has fewer rows than there are segments and is safe to
-    broadcast.
+    segments: the result has fewer rows than there are segments.
     """
     per_segment = placed.groupBy(*keys, SEGMENT).agg(
         *[aggregate(F.col(source)).alias(name) for name, (source, aggregate) in totals.items()]
@@ -132,6 +154,6 @@ def running_sum(
     )
     carried = carried_forward(placed, keys, {"_carried": (value, F.sum)})
     total = F.coalesce(F.sum(value).over(within), F.lit(0)) + F.coalesce("_carried", F.lit(0))
-    return placed.join(F.broadcast(carried), [*keys, SEGMENT], "left").select(
+    return placed.join(carried, [*keys, SEGMENT], "left").select(
         *df.columns, total.alias(name)
     )

@@ -119,11 +119,19 @@ def _failing_rows(check: Check) -> Column:
     if check.kind == NOT_CONSTANT:
         # Constant means one distinct value, which minimum and maximum tell.
         return F.coalesce((F.min(value) == F.max(value)).cast("bigint"), F.lit(0))
-    if check.kind == TYPE:
-        return F.count_if(F.typeof(value) != check.type_name)
     raise ValueError(check.kind)
 
 
+def _stored_type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _type_failures(check: Check, stored: DataFrame) -> Column:
+    """All rows if the column is stored as another type, else none."""
+    differs = _stored_type(stored, check.columns[0]) != check.type_name
+    return F.count("*") if differs else F.lit(0)
+
+
 def _as_rows(one_row: DataFrame, checks: list[Check]) -> DataFrame:
     """A row of counts, one column per check, as one row per check."""
     entries = [
@@ -153,9 +161,16 @@ def _duplicated_keys(df: DataFrame, check: Check) -> DataFrame:
 
 
 def run_checks(
-    models: Mapping[str, DataFrame], checks: Iterable[Check] = CHECKS
+    models: Mapping[str, DataFrame],
+    checks: Iterable[Check] = CHECKS,
+    stored: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Results of all given checks; ``models`` needs the models they name."""
+    """Results of all given checks; ``models`` needs the models they name.
+
+    Types are those of ``stored``, the same models over files read without a
+    declared schema: a declared one would only give itself back.
+    """
+    stored = stored or {}
     by_model: dict[str, list[Check]] = {}
     parts = []
     for check in checks:
@@ -164,7 +179,11 @@ def run_checks(
         else:
             by_model.setdefault(check.model, []).append(check)
     for model, group in by_model.items():
-        counts = models[model].agg(*[_failing_rows(c).alias(f"c{i}") for i, c in enumerate(group)])
+        failing = [
+            _type_failures(c, stored.get(model, models[model])) if c.kind == TYPE else _failing_rows(c)
+            for c in group
+        ]
+        counts = models[model].agg(*[f.alias(f"c{i}") for i, f in enumerate(failing)])
         parts.append(_as_rows(counts, group))
     return reduce(DataFrame.unionByName, parts)
 
@@ -200,22 +219,17 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> Dat
 
 
 def key_type_agreement(relations: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Per relation, the stored types of both keys and whether they agree."""
-    parts = []
+    """Per relation, the stored types of both keys and whether they agree.
+
+    Takes frames over files read without a declared schema; nothing is scanned.
+    """
+    spark = next(iter(relations.values()))[0].sparkSession
+    rows = []
     for name, (child, child_key, parent, parent_key) in relations.items():
-        types = [
-            df.agg(F.max(F.typeof(key)).alias("key_type")).select(
-                F.lit(name).alias("relation"), F.lit(side).alias("side"), "key_type"
-            )
-            for side, df, key in (("child", child, child_key), ("parent", parent, parent_key))
-        ]
-        parts.append(types[0].unionByName(types[1]))
-    both = reduce(DataFrame.unionByName, parts).groupBy("relation").agg(
-        F.max(F.when(F.col("side") == "child", F.col("key_type"))).alias("child_type"),
-        F.max(F.when(F.col("side") == "parent", F.col("key_type"))).alias("parent_type"),
-    )
-    return both.withColumn(
-        "failing_rows", (~F.col("child_type").eqNullSafe(F.col("parent_type"))).cast("bigint")
+        types = _stored_type(child, child_key), _stored_type(parent, parent_key)
+        rows.append((name, *types, int(types[0] != types[1])))
+    return spark.createDataFrame(
+        rows, "relation string, child_type string, parent_type string, failing_rows bigint"
     )
 
 

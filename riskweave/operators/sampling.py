@@ -12,17 +12,20 @@ def stratified_split(
     label: str = "label",
     key: str = "transaction_id",
     one_in: int = 5,
-    hash_digits: int = 4,
+    rows_per_bucket: int = 100_000,
 ) -> DataFrame:
     """Add ``split``: in each label, ``count div one_in`` rows are 'test'.
 
     Rows are taken in the order of the MD5 of their key. Ranking whole labels
     would put each into one task, so the last test row of a label is looked up
     instead: the number of rows per leading hash digits tells which bucket it
-    lies in, and only that bucket (a 16^digits-th of the label) is ranked. What
-    every row is then compared to is one row per label. The frame is read three
-    times; have it materialised.
+    lies in, and only that bucket is ranked. As many digits are used as leave
+    about ``rows_per_bucket`` rows in a bucket. What every row is then compared
+    to is one row per label. The frame is read four times; have it materialised.
     """
+    rows, hash_digits = df.count(), 1
+    while rows >> (4 * hash_digits) > rows_per_bucket:
+        hash_digits += 1
     digest = F.md5(F.col(key).cast("string"))
     hashed = df.withColumns({"_hash": digest, "_bucket": F.substring(digest, 1, hash_digits)})
     sizes = hashed.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
@@ -44,12 +47,12 @@ def stratified_split(
     # Borders and last rows: one row per label each.
     last = (
         hashed.select(label, "_bucket", "_hash", key)
-        .join(F.broadcast(border), [label, "_bucket"])
+        .join(border, [label, "_bucket"])
         .withColumn("_rank", F.row_number().over(ranked))
         .where("_rank = _nth")
         .select(label, F.struct("_hash", key).alias("_last"))
     )
     is_test = F.struct("_hash", key) <= F.col("_last")
-    return hashed.join(F.broadcast(last), label, "left").select(
+    return hashed.join(last, label, "left").select(
         *df.columns, F.when(is_test, "test").otherwise("train").alias("split")
     )

@@ -8,7 +8,6 @@ the text that derives the source tables and the fixed values.
 from __future__ import annotations
 
 from riskweave.functions.columns import CATEGORY_RISK
-from riskweave.functions.seeded import poisson_steps
 from riskweave.operators import quality as Q
 from riskweave.sources.provided import DERIVATIONS
 
@@ -68,11 +67,12 @@ _STEPS = {
                date_part('day', age({_AS_OF}, account_creation_date)) AS account_age_days,
                month(account_creation_date) AS account_creation_month,
                year(account_creation_date) AS account_creation_year,
+               -- Fixed values: the age bands and the fraud counts above which a level starts.
                CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN 'Under 25'
-                    WHEN age >= 65 THEN '65+'
-                    ELSE (age - (age - 5) % 10)::VARCHAR || '-'
-                      || (age - (age - 5) % 10 + 9)::VARCHAR END AS age_tier,
-               CASE WHEN past_fraud_count >= 6 THEN 'High' WHEN past_fraud_count >= 3
+                    WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44'
+                    WHEN age < 55 THEN '45-54' WHEN age < 65 THEN '55-64'
+                    ELSE '65+' END AS age_tier,
+               CASE WHEN past_fraud_count > 5 THEN 'High' WHEN past_fraud_count > 2
                     THEN 'Medium' ELSE 'Low' END AS risk_level
         FROM stg_customer s""",
     "dim_merchant": """
@@ -301,131 +301,11 @@ def _key_types() -> str:
     )
 
 
-# ---- generators ------------------------------------------------------------
-
-
-def _uniform(purpose: str, *ids: str) -> str:
-    texts = ", ".join([f"'42:{purpose}'", *[f"({i})::VARCHAR" for i in ids]])
-    digits = f"substr(md5(concat_ws(':', {texts})), 1, 13)"
-    return f"(('0x' || {digits})::BIGINT / 4503599627370496e0)"
-
-
-def _whole(low: int, high: int, draw: str) -> str:
-    return f"(floor({draw} * {high - low}) + {low})::BIGINT"
-
-
-def _normal(a: str, b: str) -> str:
-    return f"(sqrt(-2e0 * ln(1e0 - {a})) * cos(2e0 * pi() * {b}))"
-
-
-def _poisson(rate: float, draw: str) -> str:
-    steps = ", ".join(f"{step!r}::DOUBLE" for step in poisson_steps(rate))
-    return f"len(list_filter([{steps}], lambda step: step <= {draw}))::BIGINT"
-
-
-def _pick(options: list[str], draw: str) -> str:
-    listed = ", ".join(f"'{o}'" for o in options)
-    return f"([{listed}])[(floor({draw} * {len(options)}) + 1)::INT]"
-
-
-def _place(home: str) -> str:
-    near = _normal(
-        _uniform(f"tx.{home}.near1", "TransactionID"), _uniform(f"tx.{home}.near2", "TransactionID")
-    )
-    far = f"(1e0 + {_uniform(f'tx.{home}.far', 'TransactionID')} * 4e0)"
-    return (
-        f"{home} + CASE WHEN {_uniform('tx.place', 'TransactionID')} >= 9e-1 THEN {far}"
-        f" ELSE 1e-2 * {near} END"
-    )
-
-
 def _risk_case(category: str) -> str:
     whens = " ".join(f"WHEN '{name}' THEN {risk}e0" for name, risk in CATEGORY_RISK.items())
     return f"CASE {category} {whens} END"
 
 
-def _tx(purpose: str) -> str:
-    return _uniform(f"tx.{purpose}", "TransactionID")
-
-
-_GENERATED = {
-    "made_customers": f"""
-        SELECT CustomerID, day::TIMESTAMP AS AccountCreationDate,
-               {_whole(18, 65, _uniform("customer.age", "CustomerID"))} AS Age,
-               month(day)::INT AS AccountCreationMonth,
-               5e1 + {_uniform("customer.amount", "CustomerID")} * 15e1 AS AvgTransactionAmount,
-               (CASE WHEN {_uniform("customer.fraud", "CustomerID")} < 9e-1 THEN 0
-                     WHEN {_uniform("customer.fraud", "CustomerID")} < 98e-2 THEN 1
-                     ELSE 2 END)::BIGINT AS PastFraudCount,
-               'dev_' || {_whole(1000, 9999, _uniform("customer.device", "CustomerID"))}::VARCHAR
-                 AS HomeDevice,
-               '192.168.' || {_whole(0, 255, _uniform("customer.ip1", "CustomerID"))}::VARCHAR
-                 || '.' || {_whole(0, 255, _uniform("customer.ip2", "CustomerID"))}::VARCHAR
-                 AS HomeIP,
-               3e1 + {_uniform("customer.lat", "CustomerID")} * 15e0 AS HomeLat,
-               -1e2 + {_uniform("customer.lon", "CustomerID")} * 3e1 AS HomeLon,
-               {_RUN_TS} AS ingestion_date
-        FROM (SELECT c_custkey AS CustomerID, DATE '2020-01-01' + c_custkey::INT AS day
-              FROM customer)""",
-    "made_merchants": f"""
-        SELECT MerchantID, MerchantName, Category, {_risk_case("Category")} AS MerchantRiskScore,
-               {_RUN_TS} AS ingestion_date
-        FROM (SELECT s_suppkey AS MerchantID, 'Merchant_' || s_suppkey::VARCHAR AS MerchantName,
-                     {_pick(list(CATEGORY_RISK), _uniform("merchant.category", "s_suppkey"))}
-                       AS Category
-              FROM supplier)""",
-    "made_counts": f"""
-        SELECT CustomerID, greatest(1, {_poisson(5.0, "u")}) AS tx_count
-        FROM (SELECT CustomerID, {_uniform("tx.count", "CustomerID")} AS u FROM made_customers)""",
-    "made_slots": f"""
-        SELECT CustomerID, floor({_uniform("tx.time", "CustomerID", "slot")} * 31449600000e0)::BIGINT
-                 AS millis
-        FROM (SELECT CustomerID, unnest(range(1, tx_count + 1)) AS slot FROM made_counts)""",
-    "made_numbers": """
-        SELECT row_number() OVER (ORDER BY CustomerID, millis) AS TransactionID, CustomerID,
-               TIMESTAMP '2022-01-01 00:00:00' + to_milliseconds(millis) AS Timestamp
-        FROM made_slots""",
-    "made_draws": f"""
-        SELECT n.*, c.* EXCLUDE (CustomerID), {_tx("failures.usual")} AS u_usual,
-               {_tx("failures.many")} AS u_many,
-               floor({_tx("merchant")} * (SELECT count(*) FROM made_merchants))::BIGINT + 1 AS rank
-        FROM made_numbers n JOIN made_customers c ON c.CustomerID = n.CustomerID""",
-    "made_ranks": """
-        SELECT MerchantID, row_number() OVER (ORDER BY MerchantID) AS rank FROM made_merchants""",
-    "made_transactions": f"""
-        SELECT TransactionID, CustomerID, Timestamp, month(Timestamp)::INT AS TimestampMonth,
-               greatest(1e0, AvgTransactionAmount + 3e-1 * AvgTransactionAmount
-                 * {_normal(_tx("amount1"), _tx("amount2"))}) AS TransactionAmount,
-               CASE WHEN {_tx("device")} < 9e-1 THEN HomeDevice
-                    ELSE 'dev_' || {_whole(1000, 9999, _tx("device.other"))}::VARCHAR END
-                 AS DeviceID,
-               CASE WHEN {_tx("ip")} < 9e-1 THEN HomeIP
-                    ELSE '10.0.' || {_whole(0, 255, _tx("ip1"))}::VARCHAR || '.'
-                         || {_whole(0, 255, _tx("ip2"))}::VARCHAR END AS IP_Address,
-               {_place("HomeLat")} AS Lat, {_place("HomeLon")} AS Lon,
-               {_pick(["Online", "POS", "ATM", "MobileApp", "Web"], _tx("channel"))} AS Channel,
-               MerchantID,
-               CASE WHEN {_tx("failures")} < 95e-2 THEN {_poisson(0.5, "u_usual")}
-                    ELSE {_poisson(5.0, "u_many")} END AS FailedTransactions,
-               {_RUN_TS} AS ingestion_date
-        FROM made_draws JOIN made_ranks USING (rank)""",
-    "made_logins": f"""
-        SELECT CustomerID, LoginTimestamp, month(LoginTimestamp)::INT AS LoginTimestampMonth,
-               false AS Success, ingestion_date
-        FROM (SELECT CustomerID, ingestion_date, Timestamp - to_milliseconds(floor(
-                       -6e1 * ln(1e0 - {_uniform("login.lead", "TransactionID", "try")}) * 1e3
-                     )::BIGINT) AS LoginTimestamp
-              FROM (SELECT *, unnest(range(1, FailedTransactions + 1)) AS try
-                    FROM made_transactions))""",
-}
-
-_WITH_GENERATED = "WITH " + ",\n".join(f"{n} AS ({text})" for n, text in _GENERATED.items())
-
-
-def _generated(statement: str) -> str:
-    return f"{_WITH_GENERATED}\n{statement}"
-
-
 _MART_OVER_SNAPSHOTS = """
     SELECT f.*, c.age AS customer_age, c.past_fraud_count AS customer_past_fraud_count,
            c.home_ip AS customer_home_ip, c.home_latitude AS customer_home_latitude,
@@ -443,6 +323,21 @@ _MART_OVER_SNAPSHOTS = """
 
 _ALERTS = _select("SELECT * FROM alerts")
 
+_RULE_SCORES = _select(
+    """SELECT transaction_id, customer_id, transaction_timestamp, failed_logins_24h,
+              geo_mismatch, odd_hours, weekend_login, night_login, amount_zscore,
+              risk_score, flags, label
+       FROM scored"""
+)
+_LAST_LOGINS = _select(
+    """SELECT transaction_id, customer_id, transaction_timestamp,
+              login_attempt_id AS last_login_attempt_id,
+              login_timestamp AS last_login_timestamp
+       FROM last_logins"""
+)
+_FAILURES = _select("SELECT * FROM failures")
+_ZSCORES = _select("SELECT * FROM zscores")
+
 ORACLE_SQL: dict[str, str] = {
     **{
         name: _select(f"SELECT * FROM {name}")
@@ -472,6 +367,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "partitioned_roundtrip_customers": _select(
         """SELECT * REPLACE (AccountCreationDate::TIMESTAMP AS AccountCreationDate),
+                  NULL::DOUBLE AS AvgTransactionAmount,
                   month(AccountCreationDate)::INT AS AccountCreationMonth
            FROM landing_customer"""
     ),
@@ -513,14 +409,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT customer_id, login_timestamp, login_attempt_id FROM fact_login_attempt"
     ),
     "v_transaction_fanout": _select(_MART_OVER_SNAPSHOTS),
-    "scoring_sample": _select("SELECT * FROM v_transaction ORDER BY transaction_id LIMIT 5000"),
-    "asof_last_login": _select(
-        """SELECT transaction_id, customer_id, transaction_timestamp,
-                  login_attempt_id AS last_login_attempt_id,
-                  login_timestamp AS last_login_timestamp
-           FROM last_logins"""
-    ),
-    "failed_logins_24h": _select("SELECT * FROM failures"),
+    "asof_last_login": _LAST_LOGINS,
+    "asof_last_login_hot": _LAST_LOGINS,
+    "failed_logins_24h": _FAILURES,
+    "failed_logins_24h_hot": _FAILURES,
     "enriched_transactions": _select("SELECT * FROM enriched"),
     "feature_means": _select(
         """SELECT round(avg(failed_logins_24h), 9) AS failed_logins_24h,
@@ -530,13 +422,13 @@ ORACLE_SQL: dict[str, str] = {
                   round(avg(night_login::INT), 9) AS night_login
            FROM enriched"""
     ),
-    "amount_zscore": _select("SELECT * FROM zscores"),
-    "rule_scores": _select(
-        """SELECT transaction_id, customer_id, transaction_timestamp, failed_logins_24h,
-                  geo_mismatch, odd_hours, weekend_login, night_login, amount_zscore,
-                  risk_score, flags, label
-           FROM scored"""
-    ),
+    "amount_zscore": _ZSCORES,
+    "amount_zscore_hot": _ZSCORES,
+    "mart_roundtrip_transactions": _select("SELECT * FROM v_transaction"),
+    "mart_roundtrip_logins": _select("SELECT * FROM v_login_attempt"),
+    "rule_scores": _RULE_SCORES,
+    "rule_scores_hot": _RULE_SCORES,
+    "scoring_sample": _RULE_SCORES,
     "rule_labels": _select("SELECT transaction_id, risk_score, label FROM scored"),
     "rule_alerts": _ALERTS,
     "incremental_alerts": _ALERTS,
@@ -635,29 +527,4 @@ ORACLE_SQL: dict[str, str] = {
         _orphans("login_customer", "stg_login_attempt", "stg_customer", "customer_id")
     ),
     "profile_customers": _select(_profile()),
-    "gen_customers": _generated(
-        """SELECT * REPLACE (round(AvgTransactionAmount, 6) AS AvgTransactionAmount,
-                             round(HomeLat, 6) AS HomeLat, round(HomeLon, 6) AS HomeLon)
-           FROM made_customers"""
-    ),
-    "gen_merchants": _generated("SELECT * FROM made_merchants"),
-    "gen_transactions": _generated(
-        """SELECT * REPLACE (round(TransactionAmount, 6) AS TransactionAmount,
-                             round(Lat, 6) AS Lat, round(Lon, 6) AS Lon)
-           FROM made_transactions"""
-    ),
-    "gen_login_attempts": _generated("SELECT * FROM made_logins"),
-    "gen_all_counts": _generated(
-        """SELECT 'customers' AS table_name, count(*) AS row_count FROM made_customers
-        UNION ALL SELECT 'merchants', count(*) FROM made_merchants
-        UNION ALL SELECT 'transactions', count(*) FROM made_transactions
-        UNION ALL SELECT 'login_attempts', count(*) FROM made_logins"""
-    ),
-    "arrival_times": _select(
-        f"""SELECT CustomerID, TransactionID, TIMESTAMP '2022-01-01 00:00:00' + to_milliseconds(
-                  sum(floor(-36e2 * ln(1e0 - {_uniform("arrival.gap", "CustomerID",
-                      "TransactionID")}) * 1e3)::BIGINT)
-                    OVER (PARTITION BY CustomerID ORDER BY TransactionID)::BIGINT) AS arrival_time
-           FROM transactions"""
-    ),
 }

@@ -1,4 +1,4 @@
-"""The pipeline's jobs: generate, build, train, score, report, notify.
+"""The pipeline's jobs: build, train, score, report, notify.
 
 Each reads what the job before it has written, so they can run as separate
 applications. Moments are arguments; repeating a run repeats its result.
@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskweave.operators import alerts as A
-from riskweave.operators import generate as G
 from riskweave.operators.features import enrich_for_rules, enrich_transactions
 from riskweave.operators.layers import run_timestamp
 from riskweave.operators.quality import CHECKS, require_passed, run_checks
@@ -17,7 +16,7 @@ from riskweave.operators.rules import apply_rules
 from riskweave.plans import training
 from riskweave.plans.warehouse import Warehouse
 from riskweave.sources import alerts_store
-from riskweave.sources.tables import load_marts, read_sources, write_mart
+from riskweave.sources.tables import load_marts, read_sources, stored_tables, write_mart
 
 # The databases the layers are published in.
 STAGING, CORE = "staging", "dwh"
@@ -34,32 +33,14 @@ TABLES = {
 }
 
 
-def generate_sources(
-    spark: SparkSession,
-    root: str,
-    run_ts,
-    num_customers: int = G.CUSTOMERS,
-    num_merchants: int = G.MERCHANTS,
-    avg_txs_per_cust: float = G.TRANSACTIONS_PER_CUSTOMER,
-    seed: int = G.SEED,
-) -> dict[str, str]:
-    """Write the four source tables, partitioned, below ``root``."""
-    loaded_at = run_timestamp(run_ts)
-    tables = G.generate_tables(
-        G.generate_customers(spark, loaded_at, num_customers=num_customers, seed=seed),
-        G.generate_merchants(spark, loaded_at, num_merchants=num_merchants, seed=seed),
-        loaded_at,
-        avg_txs_per_cust,
-        seed,
-    )
-    return G.write_tables(tables, root)
-
-
-def check_warehouse(warehouse: Warehouse) -> DataFrame:
-    """Results of all declared checks."""
+def check_warehouse(warehouse: Warehouse, stored: Warehouse | None = None) -> DataFrame:
+    """Results of all declared checks; types are those of ``stored``, if given."""
     models = {check.model for check in CHECKS}
-    named = {m: getattr(warehouse, LANDING_VIEWS.get(m, m)) for m in models}
-    return run_checks(named, CHECKS)
+
+    def named(w: Warehouse) -> dict[str, DataFrame]:
+        return {m: getattr(w, LANDING_VIEWS.get(m, m)) for m in models}
+
+    return run_checks(named(warehouse), CHECKS, stored and named(stored))
 
 
 def build_marts(
@@ -71,7 +52,8 @@ def build_marts(
     """
     warehouse = Warehouse(read_sources(spark, source_root), run_ts, as_of)
     if gate:
-        require_passed(check_warehouse(warehouse))
+        stored = Warehouse(stored_tables(spark, source_root), run_ts, as_of)
+        require_passed(check_warehouse(warehouse, stored))
     for name in ("v_transaction", "v_login_attempt"):
         write_mart(getattr(warehouse, name), mart_root, name)
     return warehouse
@@ -105,17 +87,10 @@ def score_marts(
     alerts_path: str,
     run_ts,
     model_path: str | None = None,
-    limit: int | None = None,
     only_new: bool = True,
 ) -> None:
-    """Append the alerts of the marts' transactions: the model's, or else the rules'.
-
-    ``limit`` bounds the run to the first transactions by id; there is none by
-    default.
-    """
+    """Append the alerts of the marts' transactions: the model's, or else the rules'."""
     transactions, logins = load_marts(spark, mart_root)
-    if limit is not None:
-        transactions = A.bounded_sample(transactions, limit)
     if model_path is not None:
         forest = training.load_forest(model_path)
         alerts = training.score_transactions(enrich_transactions(transactions, logins), forest)

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from riskweave.operators import dims, facts, layers, marts
 from riskweave.operators.features import hot_features, ordinary_features
 from riskweave.operators.rules import apply_rules
-from riskweave.operators.skew import KeySkew, measure_skew
+from riskweave.operators.skew import GROUP_LIMIT, KeySkew, measure_skew
 
 
 class Warehouse:
     """Every layer by name. Nothing runs until a frame is used.
 
     ``run_ts`` stamps the load, ``as_of`` is the day account ages refer to; both
-    are arguments, so a run can be repeated.
+    are arguments, so a run can be repeated. Customers with more than
+    ``group_limit`` events are split over tasks.
     """
 
     def __init__(
@@ -26,10 +27,12 @@ class Warehouse:
         sources: Mapping[str, DataFrame],
         run_ts: datetime | str,
         as_of: date | str,
+        group_limit: int = GROUP_LIMIT,
     ) -> None:
         self.sources = dict(sources)
         self.loaded_at = layers.run_timestamp(run_ts)
         self.as_of = as_of
+        self.group_limit = group_limit
 
     # landing
     @cached_property
@@ -103,7 +106,8 @@ class Warehouse:
     @cached_property
     def customer_skew(self) -> KeySkew:
         """Measured on staging, where it costs two column scans and no join."""
-        return measure_skew("customer_id", [self.stg_transaction, self.stg_login_attempt])
+        frames = [self.stg_transaction, self.stg_login_attempt]
+        return measure_skew("customer_id", frames, self.group_limit)
 
     def _features(self, zscore: bool) -> DataFrame:
         """Features of the mart's transactions, hot customers split off at the source.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import alerts as A
-from riskweave.operators import dims, facts, features, generate, layers, marts, metrics
+from riskweave.operators import dims, facts, features, layers, marts, metrics
 from riskweave.operators import quality as Q
 from riskweave.operators.rules import apply_rules
 from riskweave.operators.sampling import stratified_split
@@ -16,7 +16,12 @@ from riskweave.plans import training
 from riskweave.plans.warehouse import Warehouse
 from riskweave.session import configure, materialize, scratch_path
 from riskweave.sources import alerts_store, tables
-from riskweave.sources.provided import derive_source, provided_sources, provided_table
+from riskweave.sources.provided import (
+    derive_source,
+    provided_sources,
+    provided_table,
+    stored_sources,
+)
 from riskweave.schemas import PROVIDED
 from riskweave.streaming import incremental, lookback
 
@@ -24,7 +29,11 @@ RUN_TS = "2024-02-01 00:00:00"
 AS_OF = "2024-02-01"
 # An earlier run that only alerted on higher scores.
 EARLIER_ALERT_FROM = 7
-STREAM_DELAY = "40 days"
+# So few events make a customer hot, to run the form that splits them.
+HOT_LIMIT = 50
+# Far less than the 30 days of events, so state is dropped on the way.
+STREAM_DELAY = "12 hours"
+STREAM_BATCHES = 4
 EARLIER_SNAPSHOT = "2024-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +50,13 @@ def query(function: Query) -> Query:
     return function
 
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(provided_sources(spark, folder), RUN_TS, AS_OF)
+def warehouse(spark: SparkSession, folder: str, **options) -> Warehouse:
+    return Warehouse(provided_sources(spark, folder), RUN_TS, AS_OF, **options)
+
+
+def split_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The same with every customer of more than a few events split over tasks."""
+    return warehouse(spark, folder, group_limit=HOT_LIMIT)
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -93,8 +107,7 @@ def _register_roundtrips() -> None:
                 source = source.withColumn("ingestion_date", w.loaded_at)
             root = scratch_path(spark, "processed")
             tables.write_source(source, root, name)
-            back = tables.read_source(spark, root, name)
-            return back.drop("AvgTransactionAmount")
+            return tables.read_source(spark, root, name)
 
         run.__name__ = f"partitioned_roundtrip_{name}"
         query(run)
@@ -192,10 +205,31 @@ def v_transaction_fanout(spark, folder):
     return rounded(mart, 9, "distance_from_home")
 
 
+# the marts as stored
+
+
+def _stored_marts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both marts, written and read back."""
+    w, root = warehouse(spark, folder), scratch_path(spark, "marts")
+    for name in ("v_transaction", "v_login_attempt"):
+        tables.write_mart(getattr(w, name), root, name)
+    return tables.load_marts(spark, root)
+
+
+@query
+def mart_roundtrip_transactions(spark, folder):
+    return rounded(_stored_marts(spark, folder)[0], 9, "distance_from_home")
+
+
+@query
+def mart_roundtrip_logins(spark, folder):
+    return _stored_marts(spark, folder)[1]
+
+
 @query
 def scoring_sample(spark, folder):
-    mart = A.bounded_sample(warehouse(spark, folder).v_transaction)
-    return rounded(mart, 9, "distance_from_home")
+    """Every transaction of the stored mart, scored; the run has no row limit."""
+    return _scores(apply_rules(features.enrich_for_rules(*_stored_marts(spark, folder))))
 
 
 # features and rules
@@ -213,6 +247,18 @@ def failed_logins_24h(spark, folder):
     return features.failed_logins(w.stg_transaction, w.fact_login_attempt, skew=w.customer_skew)
 
 
+@query
+def asof_last_login_hot(spark, folder):
+    w = split_warehouse(spark, folder)
+    return features.last_logins(w.stg_transaction, w.fact_login_attempt, skew=w.customer_skew)
+
+
+@query
+def failed_logins_24h_hot(spark, folder):
+    w = split_warehouse(spark, folder)
+    return features.failed_logins(w.stg_transaction, w.fact_login_attempt, skew=w.customer_skew)
+
+
 @query
 def enriched_transactions(spark, folder):
     return rounded(warehouse(spark, folder).enriched_transactions, 9, "distance_from_home")
@@ -224,16 +270,25 @@ def feature_means(spark, folder):
     return rounded(means, 9, *means.columns)
 
 
-@query
-def amount_zscore(spark, folder):
-    scored = features.with_amount_zscore(warehouse(spark, folder).stg_transaction)
+def _zscores(w: Warehouse, **options) -> DataFrame:
+    scored = features.with_amount_zscore(w.stg_transaction, **options)
     wanted = ("transaction_id", "customer_id", "transaction_amount", "amount_zscore")
     return rounded(scored.select(*wanted), 6, "amount_zscore")
 
 
 @query
-def rule_scores(spark, folder):
-    return warehouse(spark, folder).scored_transactions.select(
+def amount_zscore(spark, folder):
+    return _zscores(warehouse(spark, folder))
+
+
+@query
+def amount_zscore_hot(spark, folder):
+    w = split_warehouse(spark, folder)
+    return _zscores(w, skew=w.customer_skew)
+
+
+def _scores(scored: DataFrame) -> DataFrame:
+    return scored.select(
         "transaction_id",
         "customer_id",
         "transaction_timestamp",
@@ -245,6 +300,16 @@ def rule_scores(spark, folder):
     )
 
 
+@query
+def rule_scores(spark, folder):
+    return _scores(warehouse(spark, folder).scored_transactions)
+
+
+@query
+def rule_scores_hot(spark, folder):
+    return _scores(split_warehouse(spark, folder).scored_transactions)
+
+
 @query
 def rule_labels(spark, folder):
     return warehouse(spark, folder).scored_transactions.select(
@@ -379,7 +444,12 @@ def _register_checks() -> None:
 
         def run(spark: SparkSession, folder: str, kind: str = kind) -> DataFrame:
             checks = Q.checks_of(kind)
-            return Q.run_checks(_checked_models(warehouse(spark, folder), checks), checks)
+            stored = Warehouse(stored_sources(spark, folder), RUN_TS, AS_OF)
+            return Q.run_checks(
+                _checked_models(warehouse(spark, folder), checks),
+                checks,
+                _checked_models(stored, checks) if kind == Q.TYPE else None,
+            )
 
         run.__name__ = name
         query(run)
@@ -390,9 +460,9 @@ _register_checks()
 
 @query
 def dq_key_types(spark, folder):
-    w = warehouse(spark, folder)
-    customers, merchants = w.sources["customers"], w.sources["merchants"]
-    tx, logins = w.sources["transactions"], w.sources["login_attempts"]
+    stored = stored_sources(spark, folder)
+    customers, merchants = stored["customers"], stored["merchants"]
+    tx, logins = stored["transactions"], stored["login_attempts"]
     return Q.key_type_agreement(
         {
             "tx_customer": (tx, "CustomerID", customers, "CustomerID"),
@@ -452,70 +522,6 @@ def profile_customers(spark, folder):
     return Q.column_profile(customers, customers.columns)
 
 
-# generators, describing the ids of the given tables
-
-
-def _generated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    loaded_at = layers.run_timestamp(RUN_TS)
-    customer_ids = provided_table(spark, folder, "customer").selectExpr("c_custkey AS CustomerID")
-    merchant_ids = provided_table(spark, folder, "supplier").selectExpr("s_suppkey AS MerchantID")
-    return {
-        "customers": generate.customers_from_ids(customer_ids, loaded_at, start_id=0),
-        "merchants": generate.merchants_from_ids(merchant_ids, loaded_at),
-    }
-
-
-def _generated_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    made = _generated(spark, folder)
-    return generate.transactions_for(
-        made["customers"], made["merchants"], layers.run_timestamp(RUN_TS)
-    )
-
-
-@query
-def gen_customers(spark, folder):
-    made = _generated(spark, folder)["customers"]
-    return rounded(made, 6, "AvgTransactionAmount", "HomeLat", "HomeLon")
-
-
-@query
-def gen_merchants(spark, folder):
-    return _generated(spark, folder)["merchants"]
-
-
-@query
-def gen_transactions(spark, folder):
-    made = _generated_transactions(spark, folder)
-    return rounded(made, 6, "TransactionAmount", "Lat", "Lon")
-
-
-@query
-def gen_login_attempts(spark, folder):
-    return generate.login_attempts_for(_generated_transactions(spark, folder))
-
-
-@query
-def gen_all_counts(spark, folder):
-    made = _generated(spark, folder)
-    dataset = generate.generate_tables(
-        made["customers"], made["merchants"], layers.run_timestamp(RUN_TS)
-    )
-    root = scratch_path(spark, "generated")
-    generate.write_tables(dataset, root)
-    return tables.row_counts(tables.read_sources(spark, root))
-
-
-@query
-def arrival_times(spark, folder):
-    transactions = provided_sources(spark, folder)["transactions"]
-    return generate.arrival_times(
-        transactions.select("CustomerID", "TransactionID"),
-        ["CustomerID"],
-        ["TransactionID"],
-        layers.run_timestamp(generate.YEAR_START),
-    )
-
-
 # streaming
 
 
@@ -533,7 +539,7 @@ def incremental_alerts(spark, folder):
     path = scratch_path(spark, "fraud_alerts")
     stream = incremental.start_incremental_alerts(
         _event_stream(spark, folder, "transactions"),
-        incremental.rule_scorer(provided_sources(spark, folder), RUN_TS, AS_OF),
+        incremental.rule_scorer(lambda: provided_sources(spark, folder), RUN_TS, AS_OF),
         path,
         scratch_path(spark, "checkpoint"),
         layers.run_timestamp(RUN_TS),
@@ -542,24 +548,35 @@ def incremental_alerts(spark, folder):
     return alerts_store.read_alerts_folder(spark, path).drop("id", "inserted_at")
 
 
+def _events_by_day(spark: SparkSession, folder: str) -> str:
+    """The events as several files, one after the other in time, as they would land."""
+    path = scratch_path(spark, "events")
+    events = provided_table(spark, folder, "events")
+    bounds = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    step = (bounds[1] - bounds[0]) // STREAM_BATCHES + 1
+    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - bounds[0]) / step)
+    for batch in range(STREAM_BATCHES):
+        events.where(part == batch).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query
 def stream_failed_logins(spark, folder):
+    landed = _events_by_day(spark, folder)
+    reader = spark.readStream.schema(PROVIDED["events"]).option("maxFilesPerTrigger", 1)
+    events = reader.parquet(landed)
     w = Warehouse(
         {
             **provided_sources(spark, folder),
-            "transactions": _event_stream(spark, folder, "transactions"),
-            "login_attempts": _event_stream(spark, folder, "login_attempts"),
+            "transactions": derive_source("transactions", events),
+            "login_attempts": derive_source("login_attempts", events),
         },
         RUN_TS,
         AS_OF,
     )
-    counts = lookback.failed_login_counts(
-        w.stg_transaction,
-        w.stg_login_attempt,
-        STREAM_DELAY,
-        skew=warehouse(spark, folder).customer_skew,
-    )
     path = scratch_path(spark, "failed_logins")
-    stream = lookback.start_failed_login_counts(counts, path, scratch_path(spark, "checkpoint"))
+    stream = lookback.start_failed_login_counts(
+        w.stg_transaction, w.stg_login_attempt, path, scratch_path(spark, "checkpoint"), STREAM_DELAY
+    )
     stream.awaitTermination()
     return lookback.read_failed_login_counts(spark, path)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.alerts import new_alerts
+from riskweave.operators.alerts import alert_kind, new_alerts
 from riskweave.schemas import ALERTS, ALERTS_TABLE
 
 
@@ -21,14 +21,18 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ALERTS).parquet(path)
 
 
-def table_rows(alerts: DataFrame, inserted_at: Column, after_id: int = 0) -> DataFrame:
+def table_rows(alerts: DataFrame, inserted_at: Column) -> DataFrame:
     """Alerts as rows of the alerts table.
 
-    Ids are unique and rise from ``after_id``, with gaps, like a sequence's.
+    The id is a hash of the alert's key and of the moment it was stored: writers
+    need neither a counter nor a look at what is stored, and a repeated task
+    gives its rows the same ids. Alerts of one key stored at one moment share
+    their id; ``only_new`` appends store one of them.
     """
+    moment = inserted_at.cast("timestamp_ntz")
     values = {
-        "id": F.monotonically_increasing_id() + F.lit(after_id + 1),
-        "inserted_at": inserted_at,
+        "id": F.xxhash64("transaction_id", alert_kind(), moment),
+        "inserted_at": moment,
     }
     return alerts.select(
         *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in ALERTS_TABLE]
@@ -49,15 +53,14 @@ def append_alerts(
 ) -> None:
     """Append to the alerts table at ``path``, creating it if needed.
 
-    With ``only_new`` a repeated run adds nothing: transactions that already have
-    an alert are left out. Otherwise every run adds all its alerts.
+    With ``only_new`` one alert is kept for each transaction and kind (rules or
+    model), and none where the table has one already, so a repeated run adds
+    nothing. Otherwise every run adds all its alerts and reads nothing.
     """
     spark = alerts.sparkSession
     create_alerts_folder(spark, path)
-    stored = read_alerts_folder(spark, path)
-    rows = new_alerts(alerts, stored) if only_new else alerts
-    last_id = stored.agg(F.max("id")).first()[0] or 0
-    table_rows(rows, inserted_at, last_id).write.mode("append").parquet(path)
+    rows = new_alerts(alerts, read_alerts_folder(spark, path)) if only_new else alerts
+    table_rows(rows, inserted_at).write.mode("append").parquet(path)
 
 
 def append_alerts_table(
@@ -65,12 +68,11 @@ def append_alerts_table(
 ) -> None:
     """The same for a table of the catalog."""
     spark = alerts.sparkSession
-    rows, last_id = alerts, 0
-    if spark.catalog.tableExists(table):
-        stored = spark.table(table)
-        rows = new_alerts(alerts, stored) if only_new else alerts
-        last_id = stored.agg(F.max("id")).first()[0] or 0
-    table_rows(rows, inserted_at, last_id).write.mode("append").saveAsTable(table)
+    stored = spark.table(table) if spark.catalog.tableExists(table) else None
+    if stored is None:
+        stored = spark.createDataFrame([], ALERTS_TABLE)
+    rows = new_alerts(alerts, stored) if only_new else alerts
+    table_rows(rows, inserted_at).write.mode("append").saveAsTable(table)
 
 
 def append_alerts_jdbc(

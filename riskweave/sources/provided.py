@@ -82,3 +82,11 @@ def provided_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         name: derive_source(name, provided_table(spark, folder, origin))
         for name, origin in _ORIGIN.items()
     }
+
+
+def stored_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The same with the types that the files have, whatever is declared."""
+    return {
+        name: derive_source(name, spark.read.parquet(f"{folder}/{origin}.parquet"))
+        for name, origin in _ORIGIN.items()
+    }

@@ -29,15 +29,25 @@ def read_sources(
     }
 
 
+def stored_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The source tables with the types that their files have."""
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in SOURCES}
+
+
 def read_nanosecond_source(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A source file whose timestamps are nanoseconds, as pandas writes them.
 
     Spark refuses that Parquet type unless told to read it as a plain long; the
     longs become microsecond timestamps here.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    raw = spark.read.parquet(path)
-    stored = {field.name: field.dataType for field in raw.schema}
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        raw = spark.read.parquet(path)
+        stored = {field.name: field.dataType for field in raw.schema}
+    finally:
+        spark.conf.set(setting, before)
     columns = []
     for field in SOURCES[name]:
         if field.name not in stored:

@@ -16,6 +16,9 @@ from riskweave.schemas import SOURCES
 from riskweave.sources.alerts_store import append_alerts, create_alerts_folder
 
 Scorer = Callable[[DataFrame], DataFrame]
+# Reads the stored tables as they are now; a frame made earlier keeps the file
+# list of that moment, so it is called for every batch.
+Loader = Callable[[], Mapping[str, DataFrame]]
 
 
 def transaction_stream(
@@ -32,7 +35,7 @@ def enrich_batch(batch: DataFrame, stored: Mapping[str, DataFrame], run_ts, as_o
     """Features of one batch against the stored customers, merchants and logins.
 
     Logins are reduced to the batch's customers before anything is computed from
-    them. Nothing else of the history is read.
+    them; the reduction scans the stored logins' four columns.
     """
     customers = batch.select("CustomerID").distinct()
     logins = stored["login_attempts"].join(customers, "CustomerID", "left_semi")
@@ -40,37 +43,47 @@ def enrich_batch(batch: DataFrame, stored: Mapping[str, DataFrame], run_ts, as_o
     return Warehouse(tables, run_ts, as_of).enriched_transactions
 
 
+def mart_amounts(warehouse: Warehouse) -> DataFrame:
+    """Customer and amount of every mart row, without the mart's other joins.
+
+    A transaction counts once for each snapshot of its merchant, as it does in
+    the mart that batch scoring judges amounts by.
+    """
+    merchants = warehouse.dim_merchant.select("merchant_id")
+    joined = warehouse.stg_transaction.join(merchants, "merchant_id", "left")
+    return joined.select("customer_id", "transaction_amount")
+
+
 def rule_scorer(
-    stored: Mapping[str, DataFrame], run_ts, as_of, statistics: DataFrame | None = None
+    load: Loader, run_ts, as_of, statistics: Callable[[], DataFrame] | None = None
 ) -> Scorer:
     """Rule alerts of a batch; amounts are judged by each customer's stored history.
 
-    ``statistics`` may bring the customers' amount statistics along, as a table
-    that is refreshed apart from the stream. Otherwise they are computed from the
-    stored transactions of the batch's customers.
+    ``statistics`` may read the customers' amount statistics from a table that is
+    refreshed apart from the stream. Otherwise they are computed from the stored
+    transactions of the batch's customers.
     """
 
     def score(batch: DataFrame) -> DataFrame:
+        stored = load()
         enriched = enrich_batch(batch, stored, run_ts, as_of)
-        known = statistics
-        if known is None:
+        if statistics is not None:
+            known = statistics()
+        else:
             customers = batch.select("CustomerID").distinct()
             history = stored["transactions"].join(customers, "CustomerID", "left_semi")
-            known = amount_statistics(
-                Warehouse({**stored, "transactions": history}, run_ts, as_of).stg_transaction
-            )
+            past = Warehouse({**stored, "transactions": history}, run_ts, as_of)
+            known = amount_statistics(mart_amounts(past))
         return rule_alerts(apply_rules(zscore_from_statistics(enriched, known)))
 
     return score
 
 
-def model_scorer(
-    stored: Mapping[str, DataFrame], forest: TrainedForest, run_ts, as_of
-) -> Scorer:
+def model_scorer(load: Loader, forest: TrainedForest, run_ts, as_of) -> Scorer:
     """Model alerts of a batch."""
 
     def score(batch: DataFrame) -> DataFrame:
-        return score_transactions(enrich_batch(batch, stored, run_ts, as_of), forest)
+        return score_transactions(enrich_batch(batch, load(), run_ts, as_of), forest)
 
     return score
 
@@ -86,7 +99,7 @@ def start_incremental_alerts(
     """Score each micro-batch and append the alerts that are new.
 
     Replaying a batch, or the whole stream from an empty checkpoint, adds nothing:
-    transactions with a stored alert are left out. By default the query handles
+    transactions with a stored alert of the same kind are left out. By default the query handles
     what has landed and stops; ``continuous`` keeps it running.
     """
 

@@ -1,141 +1,123 @@
 """Failed logins before each transaction, on two unbounded streams.
 
 A stream-stream join would emit every pair of transaction and failed login, which
-is quadratic for a busy customer. Here each customer's recent times are kept as
-state and counted by binary search, so a batch costs its events times a logarithm.
-
-Events may arrive in any order within the watermark. A transaction's first row
-counts the failed logins seen so far; logins arriving later add further rows. The
-counts of a transaction are the sum of its rows.
+is quadratic for a busy customer. Here both streams are one, and each micro-batch
+counts on a time line: its transactions against the retained and the new failed
+logins, and the retained transactions against the new ones. The counting is the
+batch operator's, hot customers included.
+
+Events may arrive in any order within ``delay`` of the latest event seen before
+their batch; later ones are left out. A transaction's first row counts the failed
+logins seen so far; logins arriving later add further rows. The counts of a
+transaction are the sum of its rows.
+
+What a batch retains - failed logins of the look-back plus the delay, and
+transactions of the delay - is a folder named by the batch's number, and so is
+what it counts. A repeated batch overwrites its own folders with equal rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from riskweave.operators.login_context import LOOKBACK_HOURS
-from riskweave.operators.skew import KeySkew
 
-LANES = 32
+from riskweave.operators.login_context import FAILED, LOOKBACK_HOURS, with_login_context
 
+_EVENT = "customer_id bigint, at timestamp_ntz, transaction_id bigint, is_tx boolean"
 _OUTPUT = "transaction_id bigint, customer_id bigint, failed_logins bigint"
-_STATE = "failed array<bigint>, tx_at array<bigint>, tx_id array<bigint>"
-
 
-def _events(
-    transactions: DataFrame, logins: DataFrame, delay: str, skew: KeySkew | None, lanes: int
-) -> DataFrame:
-    """Both streams as one, each event in a lane of its customer.
 
-    Ordinary customers have one lane. A hot customer's failed logins are spread
-    over several by their time, and its transactions visit all of them; a third
-    of the traffic in one customer is then the work of many tasks.
-    """
+def _events(transactions: DataFrame, logins: DataFrame) -> DataFrame:
+    """Transactions and failed logins as one stream."""
     tx = transactions.select(
         "customer_id",
-        F.col("transaction_timestamp").cast("timestamp").alias("at"),
+        F.col("transaction_timestamp").alias("at"),
         "transaction_id",
-    ).withWatermark("at", delay)
-    failed = (
-        logins.where("is_success = false AND customer_id IS NOT NULL")
-        .select(
-            "customer_id",
-            F.col("login_timestamp").cast("timestamp").alias("at"),
-            F.lit(None).cast("bigint").alias("transaction_id"),
-        )
-        .withWatermark("at", delay)
+        F.lit(True).alias("is_tx"),
     )
-    events = tx.unionByName(failed)
-    # Transactions without a customer have no logins to meet: any lane will do.
-    anywhere = F.pmod(F.xxhash64("transaction_id"), F.lit(lanes)).cast("int")
-    if skew is None or skew.hot is None:
-        only_lane = F.when(F.col("customer_id").isNull(), anywhere).otherwise(0)
-        laned = events.withColumn("lane", only_lane)
-    else:
-        widths = skew.hot.select("customer_id", F.lit(lanes).alias("_lanes"))
-        width = F.coalesce("_lanes", F.lit(1))
-        own_lane = F.pmod(F.xxhash64("at"), width).cast("int")
-        visited = (
-            F.when(F.col("customer_id").isNull(), F.array(anywhere))
-            .when(F.col("transaction_id").isNull(), F.array(own_lane))
-            .otherwise(F.sequence(F.lit(0), width - 1))
-        )
-        laned = (
-            events.join(widths, "customer_id", "left")
-            .withColumn("lane", F.explode(visited))
-            .drop("_lanes")
-        )
-    return laned.withColumn("at_micros", F.unix_micros("at"))
-
-
-def _counter(hours: int):
-    """The state function: counts, then forgets what no later event can need."""
-    span = hours * 3_600_000_000
-
-    def within(sorted_failed: np.ndarray, at: np.ndarray) -> np.ndarray:
-        upto = np.searchsorted(sorted_failed, at, side="right")
-        return upto - np.searchsorted(sorted_failed, at - span, side="left")
-
-    def count(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept = state.get if state.exists else ([], [], [])
-        failed, tx_at, tx_id = (np.array(values, dtype=np.int64) for values in kept)
-        batch = pd.concat(list(batches), ignore_index=True)
-        is_tx = batch["transaction_id"].notna().to_numpy()
-        at = batch["at_micros"].to_numpy(dtype=np.int64)
-        arrived = np.sort(at[~is_tx])
-        new_at = at[is_tx]
-        new_id = batch.loc[is_tx, "transaction_id"].to_numpy(dtype=np.int64)
-
-        later = within(arrived, tx_at)
-        failed = np.sort(np.concatenate([failed, arrived]))
-        ids = np.concatenate([new_id, tx_id[later > 0]])
-        counts = np.concatenate([within(failed, new_at), later[later > 0]])
-        if len(ids):
-            yield pd.DataFrame(
-                {"transaction_id": ids, "customer_id": key[0], "failed_logins": counts}
-            )
-
-        tx_at, tx_id = np.concatenate([tx_at, new_at]), np.concatenate([tx_id, new_id])
-        newest = max([*failed[-1:], *tx_at, state.getCurrentWatermarkMs() * 1000])
-        watermark = state.getCurrentWatermarkMs() * 1000
-        failed, recent = failed[failed >= watermark - span], tx_at >= watermark
-        state.update((failed.tolist(), tx_at[recent].tolist(), tx_id[recent].tolist()))
-        state.setTimeoutTimestamp(int(newest + span) // 1000 + 1)
-
-    return count
-
-
-def failed_login_counts(
-    transactions: DataFrame,
-    logins: DataFrame,
-    delay: str,
-    hours: int = LOOKBACK_HOURS,
-    skew: KeySkew | None = None,
-    lanes: int = LANES,
-) -> DataFrame:
-    """The stream of counts. ``delay`` is how late events may arrive."""
-    events = _events(transactions, logins, delay, skew, lanes)
-    return events.groupBy("customer_id", "lane").applyInPandasWithState(
-        _counter(hours), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    failed = logins.where("is_success = false AND customer_id IS NOT NULL").select(
+        "customer_id",
+        F.col("login_timestamp").alias("at"),
+        F.lit(None).cast("bigint").alias("transaction_id"),
+        F.lit(False).alias("is_tx"),
     )
+    return tx.unionByName(failed)
+
+
+def _counted(transactions: DataFrame, failed: DataFrame, hours: int) -> DataFrame:
+    """Each transaction with its failed logins among the given ones."""
+    logins = failed.select(
+        "customer_id",
+        F.col("at").alias("login_timestamp"),
+        F.lit(None).cast("string").alias("login_attempt_id"),
+        F.lit(False).alias("is_success"),
+    )
+    moments = transactions.select(
+        "transaction_id", "customer_id", F.col("at").alias("transaction_timestamp")
+    )
+    counted = with_login_context(moments, logins, hours=hours)
+    return counted.select("transaction_id", "customer_id", F.col(FAILED).cast("bigint").alias("failed_logins"))
+
+
+def _batch_handler(path: str, delay: str, hours: int) -> Callable[[DataFrame, int], None]:
+    def folder(kind: str, batch_id: int) -> str:
+        return f"{path}/{kind}/batch={batch_id}"
+
+    def read(spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return spark.createDataFrame([], _EVENT)
+        return spark.read.schema(_EVENT).parquet(folder("state", batch_id))
+
+    def latest(spark: SparkSession, batch_id: int):
+        """The latest event time seen up to a batch; nothing before the first."""
+        if batch_id < 0:
+            return None
+        return spark.read.schema("latest timestamp_ntz").parquet(folder("seen", batch_id)).first()[0]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen, state = latest(spark, batch_id - 1), read(spark, batch_id - 1)
+        new = batch.persist()
+        try:
+            if seen is not None:
+                new = batch.where(F.col("at").isNull() | (F.col("at") >= F.lit(seen) - F.expr(f"INTERVAL {delay}")))
+            is_tx = F.col("is_tx")
+            new_tx, new_failed = new.where(is_tx), new.where(~is_tx)
+            old_tx, old_failed = state.where(is_tx), state.where(~is_tx)
+            counts = _counted(new_tx, new_failed.unionByName(old_failed), hours)
+            later = _counted(old_tx, new_failed, hours).where("failed_logins > 0")
+            counts.unionByName(later).write.mode("overwrite").parquet(folder("counts", batch_id))
+
+            now = new.agg(F.max("at")).first()[0]
+            now = max(x for x in (seen, now) if x is not None) if seen or now else None
+            told = spark.createDataFrame([(now,)], "latest timestamp_ntz")
+            told.coalesce(1).write.mode("overwrite").parquet(folder("seen", batch_id))
+            kept = state.unionByName(new).where("at IS NOT NULL")
+            if now is not None:
+                watermark = F.lit(now) - F.expr(f"INTERVAL {delay}")
+                since = F.when(is_tx, watermark).otherwise(watermark - F.expr(f"INTERVAL {hours} HOURS"))
+                kept = kept.where(F.col("at") >= since)
+            kept.write.mode("overwrite").parquet(folder("state", batch_id))
+        finally:
+            batch.unpersist()
+
+    return handle
 
 
 def start_failed_login_counts(
-    counts: DataFrame, path: str, checkpoint: str, continuous: bool = False
+    transactions: DataFrame,
+    logins: DataFrame,
+    path: str,
+    checkpoint: str,
+    delay: str,
+    hours: int = LOOKBACK_HOURS,
+    continuous: bool = False,
 ) -> StreamingQuery:
-    writer = counts.writeStream.format("parquet").outputMode("append").option("path", path)
+    """Count below ``path``. ``delay`` (as "12 hours") is how late events may arrive."""
+    writer = _events(transactions, logins).writeStream.foreachBatch(_batch_handler(path, delay, hours))
     writer = writer.option("checkpointLocation", checkpoint)
     if not continuous:
         writer = writer.trigger(availableNow=True)
@@ -144,7 +126,7 @@ def start_failed_login_counts(
 
 def read_failed_login_counts(spark: SparkSession, path: str) -> DataFrame:
     """Current count per transaction."""
-    rows = spark.read.schema(_OUTPUT).parquet(path)
+    rows = spark.read.schema(_OUTPUT).parquet(f"{path}/counts")
     return rows.groupBy("transaction_id", "customer_id").agg(
         F.sum("failed_logins").alias("failed_logins_24h")
     )

@@ -94,6 +94,18 @@ def test_key_types(spark):
     assert got == [("other", "bigint", "int", 1), ("same", "bigint", "bigint", 0)]
 
 
+def test_types_are_those_of_the_files(spark, tmp_path):
+    """A key stored as INT fails, although every read declares BIGINT."""
+    path = str(tmp_path / "customers")
+    spark.createDataFrame([(1,), (2,)], "CustomerID int").write.parquet(path)
+    declared = spark.read.schema("CustomerID bigint").parquet(path)
+    stored = spark.read.parquet(path)
+    check = Q.Check("m", Q.TYPE, ("CustomerID",), type_name="bigint")
+    found = Q.run_checks({"m": declared}, [check], {"m": stored}).first()
+    assert found.failing_rows == 2
+    assert Q.run_checks({"m": declared}, [check], {"m": declared}).first().failing_rows == 0
+
+
 def test_key_sequence(spark):
     df = spark.createDataFrame([(5,), (6,), (6,), (9,)], "k bigint")
     assert rows(Q.key_sequence(df, "k")) == [(5, 9, 2, 1)]

@@ -48,7 +48,7 @@ def test_append_keeps_every_run(spark, alerts, tmp_path):
     stored = S.read_alerts_folder(spark, path)
     assert stored.schema == ALERTS_TABLE
     assert stored.count() == 6
-    assert stored.select("id").distinct().count() == 6
+    assert stored.select("id").distinct().count() == 3  # a hash of key and moment
     assert {r[0] for r in stored.select("inserted_at").collect()} == {datetime(2024, 2, 1)}
 
 
@@ -62,6 +62,21 @@ def test_idempotent_append(spark, alerts, tmp_path):
     assert stored.select("id").distinct().count() == 3
 
 
+def test_one_alert_for_each_transaction_and_kind(spark, alerts, tmp_path):
+    """Repeats within a run go, and a model's alert is not a rule's."""
+    path = str(tmp_path / "alerts")
+    by_model = alerts.where("transaction_id < '3'").selectExpr(
+        "* EXCEPT (risk_score, flags)", "1 AS risk_score", "'ML_MODEL' AS flags"
+    )
+    lower = alerts.selectExpr("* EXCEPT (risk_score)", "risk_score - 1 AS risk_score")
+    for _ in range(2):
+        S.append_alerts(alerts.unionByName(lower).unionByName(alerts), path, now(), only_new=True)
+        S.append_alerts(by_model.unionByName(by_model), path, now(), only_new=True)
+    stored = S.read_alerts_folder(spark, path)
+    assert rows(stored.drop("id", "inserted_at")) == rows(alerts.unionByName(by_model))
+    assert stored.select("id").distinct().count() == 5
+
+
 def test_append_to_a_catalog_table(spark, alerts, tmp_path):
     spark.sql(f"CREATE DATABASE alerts_db LOCATION '{tmp_path}/db'")
     try:

@@ -1,22 +1,22 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators.alerts import rule_alerts
+from riskweave.operators.alerts import one_per_key, rule_alerts
 from riskweave.operators.features import failed_logins
 from riskweave.operators.layers import run_timestamp, stage_login_attempts, stage_transactions
 from riskweave.operators.layers import land_login_attempts, land_transactions
-from riskweave.operators.skew import KeySkew
 from riskweave.plans.training import score_transactions, train_refined, training_set
 from riskweave.plans.warehouse import Warehouse
 from riskweave.queries import AS_OF, RUN_TS
 from riskweave.schemas import SOURCES
 from riskweave.sources.alerts_store import read_alerts_folder
 from riskweave.sources.provided import provided_sources
-from riskweave.sources.tables import conform
+from riskweave.sources.tables import conform, read_sources, write_source
 from riskweave.streaming import incremental as I
 from riskweave.streaming import lookback as L
 from tests.conftest import DATA, rows
@@ -49,7 +49,7 @@ def run(spark, landed, scorer, alerts, checkpoint):
 
 def test_batches_add_up_and_replays_add_nothing(spark, sources, warehouse, tmp_path):
     landed = land(sources, "transactions", f"{tmp_path}/tx", 3)
-    scorer = I.rule_scorer(sources, RUN_TS, AS_OF)
+    scorer = I.rule_scorer(lambda: sources, RUN_TS, AS_OF)
     want = rows(rule_alerts(warehouse.scored_transactions))
     alerts = f"{tmp_path}/alerts"
 
@@ -67,7 +67,7 @@ def test_batches_add_up_and_replays_add_nothing(spark, sources, warehouse, tmp_p
 def test_later_files_are_picked_up(spark, sources, warehouse, tmp_path):
     landed, alerts, checkpoint = (f"{tmp_path}/{n}" for n in ("tx", "alerts", "c"))
     halves = conform("transactions", sources["transactions"])
-    scorer = I.rule_scorer(sources, RUN_TS, AS_OF)
+    scorer = I.rule_scorer(lambda: sources, RUN_TS, AS_OF)
     halves.where("TransactionID < 500").coalesce(1).write.parquet(landed)
     run(spark, landed, scorer, alerts, checkpoint)
     first = read_alerts_folder(spark, alerts).count()
@@ -81,7 +81,7 @@ def test_later_files_are_picked_up(spark, sources, warehouse, tmp_path):
 def test_nothing_landed_yet(spark, sources, tmp_path):
     landed = f"{tmp_path}/tx"
     conform("transactions", sources["transactions"]).where("false").write.parquet(landed)
-    run(spark, landed, I.rule_scorer(sources, RUN_TS, AS_OF), f"{tmp_path}/alerts", f"{tmp_path}/c")
+    run(spark, landed, I.rule_scorer(lambda: sources, RUN_TS, AS_OF), f"{tmp_path}/alerts", f"{tmp_path}/c")
     assert read_alerts_folder(spark, f"{tmp_path}/alerts").count() == 0
 
 
@@ -89,27 +89,26 @@ def test_model_scoring_of_batches(spark, sources, warehouse, tmp_path):
     forest = train_refined(training_set(warehouse.scored_transactions), trees=10)
     landed = land(sources, "transactions", f"{tmp_path}/tx", 2)
     alerts = f"{tmp_path}/alerts"
-    run(spark, landed, I.model_scorer(sources, forest, RUN_TS, AS_OF), alerts, f"{tmp_path}/c")
+    run(spark, landed, I.model_scorer(lambda: sources, forest, RUN_TS, AS_OF), alerts, f"{tmp_path}/c")
     want = rows(score_transactions(warehouse.enriched_transactions, forest))
     assert rows(read_alerts_folder(spark, alerts).drop("id", "inserted_at")) == want
 
 
-def streamed_counts(spark, sources, tmp_path, skew=None, delay="40 days"):
+def streamed_counts(spark, sources, tmp_path, delay="40 days"):
     now = run_timestamp(RUN_TS)
     streams = {}
     for name in ("transactions", "login_attempts"):
         path = land(sources, name, f"{tmp_path}/{name}", 4)
         reader = spark.readStream.schema(SOURCES[name]).option("maxFilesPerTrigger", 1)
         streams[name] = reader.parquet(path)
-    counts = L.failed_login_counts(
+    out = f"{tmp_path}/counts"
+    query = L.start_failed_login_counts(
         stage_transactions(land_transactions(streams["transactions"], now)),
         stage_login_attempts(land_login_attempts(streams["login_attempts"])),
+        out,
+        f"{tmp_path}/c",
         delay,
-        skew=skew,
-        lanes=5,
     )
-    out = f"{tmp_path}/counts"
-    query = L.start_failed_login_counts(counts, out, f"{tmp_path}/c")
     query.awaitTermination()
     assert len(query.recentProgress) >= 4
     return rows(
@@ -117,71 +116,83 @@ def streamed_counts(spark, sources, tmp_path, skew=None, delay="40 days"):
     )
 
 
-@pytest.mark.parametrize("hot", [None, (0, 1, -1)])
-def test_streamed_counts_equal_the_batch(spark, sources, warehouse, tmp_path, hot):
+def test_streamed_counts_equal_the_batch(spark, sources, warehouse, tmp_path):
     """Files in random order: most logins arrive after transactions they count for."""
-    skew = hot and KeySkew(
-        "customer_id", spark.createDataFrame([(k,) for k in hot], "customer_id bigint")
-    )
     batch = failed_logins(warehouse.stg_transaction, warehouse.fact_login_attempt)
     want = rows(batch, "transaction_id", "customer_id", "failed_logins_24h")
-    assert streamed_counts(spark, sources, tmp_path, skew) == want
-
-
-class State:
-    def __init__(self):
-        self.value, self.watermark, self.hasTimedOut = None, 0, False
-
-    @property
-    def exists(self):
-        return self.value is not None
-
-    @property
-    def get(self):
-        return self.value
+    assert streamed_counts(spark, sources, tmp_path) == want
 
-    def update(self, value):
-        self.value = value
 
-    def getCurrentWatermarkMs(self):
-        return self.watermark
+HOUR = timedelta(hours=1)
+START = datetime(2024, 1, 1)
 
-    def setTimeoutTimestamp(self, moment):
-        assert moment > self.watermark
-        self.timeout = moment
 
-    def remove(self):
-        self.value = None
-
-
-def test_state_forgets_what_the_watermark_has_passed():
-    import pandas as pd
-
-    hour = 3_600_000_000
-    rng = random.Random(1)
-    state, count = State(), L._counter(24)
-    totals, transactions, logins = {}, [], []
-    for step in range(40):
-        # Event time moves two hours per batch; events lie up to six hours back.
-        now = (100 + 2 * step) * hour
-        state.watermark = max(0, now - 6 * hour) // 1000
+def batches_of_events(seed, steps):
+    """Event time moves two hours per batch; events lie up to fourteen hours back."""
+    rng = random.Random(seed)
+    out, n = [], 0
+    for step in range(steps):
+        now = START + 2 * step * HOUR
         batch = []
-        for _ in range(rng.randrange(1, 6)):
-            at = now - rng.randrange(6 * hour)
-            if rng.random() < 0.4:
-                transactions.append((len(transactions), at))
-                batch.append((at, float(transactions[-1][0])))
+        for _ in range(rng.randrange(1, 9)):
+            at = now - timedelta(seconds=rng.randrange(14 * 3600))
+            is_tx = rng.random() < 0.4
+            batch.append((rng.choice([7, 8]), at, n if is_tx else None, is_tx))
+            n += is_tx
+        out.append(batch)
+    return out
+
+
+@pytest.mark.parametrize("replay", [False, True])
+def test_late_events_are_left_out_and_state_is_dropped(spark, tmp_path, replay):
+    handle = L._batch_handler(str(tmp_path), "6 hours", 24)
+    seen, transactions, logins, late = None, [], [], 0
+    for i, batch in enumerate(batches_of_events(5, 12)):
+        frame = spark.createDataFrame(batch, L._EVENT)
+        handle(frame, i)
+        if replay:
+            handle(frame, i)
+        for customer, at, tx, is_tx in batch:
+            if seen is not None and at < seen - 6 * HOUR:
+                late += 1
+            elif is_tx:
+                transactions.append((tx, customer, at))
             else:
-                logins.append(at)
-                batch.append((at, None))
-        frame = pd.DataFrame(batch, columns=["at_micros", "transaction_id"])
-        for out in count((7, 0), iter([frame]), state):
-            for row in out.itertuples():
-                totals[row.transaction_id] = totals.get(row.transaction_id, 0) + row.failed_logins
-        failed, tx_at, _ = state.get
-        assert all(t >= state.watermark * 1000 - 24 * hour for t in failed)
-        assert all(t >= state.watermark * 1000 for t in tx_at)
-    want = {i: sum(at - 24 * hour <= x <= at for x in logins) for i, at in transactions}
-    assert totals == want
-    state.hasTimedOut = True
-    assert list(count((7, 0), iter([]), state)) == [] and not state.exists
+                logins.append((customer, at))
+        seen = max(e[1] for e in batch) if seen is None else max(seen, *(e[1] for e in batch))
+        state = spark.read.schema(L._EVENT).parquet(f"{tmp_path}/state/batch={i}").collect()
+        for row in state:
+            assert row.at >= seen - 6 * HOUR - (0 if row.is_tx else 24) * HOUR
+    want = [(tx, c, sum(c == d and at - 24 * HOUR <= x <= at for d, x in logins)) for tx, c, at in transactions]
+    got = rows(L.read_failed_login_counts(spark, str(tmp_path)), "transaction_id", "customer_id", "failed_logins_24h")
+    assert got == sorted(want, key=repr) and late > 0
+
+
+def test_history_that_lands_between_batches_counts(spark, sources, warehouse, tmp_path):
+    """The loader reads the tables anew for every batch."""
+    landed, alerts, checkpoint = (f"{tmp_path}/{n}" for n in ("tx", "alerts", "c"))
+    root = f"{tmp_path}/sources"
+    for name, df in sources.items():
+        write_source(df.where("false") if name == "login_attempts" else df, root, name)
+    stream = conform("transactions", sources["transactions"])
+    scorer = I.rule_scorer(lambda: read_sources(spark, root), RUN_TS, AS_OF)
+    stream.where("TransactionID < 500").coalesce(1).write.parquet(landed)
+    run(spark, landed, scorer, alerts, checkpoint)
+    write_source(sources["login_attempts"], root, "login_attempts")
+    stream.where("TransactionID >= 500").coalesce(1).write.mode("append").parquet(landed)
+    run(spark, landed, scorer, alerts, checkpoint)  # the same scorer
+    want = rows(rule_alerts(warehouse.scored_transactions).where("transaction_id >= 500"))
+    stored = read_alerts_folder(spark, alerts).drop("id", "inserted_at")
+    assert rows(stored.where("transaction_id >= 500")) == want and want
+
+
+def test_incremental_scores_equal_the_batch_under_fan_out(spark, sources, tmp_path):
+    """Half of the merchants have several snapshots: their amounts count repeatedly in both."""
+    merchants = sources["merchants"]
+    extra = merchants.where("MerchantID % 2 = 0")
+    sources = {**sources, "merchants": merchants.unionByName(extra).unionByName(extra)}
+    landed = land(sources, "transactions", f"{tmp_path}/tx", 2)
+    alerts = f"{tmp_path}/alerts"
+    run(spark, landed, I.rule_scorer(lambda: sources, RUN_TS, AS_OF), alerts, f"{tmp_path}/c")
+    batch = one_per_key(rule_alerts(Warehouse(sources, RUN_TS, AS_OF).scored_transactions))
+    assert rows(read_alerts_folder(spark, alerts).drop("id", "inserted_at")) == rows(batch)
