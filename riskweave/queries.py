@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,6 +144,39 @@ def alerts_new_only(spark, folder):
     return A.new_alerts(A.rule_alerts(w.scored_transactions), _earlier_alerts(w))
 
 
+def _append_kinds_twice(w: Warehouse, append) -> None:
+    """Rule and model alerts over a mart that repeats transactions, each run twice."""
+    merchants = dims.merchant_dimension(_merchant_snapshots(w))
+    mart = marts.transaction_mart(w.stg_transaction, w.customer_profile, merchants)
+    scored = apply_rules(features.enrich_for_rules(mart, w.fact_login_attempt))
+    scored = materialize(scored.withColumn("prediction", F.col("label").cast("double")), "scored")
+    for _ in range(2):
+        append(A.rule_alerts(scored))
+        append(A.model_alerts(scored))
+
+
+@query
+def alerts_fanout_append(spark, folder):
+    w, path = warehouse(spark, folder), scratch_path(spark, "fraud_alerts")
+    _append_kinds_twice(w, lambda a: alerts_store.append_alerts(a, path, w.loaded_at, only_new=True))
+    return alerts_store.read_alerts_folder(spark, path).drop("id")
+
+
+@query
+def alerts_catalog_append(spark, folder):
+    w, path = warehouse(spark, folder), scratch_path(spark, "alerts_db")
+    database = f"alerts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    try:
+        table = f"{database}.fraud_alerts"
+        _append_kinds_twice(
+            w, lambda a: alerts_store.append_alerts_table(a, table, w.loaded_at, only_new=True)
+        )
+        return materialize(spark.table(table).drop("id"), "stored_alerts")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 # dimensions
 
 
@@ -386,16 +420,27 @@ def _training_set(spark: SparkSession, folder: str) -> DataFrame:
     return training.training_set(warehouse(spark, folder).scored_transactions)
 
 
+def _forest_eval(data: DataFrame, forest: training.TrainedForest) -> DataFrame:
+    """Test rows by label, and whether the forest meets the quality bounds."""
+    return training.evaluate(forest, data).select(
+        (F.col("tp") + F.col("fn")).alias("test_positives"),
+        (F.col("fp") + F.col("tn")).alias("test_negatives"),
+        (F.col("accuracy") >= 0.9).alias("accuracy_from_90"),
+        (F.col("precision") >= 0.7).alias("precision_from_70"),
+        (F.col("recall") >= 0.7).alias("recall_from_70"),
+    )
+
+
 @query
 def rf_baseline_eval(spark, folder):
     data = _training_set(spark, folder)
-    return training.evaluate(training.train_baseline(data), data)
+    return _forest_eval(data, training.train_baseline(data))
 
 
 @query
 def rf_balanced_eval(spark, folder):
     data = _training_set(spark, folder)
-    return training.evaluate(training.train_refined(data), data)
+    return _forest_eval(data, training.train_refined(data))
 
 
 @query
@@ -417,6 +462,32 @@ def model_alerts(spark, folder):
     return training.score_transactions(w.enriched_transactions, training.load_forest(path))
 
 
+@query
+def model_alerts_check(spark, folder):
+    """The model's alerts against the scored mart rows they were raised for."""
+    w = warehouse(spark, folder)
+    alerts = materialize(model_alerts(spark, folder), "model_alerts")
+    rows = w.scored_transactions.select(
+        F.col("transaction_id").cast("string").alias("transaction_id"),
+        F.col("customer_id").cast("string").alias("row_customer"),
+        F.col("transaction_timestamp").alias("row_timestamp"),
+        "label",
+    )
+    raised = F.col("flags").isNotNull()
+    same = F.col("customer_id").eqNullSafe(F.col("row_customer")) & (
+        F.col("transaction_timestamp") == F.col("row_timestamp")
+    )
+    odd = (F.col("risk_score") != A.MODEL_RISK_SCORE) | (F.col("flags") != A.MODEL_FLAG)
+    positive = F.col("label") == 1
+    joined = rows.join(alerts, "transaction_id", "full")
+    return joined.agg(
+        F.count_if(positive).alias("rule_positives"),
+        F.count_if(raised & ~F.coalesce(same, F.lit(False))).alias("alerts_without_row"),
+        F.count_if(odd).alias("other_scores"),
+        (F.count_if(positive & raised) >= 0.9 * F.count_if(positive)).alias("recall_from_90"),
+    )
+
+
 # data quality
 
 

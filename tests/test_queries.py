@@ -24,7 +24,7 @@ TYPES = {
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
-WITHOUT_TWIN = {"rf_baseline_eval", "rf_balanced_eval", "feature_importances", "model_alerts"}
+WITHOUT_TWIN = {"feature_importances", "model_alerts"}
 
 
 @pytest.fixture(scope="module")
