@@ -87,12 +87,12 @@ def test_reweighted(spark):
         reweighted({"NO_SUCH": 1})
 
 
-@pytest.mark.parametrize("digits", [1, 2, 4])
+@pytest.mark.parametrize("per_bucket", [1000, 20, 1])
 @pytest.mark.parametrize("sizes", [(1, 3), (5, 4), (37, 211), (0, 10)])
-def test_stratified_split_is_exact(spark, sizes, digits):
+def test_stratified_split_is_exact(spark, sizes, per_bucket):
     data = [(i, int(i >= sizes[0])) for i in range(sum(sizes))]
     df = spark.createDataFrame(data, "transaction_id bigint, label int")
-    got = {r[0]: r[2] for r in stratified_split(df, hash_digits=digits).collect()}
+    got = {r[0]: r[2] for r in stratified_split(df, rows_per_bucket=per_bucket).collect()}
     want = {}
     for label in (0, 1):
         ids = [i for i, known in data if known == label]
