@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from pyspark.sql import SparkSession
+
 from riskweave.plans import jobs
-from riskweave.session import get_spark
+from riskweave.session import delete_scratch, get_spark
 
 
 def parser() -> argparse.ArgumentParser:
@@ -39,6 +41,13 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = get_spark("riskweave", args.local)
+    try:
+        run(spark, args)
+    finally:
+        delete_scratch(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "build":
         as_of = args.as_of or args.run_ts[:10]
         warehouse = jobs.build_marts(

@@ -22,6 +22,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_scratch: str | None = None
+_scratch_folders: list[str] = []
 
 
 def get_spark(app_name: str = "riskweave", cores: int | None = None) -> SparkSession:
@@ -73,7 +74,19 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/riskweave/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_root(spark)}/riskweave/{uuid.uuid4().hex}"
+    _scratch_folders.append(folder)
+    return f"{folder}/{name}"
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete what this process has written below the shared folder.
+
+    For the end of a job: results that are still lazy may read these files.
+    """
+    while _scratch_folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folders.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pandas as pd
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from riskweave import session
 from riskweave.operators import alerts as A
 from riskweave.operators.layers import run_timestamp
 from riskweave.schemas import ALERTS, ALERTS_TABLE, SOURCES
@@ -229,6 +231,15 @@ def test_object_store_settings():
     assert isinstance(builder, SparkSession.Builder)
 
 
+def test_scratch_is_deleted_on_request(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_folders", [])
+    once = materialize(spark.range(10), "numbers")
+    assert once.count() == 10 and len(session._scratch_folders) == 1
+    folder = session._scratch_folders[0]
+    session.delete_scratch(spark)
+    assert not os.path.exists(folder) and session._scratch_folders == []
+
+
 def test_materialized_rows_do_not_change(spark):
     once = materialize(spark.range(100).select(F.rand().alias("r")), "random")
     assert rows(once) == rows(once)
