@@ -6,14 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.llm.text import WORD, word_count
+from riskweave.llm.text import WORD
 
 WHITE = r"[\x20\x09-\x0D]+"
 
 SYMBOLS = r"[#*$%&|<>]"
 
-# Character classes of the histogram; what is in none of them is one more.
-CLASSES = (r"[a-z]", r"[A-Z]", r"[0-9]", r"[\x20\x09-\x0D]", r"[.,;:!?'\"()\-]", r"[^\x00-\x7F]")
+SPACE = r"[\x20\x09-\x0D]"
+
+# Character classes of the histogram, besides the lower-case ASCII letters. Those
+# are most of a text and are what remains, so they are never searched for.
+CLASSES = (
+    r"[A-Z]",
+    r"[0-9]",
+    SPACE,
+    r"[.,;:!?'\"()\-]",
+    r"[^\x00-\x7F]",
+    r"[\x00-\x7F&&[^a-zA-Z0-9\x20\x09-\x0D.,;:!?'\"()\-]]",
+)
 
 # A word with a smaller share of its language's words is not a common one, so a
 # language has at most so many.
@@ -22,8 +32,10 @@ COMMON_SHARE = 2000
 MIN_WORDS = 50
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
+def _count(text: Column, characters: str) -> Column:
+    """Code points of a class, as what is missing without its runs: no list of matches is made."""
+    rest = F.regexp_replace(text, f"{characters}+", "")
+    return F.coalesce(F.length(text) - F.length(rest), F.lit(0)).cast("long")
 
 
 def _split(text: Column) -> Column:
@@ -46,12 +58,12 @@ def base_counts(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     n = F.col("n_words")
-    docs = docs.withColumn("n_words", word_count(F.col("text")))
-    docs = docs.withColumn("word_chars", F.length(text).cast("long") - _count(text, CLASSES[3]))
+    docs = docs.withColumn("_words", F.transform(_split(text), lambda w: F.xxhash64(w)))
+    docs = docs.withColumn("n_words", F.size("_words").cast("long"))
+    docs = docs.withColumn("word_chars", F.length(text).cast("long") - _count(text, SPACE))
     docs = docs.withColumn("n_symbols", _count(text, SYMBOLS))
     docs = docs.withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
     docs = docs.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    docs = docs.withColumn("_words", F.transform(_split(text), lambda w: F.xxhash64(w)))
     pairs = F.zip_with(_after("_words", 0, n - 2), _after("_words", 1, n - 2), lambda a, b: F.xxhash64(a, b))
     docs = docs.withColumn("_windows", F.zip_with(pairs, _after("_words", 2, n - 2), lambda a, b: F.xxhash64(a, b)))
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -74,7 +86,7 @@ def class_counts(text: Column) -> Column:
     rest = F.coalesce(F.length(text), F.lit(0)).cast("long")
     for c in counts:
         rest = rest - c
-    return F.array(*counts, rest)
+    return F.array(rest, *counts)
 
 
 def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
@@ -84,7 +96,7 @@ def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
     and ``words_per_language`` words at most; nothing else reaches the driver.
     """
     known = docs.where("lang is not null and text is not null").select("lang", "text")
-    counts = known.select("lang", word_count(F.col("text")).alias("n"), class_counts(F.col("text")).alias("c"))
+    counts = known.select("lang", F.size(_split(F.col("text"))).alias("n"), class_counts(F.col("text")).alias("c"))
     sums = [F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"), *sums)
     languages = {r["lang"]: r for r in totals.collect()}
