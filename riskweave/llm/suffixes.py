@@ -29,7 +29,7 @@ from riskweave.llm.text import digest, slices, text_bytes
 from riskweave.session import materialize
 
 # Bytes of text that are hashed at once; positions in them fit POSITION_BITS.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 POSITION_BITS = 22
 
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -341,6 +341,17 @@ def _span_rows(spans: list[tuple[Suffix, int, int]]) -> pa.RecordBatch:
     )
 
 
+def _joined(spans: list[tuple[Suffix, int, int]]) -> list[tuple[Suffix, int, int]]:
+    """Spans of one document that touch, as one."""
+    out: list[tuple[Suffix, int, int]] = []
+    for s, start, end in sorted(spans, key=lambda x: (x[0].rank[:3], x[1])):
+        if out and out[-1][0].rank[:3] == s.rank[:3] and start <= out[-1][2]:
+            out[-1] = (out[-1][0], out[-1][1], max(out[-1][2], end))
+        else:
+            out.append((s, start, end))
+    return out
+
+
 def _make_runs(length: int, splitters: list[bytes], at_once: int):
     """Sorted runs of the suffixes whose seed is repeated, cut by the splitters."""
     seed = seed_length(length)
@@ -359,7 +370,7 @@ def _make_runs(length: int, splitters: list[bytes], at_once: int):
         for part, mine in parts:
             yield _rows(part=[part], run=[front_code(list(mine))])
         if spans:
-            yield _span_rows(spans)
+            yield _span_rows(_joined(spans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Suffix] = []
@@ -407,11 +418,11 @@ def _merge_parts(length: int, most_in_group: int):
                 yield from close()
                 group = []
             if len(spans) >= 100_000:
-                yield _span_rows(spans)
+                yield _span_rows(_joined(spans))
                 spans = []
         yield from close()
         if spans:
-            yield _span_rows(spans)
+            yield _span_rows(_joined(spans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, runs = None, []
@@ -482,12 +493,12 @@ def _splitters(docs: DataFrame, length: int, parts: int, per_part: int = 20) ->
         for batch in slices(batches, "text"):
             texts = text_bytes(batch["text"])
             for found in find_anchors(texts, length):
-                picked = np.flatnonzero(found.seed % 16 == 0)
+                picked = np.flatnonzero(found.seed % 256 == 0)
                 strings = [texts[found.text[i]][found.place[i] : found.place[i] + seed] for i in picked]
                 yield pa.RecordBatch.from_arrays([pa.array(found.seed[picked]), pa.array(strings, pa.binary())], names=["h", "s"])
 
     n = docs.count()
-    share = min(1.0, 4.0 * parts / max(1, n))
+    share = min(1.0, 64.0 * parts / max(1, n))
     drawn = docs.where(F.shiftrightunsigned("td1", 11) < share * float(1 << 53)).select("text")
     rows = drawn.mapInArrow(sample, "h long, s binary").orderBy("h").limit(parts * per_part).collect()
     strings = sorted({bytes(r["s"]) for r in rows})
