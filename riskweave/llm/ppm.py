@@ -87,7 +87,9 @@ def learn(docs: DataFrame, rows_per_language: int = 1024, grams_per_language: in
     of all languages. So the model's size is bounded by these parameters.
     """
     rows = docs.where("lang is not null and text is not null").select("lang", "text", *digest(F.col("text"), "t"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
+    # Copies are drawn together, so the share follows the distinct texts; a row per language.
+    texts = rows.select("lang", "td1", "td2").distinct()
+    counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model([], np.zeros(256, np.uint8), np.zeros(1, np.uint16), np.zeros((1, 1, 0), np.float32))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * rows_per_language / n))])

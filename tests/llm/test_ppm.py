@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.llm.ppm import _grams, freeze, held_out, identify_languages
+from riskweave.llm.ppm import _grams, freeze, held_out, identify_languages, learn
 from tests.llm.conftest import documents
 
 ENGLISH = "the house of the man and the dog is in the town of the land and so it goes on with them"
@@ -95,3 +95,13 @@ def test_labels_of_held_out_documents_are_not_learned(spark):
 def test_nothing_labelled_and_empty_table(spark):
     assert [r.lang_pred for r in identify_languages(documents(spark, [ENGLISH, None])).collect()] == ["und"] * 2
     assert identify_languages(documents(spark, [])).count() == 0
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    rows = [(f"{ENGLISH} {i}", "en") for i in range(40)] + [(f"{GERMAN} {i}", "de") for i in range(40)]
+    texts = spark.createDataFrame(rows, "text string, lang string")
+    copies = spark.range(40_000).select(F.lit("one text that is copied").alias("text"), F.lit("en").alias("lang"))
+    once = learn(texts.unionByName(copies.limit(1)), rows_per_language=4)
+    often = learn(texts.unionByName(copies), rows_per_language=4)
+    assert often.languages == once.languages == ["de", "en"]
+    assert np.array_equal(often.cost, once.cost)
