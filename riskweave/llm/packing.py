@@ -14,6 +14,9 @@ DIMENSIONS = ("bytes", "tokens", "rows")
 
 ROW_BYTES = 8
 
+# How far a shard's bytes may be off their fair share for the sake of whole groups.
+SPREAD = 0.01
+
 
 def place(items: np.ndarray, n_shards: int) -> np.ndarray:
     """The shard of each item (a row of sizes), largest items first.
@@ -33,6 +36,29 @@ def place(items: np.ndarray, n_shards: int) -> np.ndarray:
     return shard
 
 
+def pieces_of(heavy: np.ndarray, bundles: np.ndarray, n_shards: int, split_share: int) -> np.ndarray:
+    """Into how many pieces each heavy group goes, given the sizes of all items.
+
+    Only groups above a shard's fair share in some dimension are split, unless
+    the shards' bytes are then off their share by more than ``SPREAD`` and
+    splitting all groups above 1/``split_share`` of a shard brings them nearer.
+    """
+    total = heavy.sum(axis=0) + bundles.sum(axis=0)
+    most = (heavy * (n_shards / np.where(total > 0, total, 1))).max(axis=1)
+    small = np.maximum(1, np.ceil(most * split_share)).astype(np.int64)
+    whole = np.where(most > 1, small, 1)
+
+    def spread(pieces: np.ndarray) -> float:
+        items = np.concatenate([np.repeat(heavy / pieces[:, None], pieces, axis=0), bundles])
+        loads = np.bincount(place(items, n_shards), items[:, 0], n_shards)
+        return float(abs(loads * n_shards / max(1, total[0]) - 1).max())
+
+    if (whole == small).all():
+        return whole
+    off = spread(whole)
+    return whole if off <= SPREAD or off <= spread(small) else small
+
+
 def pack_shards(
     docs: DataFrame,
     n_shards: int = 24,
@@ -47,9 +73,10 @@ def pack_shards(
     of a shard or more in some dimension are items of their own; all others are
     bundled by their text's hash into ``n_shards * bundles_per_shard`` items.
     Both kinds are bounded in number by these two parameters, whatever the
-    input, and so are the sums that the driver packs. A group above
-    1/``split_share`` of a shard cannot stay whole if shards are to be equal:
-    it is split by row into pieces of about that size.
+    input, and so are the sums that the driver packs. A group above a whole
+    shard is split by row into pieces of about 1/``split_share`` of a shard, one
+    above such a piece only if the shards' bytes would differ otherwise
+    (``pieces_of``). Rows equal in id and text are dealt to pieces one by one.
 
     Returns ``doc_id``, ``size`` (UTF-8 bytes plus 8), ``tokens`` (words),
     ``text_crc32``, ``shard`` and ``slot``, which counts a shard's rows from 0
@@ -64,7 +91,8 @@ def pack_shards(
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         *digest(text, "t"),
     )
-    rows = materialize(rows.withColumn("row_hash", F.xxhash64("doc_id", "td2", "text_crc32")), "sizes")
+    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "td2", "text_crc32")).withColumn("part", F.spark_partition_id())
+    rows = materialize(rows, "sizes")
 
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     groups = rows.groupBy("td1", "td2").agg(*sums)
@@ -77,10 +105,20 @@ def pack_shards(
 
     # A dimension has n_bundles groups at least as large as its n_bundles-th
     # part at most, so there are three times as many heavy groups at most.
-    heavy = groups.where(exceeds(bundles_per_shard) >= 1).select(
-        "td1", "td2", F.greatest(F.lit(1), F.ceil(exceeds(split_share))).cast("int").alias("pieces")
+    groups = groups.withColumn("heavy", exceeds(bundles_per_shard) >= 1)
+    bundle = F.when(~F.col("heavy"), F.pmod("td1", F.lit(n_bundles)))
+    large = groups.where("heavy").select("td1", "td2", *DIMENSIONS).orderBy("td1", "td2").collect()
+    light = groups.where("not heavy").groupBy(bundle.alias("item")).agg(*[F.sum(d).alias(d) for d in DIMENSIONS]).orderBy("item").collect()
+    pieces = pieces_of(_sizes(large), _sizes(light), n_shards, split_share)
+    heavy = rows.sparkSession.createDataFrame(
+        [(r["td1"], r["td2"], int(n)) for r, n in zip(large, pieces, strict=True)], "td1 long, td2 long, pieces int"
     )
-    items = rows.join(F.broadcast(heavy), ["td1", "td2"], "left").select(
+    # Copies of a row are told apart by number, each part of the input counting its own.
+    found = rows.join(F.broadcast(heavy), ["td1", "td2"], "left")
+    copy = F.row_number().over(Window.partitionBy("td1", "td2", "doc_id", "part").orderBy("row_hash"))
+    split = found.where("pieces > 1").withColumn("copy", copy)
+    split = split.withColumn("row_hash", F.xxhash64("row_hash", "part", "copy")).drop("copy")
+    items = found.where("pieces is null or pieces = 1").unionByName(split).select(
         "doc_id", "size", "tokens", "text_crc32", "row_hash",
         F.when(F.col("pieces").isNull(), F.pmod("td1", F.lit(n_bundles))).otherwise(F.col("td1")).alias("item"),
         F.when(F.col("pieces").isNull(), F.lit(None)).otherwise(F.col("td2")).alias("heavy"),
@@ -89,9 +127,8 @@ def pack_shards(
     key = ["item", "heavy", "piece"]
     # As many rows as the two parameters allow, so they may go to the driver.
     sizes = items.groupBy(*key).agg(*sums).orderBy(*key).collect()
-    shares = np.array([[r[d] for d in DIMENSIONS] for r in sizes], dtype=np.float64).reshape(len(sizes), len(DIMENSIONS))
     plan = rows.sparkSession.createDataFrame(
-        [(*(r[c] for c in key), int(s)) for r, s in zip(sizes, place(shares, n_shards), strict=True)],
+        [(*(r[c] for c in key), int(s)) for r, s in zip(sizes, place(_sizes(sizes), n_shards), strict=True)],
         "item long, heavy long, piece long, shard int",
     )
     placed = items.alias("i").join(
@@ -104,6 +141,10 @@ def pack_shards(
     return number_slots(placed, n_shards, int(whole["rows"]))
 
 
+def _sizes(rows: list) -> np.ndarray:
+    return np.array([[r[d] for d in DIMENSIONS] for r in rows], dtype=np.float64).reshape(len(rows), len(DIMENSIONS))
+
+
 def number_slots(placed: DataFrame, n_shards: int, n_rows: int, lot_rows: int = 100_000) -> DataFrame:
     """Number each shard's rows from 0 without a task that sees a whole shard.
 

@@ -61,3 +61,21 @@ def test_empty_table_and_null_ids(spark):
     assert pack_shards(documents(spark, [])).count() == 0
     rows = pack_shards(documents(spark, ["a", "a", None], ids=[None, None, 1]), n_shards=2).collect()
     assert len({(r.shard, r.slot) for r in rows}) == 3
+
+
+def test_groups_up_to_a_shard_stay_whole(spark):
+    texts = ["word " * 20] * 60 + [f"other {i:04} " + "word " * 19 for i in range(540)]  # 0.6 of a shard
+    rows = pack_shards(documents(spark, texts), n_shards=6).collect()
+    assert len({r.shard for r in rows if r.doc_id < 60}) == 1
+    size = np.bincount([r.shard for r in rows], [r.size for r in rows], 6)
+    assert (abs(size - size.mean()) < 0.05 * size.mean()).all()
+
+
+def test_copies_under_null_and_equal_ids_are_split(spark):
+    for hot in (None, 7):
+        texts = ["the hot text"] * 300 + [f"other text {i}" for i in range(600)]
+        ids = [hot] * 300 + list(range(1000, 1600))
+        rows = pack_shards(documents(spark, texts, ids=ids), n_shards=6).collect()
+        count = np.bincount([r.shard for r in rows], minlength=6)
+        assert count.sum() == 900 and count.max() - count.min() < 30
+        assert len({(r.shard, r.slot) for r in rows}) == 900
