@@ -619,23 +619,33 @@ def incremental_alerts(spark, folder):
     return alerts_store.read_alerts_folder(spark, path).drop("id", "inserted_at")
 
 
-def _events_by_day(spark: SparkSession, folder: str) -> str:
-    """The events as several files, one after the other in time, as they would land."""
+def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The events in parts that follow each other in time, null times in the first.
+
+    The table is read for its bounds and once for the parts, which are stored.
+    """
     path = scratch_path(spark, "events")
     events = provided_table(spark, folder, "events")
-    bounds = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    step = (bounds[1] - bounds[0]) // STREAM_BATCHES + 1
-    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - bounds[0]) / step)
-    for batch in range(STREAM_BATCHES):
-        events.where(part == batch).coalesce(1).write.mode("append").parquet(path)
-    return path
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high, n = events.agg(F.min(at), F.max(at), F.count("*")).first()
+    if not n:
+        return []
+    low, high = (0, 0) if low is None else (low, high)
+    batch = F.coalesce(F.floor((at - low) / ((high - low) // STREAM_BATCHES + 1)), F.lit(0)).cast("int")
+    dealt = events.withColumn("batch", batch).repartitionByRange("batch", "ts", "event_id")
+    dealt.write.partitionBy("batch").parquet(path)
+    stored = spark.read.parquet(path).select("batch").distinct().orderBy("batch").collect()  # STREAM_BATCHES at most
+    return [spark.read.schema(PROVIDED["events"]).parquet(f"{path}/batch={r['batch']}") for r in stored]
 
 
 @query
 def stream_failed_logins(spark, folder):
-    landed = _events_by_day(spark, folder)
-    reader = spark.readStream.schema(PROVIDED["events"]).option("maxFilesPerTrigger", 1)
-    events = reader.parquet(landed)
+    batches = _event_batches(spark, folder)
+    if not batches:
+        return spark.createDataFrame([], lookback.COUNTS)
+    landed = scratch_path(spark, "landed")
+    batches[0].limit(0).write.parquet(landed)
+    events = spark.readStream.schema(PROVIDED["events"]).parquet(landed)
     w = Warehouse(
         {
             **provided_sources(spark, folder),
@@ -645,9 +655,10 @@ def stream_failed_logins(spark, folder):
         RUN_TS,
         AS_OF,
     )
-    path = scratch_path(spark, "failed_logins")
-    stream = lookback.start_failed_login_counts(
-        w.stg_transaction, w.stg_login_attempt, path, scratch_path(spark, "checkpoint"), STREAM_DELAY
-    )
-    stream.awaitTermination()
+    path, checkpoint = scratch_path(spark, "failed_logins"), scratch_path(spark, "checkpoint")
+    for batch in batches:
+        # All files of a batch are one micro-batch; the next ones land after it.
+        batch.write.mode("append").parquet(landed)
+        stream = lookback.start_failed_login_counts(w.stg_transaction, w.stg_login_attempt, path, checkpoint, STREAM_DELAY)
+        stream.awaitTermination()
     return lookback.read_failed_login_counts(spark, path)

@@ -28,6 +28,7 @@ from riskweave.operators.login_context import FAILED, LOOKBACK_HOURS, with_login
 
 _EVENT = "customer_id bigint, at timestamp_ntz, transaction_id bigint, is_tx boolean"
 _OUTPUT = "transaction_id bigint, customer_id bigint, failed_logins bigint"
+COUNTS = "transaction_id bigint, customer_id bigint, failed_logins_24h bigint"
 
 
 def _events(transactions: DataFrame, logins: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,7 +13,7 @@ from riskweave.operators.layers import run_timestamp, stage_login_attempts, stag
 from riskweave.operators.layers import land_login_attempts, land_transactions
 from riskweave.plans.training import score_transactions, train_refined, training_set
 from riskweave.plans.warehouse import Warehouse
-from riskweave.queries import AS_OF, RUN_TS
+from riskweave.queries import AS_OF, QUERIES, RUN_TS
 from riskweave.schemas import SOURCES
 from riskweave.sources.alerts_store import read_alerts_folder
 from riskweave.sources.provided import provided_sources
@@ -196,3 +197,14 @@ def test_incremental_scores_equal_the_batch_under_fan_out(spark, sources, tmp_pa
     run(spark, landed, I.rule_scorer(lambda: sources, RUN_TS, AS_OF), alerts, f"{tmp_path}/c")
     batch = one_per_key(rule_alerts(Warehouse(sources, RUN_TS, AS_OF).scored_transactions))
     assert rows(read_alerts_folder(spark, alerts).drop("id", "inserted_at")) == rows(batch)
+
+
+@pytest.mark.parametrize("kept", ["true", "false"])
+def test_null_times_and_an_empty_table_reach_the_failed_login_stream(spark, tmp_path, kept):
+    shutil.copytree(f"{DATA}/sf0.001", f"{tmp_path}/in", ignore=shutil.ignore_patterns("events.parquet"))
+    events = spark.read.parquet(f"{DATA}/sf0.001/events.parquet").where(kept)
+    gone = F.when(F.col("event_id") % 10 != 3, F.col("ts"))
+    events.withColumn("ts", gone).write.parquet(f"{tmp_path}/in/events.parquet")
+    found = rows(QUERIES["stream_failed_logins"](spark, f"{tmp_path}/in"))
+    purchases = spark.read.parquet(f"{tmp_path}/in/events.parquet").where("event_type = 'purchase'")
+    assert sorted(r[0] for r in found) == sorted(r.event_id for r in purchases.collect())
