@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +14,13 @@ from riskweave.llm.divergence import judge
 from riskweave.llm.lines import dedup_units
 from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
+from riskweave.llm.periodic import find_periodic_runs
+from riskweave.llm.personal import BASE, find_personal_data
 from riskweave.llm.ppm import identify_languages
 from riskweave.llm.simhash import near_duplicates
+from riskweave.llm.spelling import count_words, variant_groups
 from riskweave.llm.suffixes import dedup_substrings
+from riskweave.llm.text import WORD
 from riskweave.llm.token_store import read_back, write_store
 from riskweave.llm.topk import quantised, top_k
 from riskweave.session import scratch_path
@@ -85,6 +91,59 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), ranks, outputs)
 
 
+def _slipped(doc_id: int | None, run: str) -> str:
+    """The run without one code point where 97 divides its hash; a null id is hashed as nothing."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    if h % 97:
+        return run
+    at = h % len(run)
+    return run[:at] + run[at + 1 :]
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_words(_table(spark, sf_dir, "documents"), _slipped, shortest=5, least=3)
+    return variant_groups(counts, ratio=2).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("found", lambda s: s["kind"].isin(*BASE))
+    counts = [F.expr(f"cast(size(filter(found, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by hash, repeats words from some place on; a null id is none of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), h.alias("h"))
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    docs = docs.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    a, p = F.col("a").cast("int"), F.col("p").cast("int")
+    places = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    looped = F.array_join(F.transform(places, lambda i: F.get("words", i)), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_periodic_runs(_looped(_table(spark, sf_dir, "documents")), least=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", "collapsed", "runs", longest.alias("m"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("m.col2")).alias("start"),
+        F.col("m.length").alias("length"),
+        (-F.col("m.col3")).alias("period"),
+        F.expr("(1000 * m.length) div (-m.col3)").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -100,6 +159,9 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_language_id": op9_language_id,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_personal_data": op12_personal_data,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 

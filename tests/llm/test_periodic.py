@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+from riskweave.llm.periodic import find_periodic_runs, periodic_runs
+from riskweave.llm.queries import QUERIES
+from tests.conftest import DATA
+from tests.llm.conftest import documents
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def expected(words, least):
+    """All runs by comparing every word with the one a period on, for every period."""
+    found = []
+    for period in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + period < len(words):
+            j = i
+            while j + period < len(words) and words[j] == words[j + period]:
+                j += 1
+            size = j - i + period
+            smaller = (all(words[k] == words[k + p] for k in range(i, i + size - p)) for p in range(1, period))
+            if j > i and size >= max(least, 2 * period) and not any(smaller):
+                found.append((i, size, period))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for start, size, period in runs for i in range(start + period, start + size)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def test_automaton_against_all_periods():
+    rng = random.Random(3)
+    for _ in range(1500):
+        n, letters = rng.randint(0, 60), rng.randint(1, 4)
+        codes = [rng.randrange(letters) for _ in range(n)]
+        if n and rng.random() < 0.5:
+            a, p = rng.randrange(n), rng.randint(1, 9)
+            codes = [codes[i] if i < a else codes[min(n - 1, a + (i - a) % p)] for i in range(n)]
+        for least in (2, 5, 12):
+            assert sorted(periodic_runs(codes, least), key=lambda r: (r[0], r[2])) == expected(codes, least)
+
+
+def test_fibonacci_words_have_runs_within_runs():
+    a, b = [0], [0, 1]
+    while len(b) < 300:
+        a, b = b, b + a
+    assert sorted(periodic_runs(b, 2), key=lambda r: (r[0], r[2])) == expected(b, 2)
+
+
+def test_documents_against_all_periods(spark, odd_texts):
+    texts = [
+        *[t for t in odd_texts if t is None or len(t) < 20_000],
+        "x " * 11, "x " * 12, "a b " * 6, "a b c d e f g " * 2, "a b c d e f g " * 2 + "a b c", "q " + "a b\tc " * 5 + "z",
+        ("one two three four five six seven eight " * 3).strip() + " tail " + "y " * 13,
+    ]
+    found = {r.doc_id: r for r in find_periodic_runs(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        words = WORD.findall(text or "")
+        runs = expected(words, 12) if len(words) < 400 else [(0, len(words), 1)]
+        assert found[i].n_words == len(words)
+        assert [tuple(r) for r in found[i].runs] == runs
+        assert found[i].collapsed == collapsed(words, runs)
+
+
+def test_long_texts_null_ids_repeats_and_an_empty_table(spark, odd_texts):
+    text = " ".join(f"w{i}" for i in range(2_000))
+    docs = documents(spark, [f"{text} {text}", "a " * 20, "a " * 20, None], ids=[None, 5, 5, 6])
+    found = sorted((r.doc_id or -1, r.n_words, [tuple(x) for x in r.runs]) for r in find_periodic_runs(docs).collect())
+    assert found == [(-1, 4000, [(0, 4000, 2000)]), (5, 20, [(0, 20, 1)]), (5, 20, [(0, 20, 1)]), (6, 0, [])]
+    assert find_periodic_runs(documents(spark, [])).count() == 0
+    assert find_periodic_runs(documents(spark, odd_texts)).columns == ["doc_id", "n_words", "runs", "collapsed"]
+
+
+def test_query_against_all_periods(spark):
+    folder = f"{DATA}/sf0.001"
+    found = {r.doc_id: r for r in QUERIES["op13_periodic_runs"](spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    assert len(found) == len(docs)
+    for doc_id, text in docs:
+        words = WORD.findall(text or "")
+        h, n = zlib.crc32(str(doc_id).encode()), len(words)
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        if n > 1500 and h % 10:
+            continue
+        runs = expected(words, 12)
+        r = found[doc_id]
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2]), default=None)
+        milli = 1000 * best[1] // best[2] if best else None
+        assert (r.start, r.length, r.period, r.exponent_milli) == ((*best, milli) if best else (None,) * 4)
+        assert r.n_runs == len(runs)
+        lines = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+        assert r.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(collapsed(words, runs).encode()).hexdigest()
