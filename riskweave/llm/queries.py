@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.bpe import encode_documents
 from riskweave.llm.divergence import judge
-from riskweave.llm.lines import dedup_units
 from riskweave.llm.mixing import mix_sources
 from riskweave.llm.packing import pack_shards
+from riskweave.llm.passages import dedup_passages
 from riskweave.llm.periodic import find_periodic_runs
 from riskweave.llm.personal import BASE, find_personal_data
 from riskweave.llm.ppm import identify_languages
@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = dedup_units(_table(spark, sf_dir, "documents"))
+    cut = dedup_passages(_table(spark, sf_dir, "documents"), min_words=20)
     spans = F.zip_with("removed_starts", "removed_ends", lambda a, b: F.concat_ws("-", a, b))
     return cut.select(
         "doc_id", "n_units", "n_removed", F.concat_ws(",", spans).alias("removed_spans"), F.col("kept_text").alias("text")
@@ -167,24 +167,41 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_substring_dedup": r"""
-WITH units AS (
-  SELECT doc_id, place, unit,
-    trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm,
-    len(regexp_extract_all(unit, '[^\x20\x09-\x0D]+')) AS words,
-    coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS unit,
-      unnest(range(0, len(string_split(text, chr(10))))) AS place
-    FROM documents
-  )
+WITH tokens AS (
+  SELECT doc_id, length(text) - length(ltrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS lead,
+    unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*')) AS token,
+    unnest(range(0, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*')))) AS i
+  FROM documents
+), words AS (
+  SELECT doc_id, i, token, lower(regexp_extract(token, '[^\x20\x09-\x0D]+')) AS w,
+    CAST(lead + coalesce(sum(length(token)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM tokens
 ), marked AS (
-  SELECT *, words >= 5 AND row_number() OVER (PARTITION BY words >= 5, norm ORDER BY doc_id, place) > 1 AS cut
-  FROM units
+  SELECT *, left(md5(coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') || ' ' || w), 1) IN ('0', '1') AS ends FROM words
+), numbered AS (
+  SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
+  FROM marked
+), lines AS (
+  SELECT doc_id, line, count(*) AS n, min(start) AS start, max(start + length(token)) AS stop,
+    string_agg(w, ' ' ORDER BY i) AS norm, string_agg(token, '' ORDER BY i) AS whole
+  FROM numbered GROUP BY doc_id, line
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, line) > 1 AS again FROM lines
+), runs AS (
+  SELECT *, line - row_number() OVER (PARTITION BY doc_id, again ORDER BY line) AS run FROM ranked
+), judged AS (
+  SELECT *, again AND sum(n) OVER (PARTITION BY doc_id, again, run) >= 20 AS cut FROM runs
+), spans AS (
+  SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed
+  FROM (SELECT doc_id, min(start) AS a, max(stop) AS b FROM judged WHERE cut GROUP BY doc_id, run) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, count(*) AS n_units, CAST(count(*) FILTER (cut) AS BIGINT) AS n_removed,
+    coalesce(string_agg(whole, '' ORDER BY line) FILTER (NOT cut), '') AS tail
+  FROM judged GROUP BY doc_id
 )
-SELECT doc_id, count(*) AS n_units, CAST(count(*) FILTER (cut) AS BIGINT) AS n_removed,
-  coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(start AS BIGINT) + length(unit) AS VARCHAR), ',' ORDER BY place) FILTER (cut), '') AS removed_spans,
-  coalesce(string_agg(unit, chr(10) ORDER BY place) FILTER (NOT cut), '') AS text
-FROM marked GROUP BY doc_id
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed_spans,
+  left(text, CAST(length(text) - length(ltrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS BIGINT)) || coalesce(tail, '') AS text
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN spans s USING (doc_id)
 """,
     "op3_topk_search": """
 WITH vectors AS (
