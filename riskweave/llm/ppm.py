@@ -19,6 +19,13 @@ ORDER = 3
 
 PAD = b"\0" * ORDER
 
+# Bits of a text that do not count as surprise: a short text tells little.
+SPARED = 64.0
+
+# Bits per byte that a language takes at least. Learned texts that repeat
+# themselves take fewer; held against those alone, all others would surprise.
+LEAST_RATE = 2.0
+
 # Positions whose costs are looked up at once.
 STEP = 1 << 18
 
@@ -47,13 +54,15 @@ class Model:
     """Frozen code lengths: ``cost[node, symbol, language]`` in bits.
 
     ``symbol`` maps bytes to the learned alphabet (0: any other byte), ``node``
-    maps three symbols to the longest context that was learned.
+    maps three symbols to the longest context that was learned. ``rate`` has the
+    bits per byte that each language's model needs for what it learned.
     """
 
     languages: list[str]
     symbol: np.ndarray
     node: np.ndarray
     cost: np.ndarray
+    rate: np.ndarray
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits that each language's model needs for each text."""
@@ -91,7 +100,7 @@ def learn(docs: DataFrame, rows_per_language: int = 1024, grams_per_language: in
     texts = rows.select("lang", "td1", "td2").distinct()
     counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.uint16), np.zeros((1, 1, 0), np.float32))
+        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.uint16), np.zeros((1, 1, 0), np.float32), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * rows_per_language / n))])
     drawn = rows.where(F.shiftrightunsigned("td1", 11) < F.element_at(share, F.col("lang")) * float(1 << 53))
     by_hash = Window.partitionBy("lang").orderBy("td1", "td2")
@@ -166,16 +175,24 @@ def freeze(grams: list[tuple[str, int, int]], contexts: int) -> Model:
         if order < ORDER:
             # A context of the next order finds its parent by its last symbols.
             parent_of = node[np.arange(size ** (order + 1))]
-    return Model(languages, symbol, node, np.concatenate(blocks))
+    cost = np.concatenate(blocks)
+    own = cost[node[(s[0] * size + s[1]) * size + s[2]], nexts, lang] * n
+    rate = np.bincount(lang, own, len(languages)) / np.bincount(lang, n, len(languages))
+    return Model(languages, symbol, node, cost, rate)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``td1``, ``td2``, ``lang_pred``, ``score`` of every row.
+    """``doc_id``, ``td1``, ``td2``, ``lang_pred``, ``score``, ``surprise`` of every row.
 
     The language whose frozen model codes the whole text in the fewest bits, of
     equals the first by name; the score is its posterior under equal priors. A
     text that is null or has no letter is ``und`` with score 0, as is every text
     if nothing was learned. Only the text is looked at.
+
+    The score only weighs the languages against each other. ``surprise`` holds
+    the text against the best of them: its bits, less the first ``SPARED``, over
+    the bits that as many bytes of the learned texts take, ``LEAST_RATE`` at least. Texts of the language
+    are about 1, other scripts and noise far above; it is null for ``und``.
     """
     text = F.col(text_col).cast("string")
     source = docs.select(
@@ -189,15 +206,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in slices(batches, "text"):
             known = batch["text"].is_valid().to_numpy(zero_copy_only=False) & bool(model.languages)
             best, posterior = np.full(batch.num_rows, len(model.languages)), np.zeros(batch.num_rows)
+            surprise = np.full(batch.num_rows, np.nan)
             if known.any():
-                texts = text_bytes(batch["text"])
-                bits = model.code_lengths([texts[i] for i in np.flatnonzero(known)])
+                texts = [t for t, k in zip(text_bytes(batch["text"]), known, strict=True) if k]
+                bits = model.code_lengths(texts)
+                usual = np.maximum(model.rate, LEAST_RATE)[bits.argmin(axis=1)] * np.fromiter(map(len, texts), np.float64, len(texts))
+                surprise[known] = np.maximum(bits.min(axis=1) - SPARED, 0) / usual
                 best[known] = bits.argmin(axis=1)
                 posterior[known] = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
             columns = [batch["doc_id"], batch["td1"], batch["td2"], pa.array(names[best].tolist(), pa.string()), pa.array(posterior)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "td1", "td2", "lang_pred", "score"])
+            columns.append(pa.array(surprise, from_pandas=True))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "td1", "td2", "lang_pred", "score", "surprise"])
 
-    return source.mapInArrow(score, "doc_id long, td1 long, td2 long, lang_pred string, score double")
+    return source.mapInArrow(score, "doc_id long, td1 long, td2 long, lang_pred string, score double, surprise double")
 
 
 def identify_languages(

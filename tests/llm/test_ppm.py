@@ -105,3 +105,19 @@ def test_copies_do_not_shrink_the_sample(spark):
     often = learn(texts.unionByName(copies), rows_per_language=4)
     assert often.languages == once.languages == ["de", "en"]
     assert np.array_equal(often.cost, once.cost)
+
+
+def test_surprise_tells_other_scripts_and_noise(spark):
+    texts = [f"{ENGLISH} {i}" for i in range(40)] + [f"{GERMAN} {i}" for i in range(40)]
+    odd = ["Съешь же ещё этих мягких французских булок " * 4, "いろはにほへとちりぬるを" * 8, "zxqv kjwq xzzk qvjx " * 9, None, "12", "x"]
+    docs = documents(spark, texts + odd, lang=["en"] * 40 + ["de"] * 40 + [None] * len(odd))
+    rows = identify_languages(docs).orderBy("doc_id").collect()
+    assert all(r.surprise < 1.5 for r in rows[:80])
+    assert all(r.surprise > 4 for r in rows[80:83])
+    assert [r.surprise for r in rows[83:]] == [None, None, 0.0]
+
+
+def test_the_learned_rate_is_the_mean_code_length():
+    values, n = _grams([ENGLISH.encode()])
+    model = freeze([("en", int(v), int(c)) for v, c in zip(values, n, strict=True)], 10_000)
+    assert model.rate == pytest.approx(model.code_lengths([ENGLISH.encode()])[0] / len(ENGLISH), rel=1e-6)
