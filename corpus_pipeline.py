@@ -1,8 +1,8 @@
 """The corpus pipeline: from raw documents to token ids.
 
 Documents without a recognised language go, one document of each class of near
-duplicates stays, lines that an earlier document has are cut, sources are mixed
-to their target weights, and the texts are encoded. Each stage reads what its
+duplicates stays, passages that an earlier document has are cut, sources are
+mixed to their target weights, and the texts are encoded. Each stage reads what its
 predecessor wrote, all of it; all but the last return the columns of documents.
 """
 
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.bpe import encode_documents
-from riskweave.llm.lines import dedup_units
 from riskweave.llm.mixing import mixed_documents
+from riskweave.llm.passages import dedup_passages
 from riskweave.llm.ppm import UNDETERMINED, identify_languages
 from riskweave.llm.simhash import near_duplicates
 from riskweave.llm.text import digest, same_document
@@ -22,6 +22,11 @@ from riskweave.session import materialize
 
 # A document is rejected if no learned language reaches this posterior.
 MIN_SCORE = 0.3
+# Nor if it needs so many times the bits per byte of the learned texts: those of
+# the languages stay below 3, noise and other scripts are above 4.
+MOST_SURPRISE = 4.0
+# Words that neighbouring repeated lines must have to be cut.
+MIN_WORDS = 20
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -30,9 +35,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; null texts and texts without letters go."""
+    """Documents in a recognised language; null texts, texts without letters, noise and other languages go."""
     found = identify_languages(docs)
-    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+    likely = (F.col("score") >= MIN_SCORE) & (F.col("surprise") <= MOST_SURPRISE)
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & likely)
     kept = kept.select("doc_id", "td1", "td2").alias("k")
     return _keyed(docs).alias("d").join(kept, same_document("d", "k"), "left_semi").select("row.*")
 
@@ -55,8 +61,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the lines that an earlier place has; lengths follow the texts."""
-    cut = dedup_units(docs, unit="line", carry=tuple(docs.columns))
+    """The documents without the passages that an earlier place has; lengths follow the texts."""
+    cut = dedup_passages(docs, MIN_WORDS, carry=tuple(docs.columns))
     kept = F.col("kept_text")
     changed = {"text": kept, "n_chars": F.length(kept).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": kept}
     return cut.select(*[changed.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
