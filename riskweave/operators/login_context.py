@@ -175,3 +175,102 @@ def context_by_segments(
     return transactions.join(context, instant, "left").select(
         *transactions.columns, LAST, F.coalesce(FAILED, F.lit(0)).alias(FAILED)
     )
+
+
+def running_counts(
+    timeline: DataFrame, hours: int = LOOKBACK_HOURS, measure: bool = True
+) -> DataFrame:
+    """Add to each transaction's ``n`` the failed logins of its look-back.
+
+    ``timeline`` has the columns ``customer_id``, ``at``, ``is_tx``, ``n`` and
+    ``is_new``: transactions with the count they have so far, and instants with
+    ``n`` failed logins. A new transaction gains all logins of its look-back, an
+    earlier one only the new ones. Transactions without a time or a customer
+    gain nothing. Other columns are kept.
+
+    Customers too large for one task are found, if ``measure`` is set, and
+    counted over range-partitioned segments.
+    """
+    skew = measure_skew("customer_id", [timeline]) if measure else KeySkew("customer_id", None)
+    ordinary, hot = skew.split(timeline)
+    counted = _gained_by_window(ordinary, hours)
+    if hot is None:
+        return counted
+    return counted.unionByName(_gained_by_segments(hot, hours, partitions_for(hot, 2 * skew.rows)))
+
+
+def _gains(timeline: DataFrame) -> DataFrame:
+    """Logins per row, all of them and the new ones."""
+    login = F.when(F.col("is_tx"), F.lit(0)).otherwise(F.col("n"))
+    return timeline.withColumns(
+        {"_all": login, "_fresh": F.when(F.col("is_new"), login).otherwise(F.lit(0))}
+    )
+
+
+def _with_gain(df: DataFrame, gain_all: str, gain_fresh: str, columns: Sequence[str]) -> DataFrame:
+    gain = F.when(F.col("is_new"), F.expr(gain_all)).otherwise(F.expr(gain_fresh))
+    counted = F.col("is_tx") & F.col("at").isNotNull() & F.col("customer_id").isNotNull()
+    n = F.when(counted, F.col("n") + F.coalesce(gain, F.lit(0))).otherwise(F.col("n"))
+    return df.withColumn("n", n.cast("bigint")).select(*columns)
+
+
+def _gained_by_window(timeline: DataFrame, hours: int) -> DataFrame:
+    over = "OVER (PARTITION BY customer_id ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND {})"
+    until_now = over.format("CURRENT ROW")
+    until_lookback = over.format(f"INTERVAL '{hours}:00:00.000001' HOUR TO SECOND PRECEDING")
+    running = _gains(timeline).select(
+        "*",
+        *[
+            F.expr(f"sum({c}) {frame}").alias(f"{c}{name}")
+            for c in ("_all", "_fresh")
+            for name, frame in (("_now", until_now), ("_before", until_lookback))
+        ],
+    )
+    return _with_gain(
+        running,
+        "_all_now - ifnull(_all_before, 0)",
+        "_fresh_now - ifnull(_fresh_before, 0)",
+        timeline.columns,
+    )
+
+
+def _gained_by_segments(timeline: DataFrame, hours: int, partitions: int | None) -> DataFrame:
+    """Running sums over segments; each transaction instant is a probe now and one look-back ago."""
+    instant = ["customer_id", "at"]
+    moments = timeline.where("is_tx AND at IS NOT NULL AND customer_id IS NOT NULL").select(*instant).distinct()
+    back = F.col("at") - F.make_dt_interval(hours=F.lit(hours))
+    probes = moments.select(
+        "customer_id",
+        F.col("at").alias("_moment"),
+        F.inline(
+            F.array(
+                F.struct(F.col("at").alias("_at"), F.lit(2).alias("_rank")),
+                F.struct(back.alias("_at"), F.lit(0).alias("_rank")),
+            )
+        ),
+    )
+    logins = _gains(timeline).where("NOT is_tx AND at IS NOT NULL AND customer_id IS NOT NULL")
+    events = logins.select("customer_id", F.col("at").alias("_at"), F.lit(1).alias("_rank"), "_all", "_fresh")
+    placed = ordered_segments(
+        events.unionByName(probes, allowMissingColumns=True), ["customer_id", "_at", "_rank"], partitions
+    )
+    within = (
+        Window.partitionBy(SEGMENT, "customer_id")
+        .orderBy(POSITION)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    carried = carried_forward(
+        placed,
+        ["customer_id"],
+        {"_all_carried": ("_all", F.sum), "_fresh_carried": ("_fresh", F.sum)},
+    )
+    sums = placed.withColumns({f"{c}_run": F.sum(c).over(within) for c in ("_all", "_fresh")})
+    sums = sums.where("_rank <> 1").join(carried, ["customer_id", SEGMENT], "left")
+    sign = F.when(F.col("_rank") == 2, 1).otherwise(-1)
+    total = [
+        F.sum(sign * (F.coalesce(f"{c}_run", F.lit(0)) + F.coalesce(f"{c}_carried", F.lit(0)))).alias(f"{c}_gain")
+        for c in ("_all", "_fresh")
+    ]
+    gains = sums.groupBy("customer_id", F.col("_moment").alias("at")).agg(*total)
+    joined = timeline.join(gains, instant, "left")
+    return _with_gain(joined, "_all_gain", "_fresh_gain", timeline.columns)

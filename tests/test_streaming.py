@@ -3,10 +3,12 @@ from __future__ import annotations
 import random
 import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.operators import login_context as C
 from riskweave.operators.alerts import one_per_key, rule_alerts
 from riskweave.operators.features import failed_logins
 from riskweave.operators.layers import run_timestamp, stage_login_attempts, stage_transactions
@@ -161,14 +163,55 @@ def test_late_events_are_left_out_and_state_is_dropped(spark, tmp_path, replay):
             else:
                 logins.append((customer, at))
         seen = max(e[1] for e in batch) if seen is None else max(seen, *(e[1] for e in batch))
-        state = spark.read.schema(L._EVENT).parquet(f"{tmp_path}/state/batch={i}").collect()
-        for row in state:
+        for row in L.read_state(spark, str(tmp_path), i).collect():
             assert row.at >= seen - 6 * HOUR - (0 if row.is_tx else 24) * HOUR
     want = [(tx, c, sum(c == d and at - 24 * HOUR <= x <= at for d, x in logins)) for tx, c, at in transactions]
     got = rows(L.read_failed_login_counts(spark, str(tmp_path)), "transaction_id", "customer_id", "failed_logins_24h")
     assert got == sorted(want, key=repr) and late > 0
 
 
+@pytest.mark.parametrize("batches", [1, 7, 8, 9, 63, 64, 65, 100, 600])
+def test_segments_cover_all_batches_once(batches):
+    covered = [i for first, size in L.segments(batches) for i in range(first, first + size)]
+    assert covered == list(range(batches)) and len(L.segments(batches)) <= 7 * 4
+
+
+def test_folders_stay_few_over_many_batches(spark, tmp_path):
+    """Every batch is repeated; counts are right all the while."""
+    handle = L._batch_handler(str(tmp_path), "1 hour", 2)
+    for i in range(20):
+        at = START + i * HOUR
+        rows_ = [(1, at, i, True), (1, at, None, False), (1, at, None, False), (2, at, 100 + i, True)]
+        frame = spark.createDataFrame(rows_, L._EVENT)
+        for _ in range(2):
+            handle(frame, i)
+        assert len(list(tmp_path.iterdir())) <= 2 * L.MERGED + 3
+    got = {r.transaction_id: r.failed_logins_24h for r in L.read_failed_login_counts(spark, str(tmp_path)).collect()}
+    assert got == {i: 2 * min(i + 1, 3) for i in range(20)} | {100 + i: 0 for i in range(20)}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_gains_of_new_and_earlier_transactions(spark, hot):
+    rng = random.Random(11)
+    events = []
+    for i in range(300):
+        at = None if i % 50 == 7 else START + timedelta(minutes=rng.randrange(6000))
+        is_tx = rng.random() < 0.5
+        events.append((rng.choice([1, 2, None]), at, i if is_tx else None, is_tx, rng.randrange(1, 4), rng.random() < 0.5))
+    timeline = spark.createDataFrame(events, f"{L.STATE}, is_new boolean")
+    counted = C._gained_by_segments(timeline, 24, 5) if hot else C._gained_by_window(timeline, 24)
+    got = {r.transaction_id: r.n for r in counted.where("is_tx").collect()}
+    for customer, at, tx, is_tx, n, is_new in events:
+        if is_tx:
+            logins = [
+                e[4]
+                for e in events
+                if not e[3] and None not in (at, e[1], customer) and e[0] == customer and (is_new or e[5])
+                and at - 24 * HOUR <= e[1] <= at
+            ]
+            assert got[tx] == n + sum(logins)
+
+
 def test_history_that_lands_between_batches_counts(spark, sources, warehouse, tmp_path):
     """The loader reads the tables anew for every batch."""
     landed, alerts, checkpoint = (f"{tmp_path}/{n}" for n in ("tx", "alerts", "c"))
@@ -201,7 +244,10 @@ def test_incremental_scores_equal_the_batch_under_fan_out(spark, sources, tmp_pa
 
 @pytest.mark.parametrize("kept", ["true", "false"])
 def test_null_times_and_an_empty_table_reach_the_failed_login_stream(spark, tmp_path, kept):
-    shutil.copytree(f"{DATA}/sf0.001", f"{tmp_path}/in", ignore=shutil.ignore_patterns("events.parquet"))
+    (tmp_path / "in").mkdir()
+    for source in Path(DATA, "sf0.001").iterdir():
+        if source.name != "events.parquet":
+            shutil.copyfile(source, tmp_path / "in" / source.name)
     events = spark.read.parquet(f"{DATA}/sf0.001/events.parquet").where(kept)
     gone = F.when(F.col("event_id") % 10 != 3, F.col("ts"))
     events.withColumn("ts", gone).write.parquet(f"{tmp_path}/in/events.parquet")
