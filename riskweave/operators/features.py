@@ -124,6 +124,17 @@ def _features(
     return ordinary.unionByName(hot_features(hot_tx, hot_logins, zscore, skew, hours))
 
 
+def features_from_flags(
+    transactions: DataFrame,
+    logins: DataFrame,
+    hours: int = LOOKBACK_HOURS,
+    skew: KeySkew | None = None,
+) -> DataFrame:
+    """``enrich_transactions`` for logins that already carry the flags of ``LOGIN_FLAGS``."""
+    context = with_login_context(transactions, logins, hours, skew, LOGIN_FLAGS)
+    return _with_features(context, transactions.columns)
+
+
 def enrich_transactions(
     transactions: DataFrame,
     logins: DataFrame,

@@ -25,6 +25,7 @@ from riskweave.sources.provided import (
 )
 from riskweave.schemas import PROVIDED
 from riskweave.streaming import incremental, lookback
+from riskweave.streaming.history import CustomerHistory
 
 RUN_TS = "2024-02-01 00:00:00"
 AS_OF = "2024-02-01"
@@ -596,29 +597,6 @@ def profile_customers(spark, folder):
 # streaming
 
 
-def _event_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    events = (
-        spark.readStream.schema(PROVIDED["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
-    return derive_source(name, events)
-
-
-@query
-def incremental_alerts(spark, folder):
-    path = scratch_path(spark, "fraud_alerts")
-    stream = incremental.start_incremental_alerts(
-        _event_stream(spark, folder, "transactions"),
-        incremental.rule_scorer(lambda: provided_sources(spark, folder), RUN_TS, AS_OF),
-        path,
-        scratch_path(spark, "checkpoint"),
-        layers.run_timestamp(RUN_TS),
-    )
-    stream.awaitTermination()
-    return alerts_store.read_alerts_folder(spark, path).drop("id", "inserted_at")
-
-
 def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The events in parts that follow each other in time, null times in the first.
 
@@ -638,6 +616,29 @@ def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [spark.read.schema(PROVIDED["events"]).parquet(f"{path}/batch={r['batch']}") for r in stored]
 
 
+@query
+def incremental_alerts(spark, folder):
+    """Alerts of transactions that land in batches, from a history that was merged in batches too."""
+    batches = _event_batches(spark, folder)
+    path = scratch_path(spark, "fraud_alerts")
+    alerts_store.create_alerts_folder(spark, path)
+    stored = provided_sources(spark, folder)
+    history = CustomerHistory(spark, scratch_path(spark, "history"), buckets=8)
+    for number, batch in enumerate(batches):
+        parts = {n: derive_source(n, batch) for n in ("transactions", "login_attempts")}
+        w = Warehouse({**stored, **parts}, RUN_TS, AS_OF)
+        history.merge(w.stg_login_attempt, incremental.mart_amounts(w), "events", number)
+    scorer = incremental.history_scorer(lambda: stored, history, RUN_TS, AS_OF)
+    landed, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "checkpoint")
+    for batch in batches:
+        batch.write.mode("append").parquet(landed)
+        events = spark.readStream.schema(PROVIDED["events"]).parquet(landed)
+        incremental.start_incremental_alerts(
+            derive_source("transactions", events), scorer, path, checkpoint, layers.run_timestamp(RUN_TS)
+        ).awaitTermination()
+    return alerts_store.read_alerts_folder(spark, path).drop("id", "inserted_at")
+
+
 @query
 def stream_failed_logins(spark, folder):
     batches = _event_batches(spark, folder)

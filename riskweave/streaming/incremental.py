@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators.alerts import rule_alerts
-from riskweave.operators.features import amount_statistics, zscore_from_statistics
+from riskweave.operators.features import (
+    amount_statistics,
+    features_from_flags,
+    zscore_from_statistics,
+)
 from riskweave.operators.rules import apply_rules
 from riskweave.plans.training import TrainedForest, score_transactions
 from riskweave.plans.warehouse import Warehouse
 from riskweave.schemas import SOURCES
 from riskweave.sources.alerts_store import append_alerts, create_alerts_folder
+from riskweave.streaming.history import CustomerHistory
 
 Scorer = Callable[[DataFrame], DataFrame]
 # Reads the stored tables as they are now; a frame made earlier keeps the file
@@ -79,6 +85,36 @@ def rule_scorer(
     return score
 
 
+def history_features(
+    batch: DataFrame, stored: Mapping[str, DataFrame], history: CustomerHistory, run_ts, as_of
+) -> DataFrame:
+    """Features and z-scores of one batch from its customers' history.
+
+    Opens the history's folders of the batch's customers; stored transactions
+    and logins are not read. ``stored`` gives customers and merchants.
+    """
+    buckets = history.buckets_of(batch.select(F.col("CustomerID").cast("bigint").alias("customer_id")))
+    customers = batch.select(F.col("CustomerID").cast("bigint").alias("customer_id")).distinct()
+    logins = history.read("logins", buckets).join(customers, "customer_id", "left_semi")
+    totals = history.read("totals", buckets)
+    nights = totals.select("customer_id", (F.col("night_logins") > 0).alias("night_login"))
+    known = totals.where("amounts > 0").select(
+        "customer_id", "amount_mean", F.sqrt(F.try_divide("spread", "amounts")).alias("amount_deviation")
+    )
+    mart = Warehouse({**stored, "transactions": batch}, run_ts, as_of).v_transaction
+    enriched = features_from_flags(mart, logins.join(nights, "customer_id", "left"))
+    return zscore_from_statistics(enriched, known)
+
+
+def history_scorer(load: Loader, history: CustomerHistory, run_ts, as_of) -> Scorer:
+    """Rule alerts of a batch, whose cost follows the batch and its customers."""
+
+    def score(batch: DataFrame) -> DataFrame:
+        return rule_alerts(apply_rules(history_features(batch, load(), history, run_ts, as_of)))
+
+    return score
+
+
 def model_scorer(load: Loader, forest: TrainedForest, run_ts, as_of) -> Scorer:
     """Model alerts of a batch."""
 
