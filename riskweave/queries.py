@@ -36,6 +36,7 @@ HOT_LIMIT = 50
 # Far less than the 30 days of events, so state is dropped on the way.
 STREAM_DELAY = "12 hours"
 STREAM_BATCHES = 4
+INCREMENTAL_BATCHES = 2
 EARLIER_SNAPSHOT = "2024-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -597,7 +598,7 @@ def profile_customers(spark, folder):
 # streaming
 
 
-def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+def _event_batches(spark: SparkSession, folder: str, parts: int = STREAM_BATCHES) -> list[DataFrame]:
     """The events in parts that follow each other in time, null times in the first.
 
     The table is read for its bounds and once for the parts, which are stored.
@@ -609,17 +610,17 @@ def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
     if not n:
         return []
     low, high = (0, 0) if low is None else (low, high)
-    batch = F.coalesce(F.floor((at - low) / ((high - low) // STREAM_BATCHES + 1)), F.lit(0)).cast("int")
+    batch = F.coalesce(F.floor((at - low) / ((high - low) // parts + 1)), F.lit(0)).cast("int")
     dealt = events.withColumn("batch", batch).repartitionByRange("batch", "ts", "event_id")
     dealt.write.partitionBy("batch").parquet(path)
-    stored = spark.read.parquet(path).select("batch").distinct().orderBy("batch").collect()  # STREAM_BATCHES at most
+    stored = spark.read.parquet(path).select("batch").distinct().orderBy("batch").collect()  # at most as many as parts
     return [spark.read.schema(PROVIDED["events"]).parquet(f"{path}/batch={r['batch']}") for r in stored]
 
 
 @query
 def incremental_alerts(spark, folder):
     """Alerts of transactions that land in batches, from a history that was merged in batches too."""
-    batches = _event_batches(spark, folder)
+    batches = _event_batches(spark, folder, INCREMENTAL_BATCHES)
     path = scratch_path(spark, "fraud_alerts")
     alerts_store.create_alerts_folder(spark, path)
     stored = provided_sources(spark, folder)

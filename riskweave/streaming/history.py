@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions import columns as C
@@ -105,10 +105,15 @@ class CustomerHistory:
         self._buckets = buckets
 
     def _manifest(self) -> dict[str, Any]:
-        """Folders' pieces by table and bucket, and the last batch merged from each source."""
+        """Folders' pieces by table and bucket, rows written, and the last batch merged from each source."""
         now = self._versions.current()
         if now is None:
-            return {"buckets": self._buckets, "pieces": {t: {} for t in SCHEMAS}, "merged": {}}
+            return {
+                "buckets": self._buckets,
+                "pieces": {t: {} for t in SCHEMAS},
+                "rows": dict.fromkeys(SCHEMAS, 0),
+                "merged": {},
+            }
         return self._versions.manifest(now)
 
     def _paths(self, table: str, pieces: dict[str, list[int]]) -> list[str]:
@@ -165,7 +170,10 @@ class CustomerHistory:
         # Sorted by customer, so that files and row groups tell whom they hold; a
         # bucket that holds much becomes several files.
         placed = rows.withColumn("bucket", bucket_of(F.col("customer_id"), manifest["buckets"])).hint("rebalance", "bucket")
-        placed.sortWithinPartitions("bucket", "customer_id").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        seen = Observation()
+        placed = placed.observe(seen, F.count("*").alias("rows")).sortWithinPartitions("bucket", "customer_id")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        manifest["rows"][table] += seen.get["rows"]
         written = {n.removeprefix("bucket=") for n in self._versions.files.names(target) if n.startswith("bucket=")}
         for b in written | full.keys():
             kept = [] if b in full else pieces.get(b, [])
@@ -182,10 +190,17 @@ class CustomerHistory:
             folders = self._versions.files.names(f"{self.root}/{table}")
             drop_folders(self._versions.files, f"{self.root}/{table}", (f for f in folders if int(f.removeprefix("version=")) not in versions))
 
-    def buckets_of(self, customers: DataFrame) -> list[int]:
-        """The buckets of a batch's customers: ``buckets`` numbers at most."""
+    def rows(self, table: str) -> int:
+        """At least as many rows as the table has."""
+        return self._manifest()["rows"][table]
+
+    def buckets_of(self, customers: DataFrame) -> tuple[list[int], int]:
+        """The buckets of a batch's customers, ``buckets`` numbers at most, and the batch's rows."""
         bucket = bucket_of(F.col("customer_id"), self._manifest()["buckets"])
-        return sorted(r[0] for r in customers.where("customer_id IS NOT NULL").select(bucket).distinct().collect())
+        found, rows = customers.agg(
+            F.collect_set(F.when(F.col("customer_id").isNotNull(), bucket)), F.count("*")
+        ).first()
+        return sorted(found), rows
 
     def read(self, table: str, buckets: Iterable[int] | None = None) -> DataFrame:
         """A table's rows, of the given buckets only; totals are one row per customer."""

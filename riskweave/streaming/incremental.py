@@ -15,6 +15,7 @@ from riskweave.operators.features import (
     zscore_from_statistics,
 )
 from riskweave.operators.rules import apply_rules
+from riskweave.operators.skew import GROUP_LIMIT, KeySkew
 from riskweave.plans.training import TrainedForest, score_transactions
 from riskweave.plans.warehouse import Warehouse
 from riskweave.schemas import SOURCES
@@ -93,16 +94,19 @@ def history_features(
     Opens the history's folders of the batch's customers; stored transactions
     and logins are not read. ``stored`` gives customers and merchants.
     """
-    buckets = history.buckets_of(batch.select(F.col("CustomerID").cast("bigint").alias("customer_id")))
-    customers = batch.select(F.col("CustomerID").cast("bigint").alias("customer_id")).distinct()
-    logins = history.read("logins", buckets).join(customers, "customer_id", "left_semi")
+    customers = batch.select(F.col("CustomerID").cast("bigint").alias("customer_id"))
+    buckets, rows = history.buckets_of(customers)
+    # Where all rows together are few, no customer can be too large for a task.
+    few = rows + history.rows("logins") <= GROUP_LIMIT
+    skew = KeySkew("customer_id", None) if few else None
+    logins = history.read("logins", buckets).join(customers.distinct(), "customer_id", "left_semi")
     totals = history.read("totals", buckets)
     nights = totals.select("customer_id", (F.col("night_logins") > 0).alias("night_login"))
     known = totals.where("amounts > 0").select(
         "customer_id", "amount_mean", F.sqrt(F.try_divide("spread", "amounts")).alias("amount_deviation")
     )
     mart = Warehouse({**stored, "transactions": batch}, run_ts, as_of).v_transaction
-    enriched = features_from_flags(mart, logins.join(nights, "customer_id", "left"))
+    enriched = features_from_flags(mart, logins.join(nights, "customer_id", "left"), skew=skew)
     return zscore_from_statistics(enriched, known)
 
 

@@ -264,3 +264,55 @@ def test_shared_root_is_the_one_the_cluster_names():
     with pytest.raises(RuntimeError):
         shared_root(Session())
     assert shared_root(Session(master="local[4]"))
+
+
+def many(spark, first, n, month):
+    data = [(str(i), "7", datetime(2024, month, 1 + i % 28), 5, "A") for i in range(first, first + n)]
+    return spark.createDataFrame(data, ALERTS)
+
+
+def test_appends_open_only_files_that_may_hold_a_key(spark, tmp_path):
+    """A store of a hundred appends over four months; a replay opens its own."""
+    path = str(tmp_path / "alerts")
+    for i in range(100):
+        S.append_alerts(many(spark, 10 * i, 10, 1 + i % 4), path, now())
+    folders = [p for p in (tmp_path / "alerts").glob("month=*/append=*")]
+    assert len(folders) == 100
+    opened = S.stored_like(many(spark, 570, 10, 1 + 57 % 4), path).inputFiles()
+    assert len({os.path.dirname(f) for f in opened}) <= 2
+    assert S.stored_like(many(spark, 5000, 10, 2), path).count() <= 10  # false hits at most
+    assert S.stored_like(many(spark, 5000, 10, 9), path).inputFiles() == []
+    S.append_alerts(many(spark, 565, 10, 1 + 57 % 4).unionByName(many(spark, 570, 5, 1 + 57 % 4)), path, now(), only_new=True)
+    assert S.read_alerts_folder(spark, path).count() == 1005  # five new: 565 to 569 lie in another month
+
+
+def test_filters_hold_all_their_keys(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    alerts = many(spark, 0, 3000, 5)
+    S.append_alerts(alerts, path, now())
+    for part in (alerts.where("transaction_id < '2'"), alerts.where("transaction_id = '2999'")):
+        assert S.stored_like(part, path).count() == 3000
+    hits = sum(S.stored_like(many(spark, 10_000 + i, 1, 5), path).count() > 0 for i in range(20))
+    assert hits <= 2
+
+
+def test_an_append_without_a_filter_and_files_without_months_are_looked_into(spark, alerts, tmp_path):
+    import shutil
+
+    path = tmp_path / "alerts"
+    S.append_alerts(alerts.where("transaction_id = '1'"), str(path), now())
+    shutil.rmtree(path / S.FILTERS)
+    flat = S.table_rows(alerts.where("transaction_id = '2'"), now())
+    flat.write.mode("append").parquet(str(path))
+    S.append_alerts(alerts, str(path), now(), only_new=True)
+    assert rows(S.read_alerts_folder(spark, str(path)).drop("id", "inserted_at")) == rows(alerts)
+
+
+def test_alerts_without_a_time_are_found_again(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    timeless = spark.createDataFrame([("1", "7", None, 5, "A"), (None, None, None, None, None)], ALERTS)
+    for _ in range(2):
+        S.append_alerts(timeless.where("transaction_id IS NOT NULL"), path, now(), only_new=True)
+    assert S.read_alerts_folder(spark, path).count() == 1
+    S.append_alerts(timeless.where("false"), path, now(), only_new=True)
+    assert S.read_alerts_folder(spark, path).count() == 1
