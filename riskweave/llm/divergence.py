@@ -14,15 +14,14 @@ SYMBOLS = r"[#*$%&|<>]"
 
 SPACE = r"[\x20\x09-\x0D]"
 
-# Character classes of the histogram, besides the lower-case ASCII letters. Those
-# are most of a text and are what remains, so they are never searched for.
+# Character classes of the histogram, besides lower-case ASCII letters, white
+# space and what belongs to none of them.
 CLASSES = (
     r"[A-Z]",
     r"[0-9]",
-    SPACE,
     r"[.,;:!?'\"()\-]",
-    r"[^\x00-\x7F]",
-    r"[\x00-\x7F&&[^a-zA-Z0-9\x20\x09-\x0D.,;:!?'\"()\-]]",
+    r"[\x{C0}-\x{24F}]",
+    r"[^\x00-\x7F\x{C0}-\x{24F}]",
 )
 
 # A word with a smaller share of its language's words is not a common one, so a
@@ -32,10 +31,26 @@ COMMON_SHARE = 2000
 MIN_WORDS = 50
 
 
-def _count(text: Column, characters: str) -> Column:
-    """Code points of a class, as what is missing without its runs: no list of matches is made."""
-    rest = F.regexp_replace(text, f"{characters}+", "")
-    return F.coalesce(F.length(text) - F.length(rest), F.lit(0)).cast("long")
+def _without(text: str, characters: str) -> Column:
+    return F.regexp_replace(text, f"{characters}+", "")
+
+
+def with_classes(docs: DataFrame) -> DataFrame:
+    """Adds ``_classes``, code points by character class as longs, and ``n_symbols``, to ``docs`` with ``text``.
+
+    Lower-case letters and white space, most of a text, are cut out first, each
+    in one pass; all other classes are counted, by what their removal leaves, in
+    the little that stays. So the text is read twice, not once for each class.
+    """
+    docs = docs.withColumn("_whole", F.coalesce("text", F.lit("")))
+    docs = docs.withColumn("_rest", _without("_whole", "[a-z]")).withColumn("_solid", _without("_rest", SPACE))
+    length = lambda c: F.length(c).cast("long")
+    solid = length("_solid")
+    docs = docs.withColumn("_found", F.array(*[solid - F.length(_without("_solid", c)) for c in CLASSES]))
+    docs = docs.withColumn("n_symbols", solid - F.length(_without("_solid", SYMBOLS)))
+    other = solid - F.aggregate("_found", F.lit(0).cast("long"), lambda s, x: s + x)
+    first = F.array(length("_whole") - length("_rest"), length("_rest") - solid, other)
+    return docs.withColumn("_classes", F.concat(first, "_found")).drop("_whole", "_rest", "_solid", "_found")
 
 
 def _split(text: Column) -> Column:
@@ -48,7 +63,7 @@ def _after(array: str, n: int, length: Column) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds the counts of the base rules to ``docs`` with a column ``text``.
+    """Adds the counts of the base rules to ``docs``, made by ``with_classes``.
 
     ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` (lines with a
     word that equal an earlier line) and ``n_repeat_words`` (words in a window
@@ -60,12 +75,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
     n = F.col("n_words")
     docs = docs.withColumn("_words", F.transform(_split(text), lambda w: F.xxhash64(w)))
     docs = docs.withColumn("n_words", F.size("_words").cast("long"))
-    docs = docs.withColumn("word_chars", F.length(text).cast("long") - _count(text, SPACE))
-    docs = docs.withColumn("n_symbols", _count(text, SYMBOLS))
+    docs = docs.withColumn("word_chars", F.length(text).cast("long") - F.get("_classes", F.lit(1)))
     docs = docs.withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
     docs = docs.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    pairs = F.zip_with(_after("_words", 0, n - 2), _after("_words", 1, n - 2), lambda a, b: F.xxhash64(a, b))
-    docs = docs.withColumn("_windows", F.zip_with(pairs, _after("_words", 2, n - 2), lambda a, b: F.xxhash64(a, b)))
+    windows = F.transform(
+        _after("_words", 0, n - 2), lambda h, i: F.xxhash64(h, F.get("_words", i + 1), F.get("_words", i + 2))
+    )
+    docs = docs.withColumn("_windows", windows)
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     placed = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     docs = docs.withColumn("_sorted", F.when(repeats, F.sort_array(placed)))
@@ -80,15 +96,6 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return docs.drop("_lines", "_words", "_windows", "_sorted", "_places")
 
 
-def class_counts(text: Column) -> Column:
-    """Code points by character class as an array of longs."""
-    counts = [_count(text, c) for c in CLASSES]
-    rest = F.coalesce(F.length(text), F.lit(0)).cast("long")
-    for c in counts:
-        rest = rest - c
-    return F.array(rest, *counts)
-
-
 def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
     """Each language's shares of character classes and common words, over all labelled texts.
 
@@ -96,8 +103,9 @@ def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
     and ``words_per_language`` words at most; nothing else reaches the driver.
     """
     known = docs.where("lang is not null and text is not null").select("lang", "text")
-    counts = known.select("lang", F.size(_split(F.col("text"))).alias("n"), class_counts(F.col("text")).alias("c"))
-    sums = [F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
+    classes = range(len(CLASSES) + 3)
+    counts = with_classes(known).select("lang", F.size(_split(F.col("text"))).alias("n"), F.col("_classes").alias("c"))
+    sums = [F.sum(F.col("c")[i]).alias(f"c{i}") for i in classes]
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"), *sums)
     languages = {r["lang"]: r for r in totals.collect()}
     if not languages:
@@ -109,7 +117,7 @@ def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
     common = common.withColumn("r", F.row_number().over(most)).where(F.col("r") <= words_per_language).collect()
     out = []
     for lang, r in sorted(languages.items()):
-        chars = [r[f"c{i}"] for i in range(len(CLASSES) + 1)]
+        chars = [r[f"c{i}"] for i in classes]
         mine = sorted((x["word"], x["n"] / r["n"]) for x in common if x["lang"] == lang)
         out.append(
             {
@@ -122,17 +130,8 @@ def references(docs: DataFrame, words_per_language: int = 64) -> list[dict]:
     return out
 
 
-def _literal(reference: dict) -> Column:
-    return F.struct(
-        F.lit(reference["lang"]).alias("lang"),
-        F.array(*map(F.lit, reference["classes"])).cast("array<double>").alias("classes"),
-        F.array(*map(F.lit, reference["words"])).cast("array<string>").alias("words"),
-        F.array(*map(F.lit, reference["shares"])).cast("array<double>").alias("shares"),
-    )
-
-
 def _part(p: Column, q: Column) -> Column:
-    """One bin's share of twice the Jensen-Shannon distance, in bits."""
+    """One bin's share of twice the Jensen-Shannon divergence, in bits."""
     one = F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
     return one + F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(0.0)
 
@@ -140,53 +139,69 @@ def _part(p: Column, q: Column) -> Column:
 def divergences(docs: DataFrame, reference: list[dict]) -> DataFrame:
     """Adds ``divergences``: (lang, chars, words) for each reference language.
 
-    Both are Jensen-Shannon distances between 0 and 1, of the document's
-    character classes and of its common words (all other words are one bin),
-    rounded to nine digits. ``docs`` has ``text`` and ``n_words``.
+    Both are Jensen-Shannon distances between 0 and 1 (square roots of the
+    divergences), of the document's character classes and of its common words
+    (all other words are one bin), rounded to nine digits. ``docs`` has ``text``,
+    ``n_words`` and ``_classes``.
     """
     if not reference:
         empty = F.array().cast("array<struct<lang:string,chars:double,words:double>>")
         return docs.withColumn("divergences", empty)
     every = sorted({w for r in reference for w in r["words"]})
     n_chars = F.greatest(F.length("text"), F.lit(1))
-    docs = docs.withColumn("_classes", F.transform(class_counts(F.col("text")), lambda c: c / n_chars))
+    docs = docs.withColumn("_histogram", F.transform("_classes", lambda c: F.coalesce(c / n_chars, F.lit(0.0))))
     common = F.filter(_split(F.lower(F.coalesce("text", F.lit("")))), lambda w: w.isin(every))
     docs = docs.withColumn("_common", F.sort_array(common))
-    docs = docs.withColumn("_distinct", F.array_distinct("_common"))
-    docs = docs.withColumn("_firsts", F.transform("_distinct", lambda w: F.array_position("_common", w)))
-    ends = F.concat(_after("_firsts", 1, F.size("_firsts")), F.array(F.size("_common").cast("long") + 1))
+    # Where a word differs from the one before it, and where the last one ends.
+    starts = F.filter(
+        F.transform("_common", lambda w, i: F.when((i == 0) | (w != F.get("_common", i - 1)), i)), lambda i: i.isNotNull()
+    )
+    docs = docs.withColumn("_firsts", F.concat(starts, F.array(F.size("_common"))))
     n = F.greatest(F.col("n_words"), F.lit(1))
-    # An empty list has one end and no start, and gives no word.
-    shares = F.zip_with("_firsts", F.slice(ends, 1, F.size("_firsts")), lambda a, b: (b - a) / n)
-    docs = docs.withColumn("_shares", F.zip_with("_distinct", shares, lambda w, p: F.struct(w.alias("w"), p.alias("p"))))
-
-    def against(r: Column) -> Column:
-        chars = F.aggregate(F.zip_with("_classes", r["classes"], _part), F.lit(0.0), lambda s, x: s + x)
-        here = F.filter("_shares", lambda x: F.array_contains(r["words"], x["w"]))
-        paired = F.transform(
-            here, lambda x: F.struct(x["p"].alias("p"), F.element_at(r["shares"], F.array_position(r["words"], x["w"]).cast("int")).alias("q"))
+    # By word, its share in each language, null where it is not common.
+    known = [dict(zip(r["words"], r["shares"], strict=True)) for r in reference]
+    table = F.map_from_arrays(
+        F.array(*map(F.lit, every)),
+        F.array(*[F.array(*[F.lit(k.get(w)).cast("double") for k in known]) for w in every]),
+    )
+    shares = F.transform(
+        _after("_firsts", 0, F.size("_firsts") - 1),
+        lambda a, i: F.struct(
+            F.element_at(table, F.get("_common", a)).alias("q"), ((F.get("_firsts", i + 1) - a) / n).alias("p")
+        ),
+    )
+    docs = docs.withColumn("_shares", shares if every else F.array().cast("array<struct<q:array<double>,p:double>>"))
+
+    def against(place: int, r: dict) -> Column:
+        classes = F.array(*map(F.lit, r["classes"])).cast("array<double>")
+        chars = F.aggregate(F.zip_with("_histogram", classes, _part), F.lit(0.0), lambda s, x: s + x)
+        paired = F.filter(
+            F.transform("_shares", lambda x: F.struct(x["p"].alias("p"), x["q"][place].alias("q"))), lambda x: x["q"].isNotNull()
         )
         zero = F.struct(F.lit(0.0).alias("f"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q"))
+        whole = sum(r["shares"])
+        rest = max(1 - whole, 0.0)
         words = F.aggregate(
             paired, zero,
             lambda s, x: F.struct((s["f"] + _part(x["p"], x["q"])).alias("f"), (s["p"] + x["p"]).alias("p"), (s["q"] + x["q"]).alias("q")),
             # Words of the language that the document lacks count with their share.
-            lambda s: s["f"] + (_sum(r["shares"]) - s["q"]) + _part(F.greatest(1 - s["p"], F.lit(0.0)), F.greatest(1 - _sum(r["shares"]), F.lit(0.0))),
+            lambda s: s["f"] + (whole - s["q"]) + _part(F.greatest(1 - s["p"], F.lit(0.0)), F.lit(rest)),
         )
-        return F.struct(r["lang"].alias("lang"), F.round(chars / 2, 9).alias("chars"), F.round(words / 2, 9).alias("words"))
+        return F.struct(F.lit(r["lang"]).alias("lang"), _distance(chars).alias("chars"), _distance(words).alias("words"))
 
-    docs = docs.withColumn("divergences", F.transform(F.array(*map(_literal, reference)), against))
-    return docs.drop("_classes", "_common", "_distinct", "_firsts", "_shares")
+    docs = docs.withColumn("divergences", F.array(*[against(i, r) for i, r in enumerate(reference)]))
+    return docs.drop("_histogram", "_common", "_firsts", "_shares")
 
 
-def _sum(array: Column) -> Column:
-    return F.aggregate(array, F.lit(0.0), lambda s, x: s + x)
+def _distance(twice: Column) -> Column:
+    """Rounding can leave the divergence of equal histograms just below zero."""
+    return F.round(F.sqrt(F.greatest(twice / 2, F.lit(0.0))), 9)
 
 
 def judge(
     docs: DataFrame,
-    most_chars: float = 0.065,
-    most_words: float = 0.24,
+    most_chars: float = 0.255,
+    most_words: float = 0.49,
     min_chars: int = 200,
     min_words: int = 50,
     words_per_language: int = 64,
@@ -207,10 +222,11 @@ def judge(
     """
     text = F.col(text_col).cast("string").alias("text")
     learned = references(docs.select(text, F.col(lang_col).cast("string").alias("lang")), words_per_language)
-    rows = divergences(base_counts(docs.select(F.col(id_col).cast("long").alias("doc_id"), text)), learned)
+    rows = with_classes(docs.select(F.col(id_col).cast("long").alias("doc_id"), text))
+    rows = divergences(base_counts(rows), learned)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     short_chars = F.coalesce(F.length("text"), F.lit(0)) < min_chars
     short_words = F.col("n_words") < min_words
     near = F.exists("divergences", lambda d: (short_chars | (d["chars"] <= most_chars)) & (short_words | (d["words"] <= most_words)))
     rows = rows.withColumn("base_failed", failed)
-    return rows.withColumn("kept", ~failed & (near | F.lit(not learned))).drop("text")
+    return rows.withColumn("kept", ~failed & (near | F.lit(not learned))).drop("text", "_classes")

@@ -241,17 +241,17 @@ WITH docs AS (
   SELECT doc_id, lang, text, [
     len(regexp_extract_all(text, '[a-z]')), len(regexp_extract_all(text, '[A-Z]')), len(regexp_extract_all(text, '[0-9]')),
     len(regexp_extract_all(text, '[\x20\x09-\x0D]')), len(regexp_extract_all(text, '[.,;:!?''"()\-]')),
-    len(regexp_extract_all(text, '[^\x00-\x7F]'))] AS found
+    len(regexp_extract_all(text, '[\x{C0}-\x{24F}]')), len(regexp_extract_all(text, '[^\x00-\x7F\x{C0}-\x{24F}]'))] AS found
   FROM docs
 ), class_counts AS (
-  SELECT doc_id, lang, unnest(list_append(found, length(text) - list_sum(found))) AS c, unnest(range(0, 7)) AS class, length(text) AS size
+  SELECT doc_id, lang, unnest(list_append(found, length(text) - list_sum(found))) AS c, unnest(range(0, 8)) AS class, length(text) AS size
   FROM classes
 ), class_reference AS (
   SELECT lang, class, sum(c) / greatest(1, sum(sum(c)) OVER (PARTITION BY lang)) AS q
   FROM class_counts WHERE lang IS NOT NULL GROUP BY lang, class
 ), chars AS (
-  SELECT doc_id, r.lang, round(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
-    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 9) AS d
+  SELECT doc_id, r.lang, round(sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)), 9) AS d
   FROM (SELECT doc_id, class, c / greatest(size, 1) AS p FROM class_counts) JOIN class_reference r USING (class)
   GROUP BY doc_id, r.lang
 ), lowered AS (
@@ -273,11 +273,11 @@ WITH docs AS (
   FROM docs d CROSS JOIN (SELECT s.lang, coalesce(sum(q), 0) AS q FROM sizes s LEFT JOIN word_reference USING (lang) GROUP BY s.lang) t
   LEFT JOIN here h ON h.doc_id = d.doc_id AND h.lang = t.lang
 ), near_words AS (
-  SELECT doc_id, lang, round((f + whole - q + CASE WHEN p0 > 0 THEN p0 * log2(2 * p0 / (p0 + q0)) ELSE 0 END
-    + CASE WHEN q0 > 0 THEN q0 * log2(2 * q0 / (p0 + q0)) ELSE 0 END) / 2, 9) AS d
+  SELECT doc_id, lang, round(sqrt(greatest(0, (f + whole - q + CASE WHEN p0 > 0 THEN p0 * log2(2 * p0 / (p0 + q0)) ELSE 0 END
+    + CASE WHEN q0 > 0 THEN q0 * log2(2 * q0 / (p0 + q0)) ELSE 0 END) / 2)), 9) AS d
   FROM word_sums
 ), near AS (
-  SELECT doc_id, bool_or((length(text) < 200 OR c.d <= 0.065) AND (len(words) < 50 OR x.d <= 0.24)) AS near
+  SELECT doc_id, bool_or((length(text) < 200 OR c.d <= 0.255) AND (len(words) < 50 OR x.d <= 0.49)) AS near
   FROM docs JOIN chars c USING (doc_id) JOIN near_words x USING (doc_id)
   WHERE c.lang = x.lang GROUP BY doc_id
 ), base AS (
