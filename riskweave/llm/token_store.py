@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 import unicodedata
 import uuid
 import zlib
@@ -69,7 +70,8 @@ class WordEncoder(dict):
 
     The tokenizer splits at white space first, so a text's ids are those of its
     words in a row; ASCII capitals are lowered by the tokenizer in any case and
-    are lowered here so that more words are alike.
+    are lowered here so that more words are alike. Words that may hold one of
+    its special strings stay as they are, for only their exact spelling counts.
     """
 
     def __init__(self, file: str, end_id: int, limit: int):
@@ -78,12 +80,17 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(file, end_id)
+        self.letter = "H" if self.dtype == "<u2" else "I"
         self.end, self.limit, self.older = np.array([end_id], self.dtype).tobytes(), limit, {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        return [b"".join(map(self.__getitem__, t.lower().split())) + self.end for t in texts]
+        return [b"".join(map(self.__getitem__, self._words(t))) + self.end for t in texts]
+
+    def _words(self, text: bytes) -> list[bytes]:
+        if SPECIAL not in text:
+            return text.lower().split()
+        return [w if SPECIAL in w else w.lower() for w in text.split()]
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
@@ -98,11 +105,17 @@ class WordEncoder(dict):
     def _ids(self, word: bytes) -> bytes:
         """The split pattern keeps letters in a row together and apart from the marks after them."""
         stem = word.rstrip(MARKS)
-        if stem and (letters := _plain_letters(stem)):
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.dtype).tobytes()
-            return ids + self[word[len(stem) :]] if len(stem) < len(word) else ids
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+        if len(stem) < len(word) and _ends_in_letter(stem):
+            return self[stem] + self[word[len(stem) :]]
+        if letters := _plain_letters(word):
+            ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
 
+# What the special strings of the vocabulary begin with.
+SPECIAL = b"<|"
 
 # Marks that are neither letters, digits nor part of a contraction.
 MARKS = b".,;:!?"
@@ -119,18 +132,22 @@ def _byte_characters() -> dict[int, str]:
 _BYTES = _byte_characters()
 
 
+def _ends_in_letter(stem: bytes) -> bool:
+    """Whether marks after the stem are a piece of their own: it ends in a letter, lowered too, or an ASCII digit."""
+    return stem[-1:].isalnum() or (stem != b"" and stem[-1] > 127 and stem.decode()[-1].lower()[-1].isalpha())
+
+
 def _plain_letters(word: bytes) -> str:
     """A word of Latin letters as the vocabulary writes it; empty for all other words.
 
     Such a word passes the tokenizer's normaliser and splitter as one piece.
     """
-    if word.isalpha():  # ASCII only, lowered already
-        return word.decode()
-    text = unicodedata.normalize("NFC", word.decode())
-    text = "".join(c.lower() for c in text)
+    if word.isascii():
+        return word.decode() if word.isalpha() else ""  # lowered already
+    text = unicodedata.normalize("NFC", word.decode()).lower()
     if not text.isalpha() or max(text) >= "\u0250":
         return ""
-    return "".join(_BYTES[b] for b in text.encode())
+    return text.encode().decode("latin-1").translate(_BYTES)
 
 
 _encoders: dict[tuple, WordEncoder] = {}

@@ -18,9 +18,7 @@ FILE = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(FILE)
 
 
 @pytest.fixture(scope="module")
@@ -28,17 +26,23 @@ def encoder():
     return WordEncoder(FILE, 2, 50)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(text=st.text(st.sampled_from("abstmrevldAÉéßñİΣσſK'’ \n\t.,!?;:12é́中ª²Ⅷ😀\x1c\x85\xa0"), max_size=30))
 def test_words_give_the_ids_of_the_whole_text(tokenizer, encoder, text):
     ids = np.frombuffer(encoder.encode([text.encode()])[0], encoder.dtype).tolist()
     assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
-def test_special_strings_are_ordinary_text(tokenizer, encoder):
-    text = "a <|endoftext|> b<|startoftext|>"
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a <|endoftext|> b<|startoftext|>", "<|ENDOFTEXT|> <|EndOfText|>", "x<|endoftext|>,", "<|endoftext|><|endoftext|>.", "<|Endoftext", "<| Ab |>",
+        "Ab<|startoftext|>Cd!?", "<|endoftext|>é,", "don't, won't! 12, 3.5; é! n'T. #, a#,! ª. 中, x́. Ａb",
+    ],
+)
+def test_special_strings_and_marks_are_as_the_plain_tokenizer_has_them(tokenizer, encoder, text):
     ids = np.frombuffer(encoder.encode([text.encode()])[0], encoder.dtype).tolist()
-    assert ids[:-1] == tokenizer.encode(text, add_special_tokens=False).ids and 49407 not in ids
+    assert ids[:-1] == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 40_000])
