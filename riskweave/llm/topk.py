@@ -12,32 +12,35 @@ from pyspark.sql.window import Window
 
 from riskweave.session import materialize
 
-# Components of a larger size could make scores that no long holds.
-LARGEST = 1 << 24
-
 # Float products and sums are exact below this.
 EXACT = 1 << 53
+# Scores are longs.
+HELD = 1 << 63
+
+# Chunks whose extents a chunk of queries meets at once.
+MEETING = 256
 
 FOUND = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``vec_id`` and ``v``, each component x as floor(scale * x).
+    """``vec_id`` and ``v``, each component x as floor(scale * x), longs.
 
-    Vectors that are null, have no id, or hold a component that is null, not
-    finite or of 2**24 and more after scaling take no part.
+    Vectors that are null, have no id, or hold a component that is null or not
+    finite take no part. Components that no long holds become the nearest one,
+    which ``top_k`` refuses.
     """
     x = F.col(vector_col).cast("array<double>")
-    fits = F.forall(x, lambda c: F.coalesce((F.abs(c * scale) < float(LARGEST)) & ~F.isnan(c), F.lit(False)))
+    fits = F.forall(x, lambda c: F.coalesce((F.abs(c) < float("inf")) & ~F.isnan(c), F.lit(False)))
     usable = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(fits, x).alias("x"))
     usable = usable.where("vec_id is not null and x is not null")
-    return usable.select("vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("int")).alias("v"))
+    return usable.select("vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
-def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
+def _matrix(column: pa.ListArray, width: int, kind: str) -> np.ndarray:
     """Rows of a list column, shorter ones filled up with zeros."""
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(lengths), width), np.int32)
+    out = np.zeros((len(lengths), width), kind)
     out[np.arange(width) < lengths[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
@@ -55,33 +58,53 @@ def _centres(sample: np.ndarray, n: int, rounds: int = 5) -> np.ndarray:
     return centres
 
 
-def _packed(rows: DataFrame, centres: np.ndarray, width: int, size: int, parts: int) -> DataFrame:
-    """Chunks of ``size`` vectors, alike ones together: ids and a matrix in bytes."""
+def _packed(rows: DataFrame, centres: np.ndarray, width: int, kind: str, size: int, parts: int) -> DataFrame:
+    """Chunks of ``size`` vectors, alike ones together: ids, a matrix in bytes, its highest and lowest values."""
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            centre = (_matrix(batch["v"], width) @ centres.T).argmax(axis=1).astype(np.int64) if batch.num_rows else []
+            centre = (_matrix(batch["v"], width, kind) @ centres.T).argmax(axis=1).astype(np.int64) if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(centre, pa.int64())], names=["vec_id", "v", "centre"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = np.zeros(0, np.int64), np.zeros((0, width), np.int32)
+        ids, matrix = np.zeros(0, np.int64), np.zeros((0, width), kind)
 
         def emit(n: int) -> pa.RecordBatch:
-            data = {"ids": [ids[:n].tobytes()], "matrix": [matrix[:n].tobytes()], "n": [n]}
+            extent = np.concatenate([matrix[:n].max(axis=0), matrix[:n].min(axis=0)])
+            data = {"ids": [ids[:n].tobytes()], "matrix": [matrix[:n].tobytes()], "extent": [extent.tobytes()], "n": [n]}
             return pa.RecordBatch.from_pydict(data)
 
         for batch in batches:
             ids = np.concatenate([ids, batch["vec_id"].to_numpy()])
-            matrix = np.concatenate([matrix, _matrix(batch["v"], width)])
+            matrix = np.concatenate([matrix, _matrix(batch["v"], width, kind)])
             while len(ids) >= size:
                 yield emit(size)
                 ids, matrix = ids[size:], matrix[size:]
         if len(ids):
             yield emit(len(ids))
 
-    placed = rows.mapInArrow(nearest, "vec_id long, v array<int>, centre long")
+    placed = rows.mapInArrow(nearest, "vec_id long, v array<long>, centre long")
     ordered = placed.repartitionByRange(parts, "centre", "vec_id").sortWithinPartitions("centre", "vec_id")
-    return ordered.mapInArrow(pack, "ids binary, matrix binary, n long")
+    return ordered.mapInArrow(pack, "ids binary, matrix binary, extent binary, n long")
+
+
+def _rounded(least: np.ndarray, kind: type) -> np.ndarray:
+    """Lower bounds in the type of the scores, so that comparing them is exact."""
+    if kind is np.float64:
+        return least
+    return np.array([-HELD if x < -HELD else min(int(np.floor(x)), HELD - 1) for x in least.tolist()], np.int64)
+
+
+def _bounds(queries: np.ndarray, highest: np.ndarray, lowest: np.ndarray) -> np.ndarray:
+    """For each query and block, the sum over terms of weight times the block's maximum."""
+    return np.maximum(queries, 0) @ highest.T + np.minimum(queries, 0) @ lowest.T
+
+
+def _numbered(chunks: DataFrame) -> DataFrame:
+    """Chunks with their number from 0; the frame is stored, so the numbers stay."""
+    stored = materialize(chunks.withColumn("id", F.monotonically_increasing_id()), "chunks")
+    numbers = stored.select("id", (F.row_number().over(Window.orderBy("id")) - 1).cast("long").alias("chunk"))
+    return stored.join(numbers, "id").drop("id")
 
 
 def search_chunk(
@@ -95,12 +118,12 @@ def search_chunk(
     the ``k``-th score so far (at first ``least``). Equal bounds are still taken,
     for ties go to the smaller id.
     """
-    wide = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[1]
+    wide = int(np.abs(queries).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * queries.shape[1]
     kind = np.float64 if wide < EXACT else np.int64
-    queries, vectors = queries.astype(kind), vectors.astype(kind)
+    queries, vectors, least = queries.astype(kind), vectors.astype(kind), _rounded(least, kind)
     starts = np.arange(0, len(vectors), block)
     highest, lowest = np.maximum.reduceat(vectors, starts), np.minimum.reduceat(vectors, starts)
-    bounds = np.maximum(queries, 0) @ highest.T + np.minimum(queries, 0) @ lowest.T
+    bounds = _bounds(queries, highest, lowest)
     for q, query_id, kth, bound in zip(queries, query_ids, least, bounds, strict=True):
         order = np.argsort(-bound, kind="stable")
         scores, found = np.zeros(0, kind), np.zeros(0, np.int64)
@@ -143,60 +166,84 @@ def top_k(
 
     Vectors are sorted along centres fitted to a sample (``sample_rows`` at
     most) and cut into blocks of ``block``; the sample's scores also give each
-    query a first lower bound of its ``k``-th score. Chunks of queries meet
-    chunks of blocks by an equality join on the chunk's number; a pair of chunks
-    is one row of work of bounded size and returns only scores that can still be
-    among the best.
+    query a first lower bound of its ``k``-th score. Which chunks of blocks a
+    chunk of queries needs is found from their highest and lowest values alone;
+    only those pairs are made, by equality joins on the chunks' numbers. A pair
+    is one row of work of bounded size and returns only scores that can still
+    be among the best.
+
+    Every finite vector takes part. If the largest component leads to scores
+    that no long holds (its square times the width is 2**63 or more), a
+    ``ValueError`` is raised.
     """
     spark = vectors.sparkSession
     stored = materialize(vectors.select("vec_id", "v"), "vectors")
-    sizes = stored.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
+    sizes = stored.agg(
+        F.count("*").alias("n"), F.max(F.size("v")).alias("width"),
+        F.max(F.array_max("v")).alias("high"), F.min(F.array_min("v")).alias("low"),
+    ).first()
     n, width = sizes["n"], max(1, sizes["width"] or 0)
+    largest = max(sizes["high"] or 0, -(sizes["low"] or 0))
+    if largest * largest * width >= HELD:
+        raise ValueError(f"components of {largest} in {width} dimensions make scores that no long holds")
+    kind = "<i4" if largest < 1 << 31 else "<i8"
+    # How far the float product of two vectors can be from their score.
+    error = 0.0 if largest * largest * width < EXACT else float(largest) ** 2 * width * width * 2.0**-52
     drawn = stored.where(F.shiftrightunsigned(F.xxhash64("vec_id"), 11) < min(1.0, 2.0 * sample_rows / max(1, n)) * float(1 << 53))
     picked = drawn.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample_rows).collect()
     sample_ids = np.array([r["vec_id"] for r in picked], np.int64)
-    sample = np.array([list(r["v"]) + [0] * (width - len(r["v"])) for r in picked], np.int32).reshape(len(picked), width)
+    sample = np.array([list(r["v"]) + [0] * (width - len(r["v"])) for r in picked], np.int64).reshape(len(picked), width)
     directions = _centres(sample.astype(np.float64), min(centres, max(1, len(sample)))) if len(sample) else np.zeros((1, width))
 
-    groups = _packed(stored, directions, width, chunk, 1 + n // (8 * chunk))
-    groups = materialize(groups.withColumn("id", F.monotonically_increasing_id()), "block_chunks")
-    numbers = groups.select("id", (F.row_number().over(Window.orderBy("id")) - 1).cast("long").alias("chunk"))
-    n_chunks = groups.count()
-    groups = groups.join(numbers, "id").select("chunk", "ids", "matrix", "n")
-
-    asked = stored.where(is_query).distinct()
-    asked = _packed(asked, directions, width, query_chunk, 1 + n // (8 * chunk))
+    parts = 1 + n // (8 * chunk)
+    groups = materialize(_numbered(_packed(stored, directions, width, kind, chunk, parts)), "block_chunks")
+    asked = _packed(stored.where(is_query).distinct(), directions, width, kind, query_chunk, parts)
 
     def threshold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Adds each query's k-th best score in the sample, a lower bound."""
         for batch in batches:
             least = []
             for ids, matrix in zip(batch["ids"].to_pylist(), batch["matrix"].to_pylist(), strict=True):
-                q = np.frombuffer(matrix, np.int32).reshape(-1, width).astype(np.float64)
+                q = np.frombuffer(matrix, kind).reshape(-1, width).astype(np.float64)
                 scores = q @ sample.T.astype(np.float64) if len(sample) else np.zeros((len(q), 0))
                 scores[np.frombuffer(ids, np.int64)[:, None] == sample_ids] = -np.inf
-                # A little below the float value, so that it bounds the exact one.
                 kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1] if len(sample) >= k else np.full(len(q), -np.inf)
-                least.append((kth - np.abs(kth) * 1e-9).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.binary())], names=["ids", "matrix", "n", "least"])
+                least.append((kth - error).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["ids"], batch["matrix"], pa.array(least, pa.binary())], names=["q_ids", "q", "least"])
 
-    asked = asked.mapInArrow(threshold, "ids binary, matrix binary, n long, least binary")
-    asked = asked.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q"), "least")
-    asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, n_chunks - 1)).cast("long"))))
+    asked = _numbered(asked.mapInArrow(threshold, "q_ids binary, q binary, least binary"))
+    asked = materialize(asked.withColumnRenamed("chunk", "q_chunk"), "query_chunks")
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs of chunks in which some query's bound reaches its lower bound."""
+        for batch in batches:
+            for q_chunk, q, least, chunks in zip(*(batch[c].to_pylist() for c in ("q_chunk", "q", "least", "chunks")), strict=True):
+                q = np.frombuffer(q, kind).reshape(-1, width).astype(np.float64)
+                extents = np.frombuffer(b"".join(c["extent"] for c in chunks), kind).reshape(-1, 2, width).astype(np.float64)
+                reached = _bounds(q, extents[:, 0], extents[:, 1]) + error >= np.frombuffer(least)[:, None]
+                kept = [c["chunk"] for c, r in zip(chunks, reached.any(axis=0), strict=True) if r]
+                yield pa.RecordBatch.from_pydict({"q_chunk": pa.array([q_chunk] * len(kept), pa.int64()), "chunk": pa.array(kept, pa.int64())})
+
+    # Chunks of queries meet the extents of MEETING chunks at once: two vectors of each, not its matrix.
+    block_of = F.floor(F.col("chunk") / MEETING)
+    extents = groups.groupBy(block_of.alias("meeting")).agg(F.collect_list(F.struct("chunk", "extent")).alias("chunks"))
+    meetings = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups.count() // MEETING).cast("long")))
+    meeting = asked.select("q_chunk", "q", "least", meetings.alias("meeting")).join(extents, "meeting")
+    pairs = materialize(meeting.select("q_chunk", "q", "least", "chunks").mapInArrow(needed, "q_chunk long, chunk long"), "chunk_pairs")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for q_ids, q, least, ids, matrix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = search_chunk(
-                    np.frombuffer(q, np.int32).reshape(-1, width), np.frombuffer(q_ids, np.int64), np.frombuffer(least),
-                    np.frombuffer(matrix, np.int32).reshape(-1, width), np.frombuffer(ids, np.int64), k, block,
+                    np.frombuffer(q, kind).reshape(-1, width), np.frombuffer(q_ids, np.int64), np.frombuffer(least),
+                    np.frombuffer(matrix, kind).reshape(-1, width), np.frombuffer(ids, np.int64), k, block,
                 )
                 found = list(found)
                 if found:
                     columns = [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
-    cells = asked.join(groups, "chunk").select("q_ids", "q", "least", "ids", "matrix")
+    cells = pairs.join(asked, "q_chunk").join(groups, "chunk").select("q_ids", "q", "least", "ids", "matrix")
     best = cells.mapInArrow(score, FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

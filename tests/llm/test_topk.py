@@ -16,7 +16,7 @@ def brute(rows, k):
     usable = [
         (i, [math.floor(64 * x) for x in v])
         for i, v in rows
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(64 * x) < 1 << 24 for x in v)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
     for i, q in {(i, tuple(v)) for i, v in usable if i % 5 == 0}:
         scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in usable if j != i)
@@ -41,11 +41,39 @@ def test_against_brute_force(spark, scale):
 
 def test_unusable_short_and_few_vectors(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 2.0]), (5, None), (10, [1.0, None]), (15, [nan, 1.0]), (20, [inf, 1.0]), (25, [1e300, 0.0])]
+    rows = [(0, [1.0, 2.0]), (5, None), (10, [1.0, None]), (15, [nan, 1.0]), (20, [inf, 1.0]), (25, [-inf, 0.0])]
     rows += [(None, [1.0, 1.0]), (30, [-0.01]), (31, []), (1, [0.5, -0.5, 7.0])]
     assert found(spark, rows, k=20) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("size", [1e6, 5e6])
+def test_large_components_take_part(spark, size):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=4) * (size if i % 3 else 1.0)).tolist()) for i in range(300)]
+    rows += [(500 + i, rows[7][1]) for i in range(25)]  # ties of large scores
+    assert found(spark, rows, k=6, block=8, chunk=32, query_chunk=16, sample_rows=40, centres=4) == brute(rows, 6)
+
+
+def test_scores_that_no_long_holds_are_refused(spark):
+    for x in (1e300, 1e9, -1e9):
+        with pytest.raises(ValueError):
+            found(spark, [(0, [x, 0.0]), (1, [1.0, 1.0])])
+
+
+def test_far_chunks_are_not_scored(spark, monkeypatch):
+    """Two heaps of vectors far from each other: the pairs of chunks across are dropped unscored."""
+    import riskweave.llm.topk as topk
+
+    kept = []
+    stored = topk.materialize
+    monkeypatch.setattr(topk, "materialize", lambda df, name: kept.append((name, stored(df, name))) or kept[-1][1])
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.array([5.0, 0.0] if i % 2 else [0.0, 5.0]) + rng.normal(size=2) * 0.01).tolist()) for i in range(640)]
+    assert found(spark, rows, k=5, block=8, chunk=64, query_chunk=32, sample_rows=200, centres=2) == brute(rows, 5)
+    frames = dict(kept)
+    assert 0 < frames["chunk_pairs"].count() <= 0.7 * frames["block_chunks"].count() * frames["query_chunks"].count()
+
+
 def test_empty_table_and_a_single_row(spark):
     assert found(spark, []) == set()
     assert found(spark, [(5, [1.0])]) == set()
