@@ -14,6 +14,9 @@ DIMENSIONS = ("bytes", "tokens", "rows")
 
 ROW_BYTES = 8
 
+# Copies of a row that one task numbers.
+BLOCK_ROWS = 100_000
+
 # How far a shard's bytes may be off their fair share for the sake of whole groups.
 SPREAD = 0.01
 
@@ -91,7 +94,7 @@ def pack_shards(
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         *digest(text, "t"),
     )
-    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "td2", "text_crc32")).withColumn("part", F.spark_partition_id())
+    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "td2", "text_crc32"))
     rows = materialize(rows, "sizes")
 
     sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
@@ -113,11 +116,8 @@ def pack_shards(
     heavy = rows.sparkSession.createDataFrame(
         [(r["td1"], r["td2"], int(n)) for r, n in zip(large, pieces, strict=True)], "td1 long, td2 long, pieces int"
     )
-    # Copies of a row are told apart by number, each part of the input counting its own.
     found = rows.join(F.broadcast(heavy), ["td1", "td2"], "left")
-    copy = F.row_number().over(Window.partitionBy("td1", "td2", "doc_id", "part").orderBy("row_hash"))
-    split = found.where("pieces > 1").withColumn("copy", copy)
-    split = split.withColumn("row_hash", F.xxhash64("row_hash", "part", "copy")).drop("copy")
+    split = _copies(found.where("pieces > 1"))
     items = found.where("pieces is null or pieces = 1").unionByName(split).select(
         "doc_id", "size", "tokens", "text_crc32", "row_hash",
         F.when(F.col("pieces").isNull(), F.pmod("td1", F.lit(n_bundles))).otherwise(F.col("td1")).alias("item"),
@@ -141,6 +141,22 @@ def pack_shards(
     return number_slots(placed, n_shards, int(whole["rows"]))
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """The rows, those that are equal told apart by a number in ``row_hash``.
+
+    Equal rows are counted, combined before the shuffle, and made again from
+    their count, blocks of them in tasks of their own. So the numbers do not
+    depend on how the input is dealt, and no task holds all copies of a row.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    blocks = counted.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BLOCK_ROWS).cast("long"))).alias("from")
+    )
+    numbers = F.sequence(F.col("from"), F.least("n", F.col("from") + BLOCK_ROWS) - 1)
+    each = blocks.repartition("row_hash", "from").withColumn("copy", F.explode(numbers))
+    return each.withColumn("row_hash", F.xxhash64("row_hash", "copy")).select(*rows.columns)
+
+
 def _sizes(rows: list) -> np.ndarray:
     return np.array([[r[d] for d in DIMENSIONS] for r in rows], dtype=np.float64).reshape(len(rows), len(DIMENSIONS))
 

@@ -52,8 +52,8 @@ def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = pack_shards(_table(spark, sf_dir, "documents"))
     return shards.select(
-        "doc_id", "size", "tokens", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "tokens",
     )
 
 
@@ -65,7 +65,7 @@ def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from riskweave.llm.packing import pack_shards, place
 from tests.llm.conftest import documents
@@ -79,3 +80,23 @@ def test_copies_under_null_and_equal_ids_are_split(spark):
         count = np.bincount([r.shard for r in rows], minlength=6)
         assert count.sum() == 900 and count.max() - count.min() < 30
         assert len({(r.shard, r.slot) for r in rows}) == 900
+
+
+def test_the_input_s_partitions_do_not_matter(spark):
+    """A group above a shard, its copies under own, equal and null ids; the same rows dealt anew."""
+    texts = ["the hot text"] * 500 + [f"other text {i} " * (1 + i % 9) for i in range(700)]
+    ids = [*range(200), *[7] * 150, *[None] * 150, *range(1000, 1700)]
+    docs = documents(spark, texts, ids=ids)
+    results = []
+    for dealt in (docs.coalesce(1), docs.repartition(7), docs.orderBy("text", "k")):
+        results.append(sorted(tuple(r) for r in pack_shards(dealt, n_shards=6).select("size", "text_crc32", "shard", "slot", F.coalesce("doc_id", F.lit(-1))).collect()))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 1200
+
+
+def test_blocks_of_copies(spark, monkeypatch):
+    import riskweave.llm.packing as packing
+
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 7)
+    rows = spark.createDataFrame([(1, 5)] * 20 + [(2, 6)] * 7 + [(3, 8)], "doc_id long, row_hash long")
+    made = packing._copies(rows).collect()
+    assert sorted(r.doc_id for r in made) == [1] * 20 + [2] * 7 + [3] and len({r.row_hash for r in made}) == 28
