@@ -16,7 +16,7 @@ from riskweave.operators.rules import apply_rules
 from riskweave.plans import training
 from riskweave.plans.warehouse import Warehouse
 from riskweave.sources import alerts_store
-from riskweave.sources.tables import load_marts, read_sources, stored_tables, write_mart
+from riskweave.sources.tables import load_marts, publish_marts, read_sources, stored_tables
 
 # The databases the layers are published in.
 STAGING, CORE = "staging", "dwh"
@@ -46,16 +46,17 @@ def check_warehouse(warehouse: Warehouse, stored: Warehouse | None = None) -> Da
 def build_marts(
     spark: SparkSession, source_root: str, mart_root: str, run_ts, as_of, gate: bool = False
 ) -> Warehouse:
-    """Read the sources and write both marts; with ``gate`` only if all checks pass.
+    """Read the sources and publish both marts; with ``gate`` only if all checks pass.
 
     From source to mart this is one plan per mart: nothing in between is stored.
+    Readers see both old marts until both new ones are whole.
     """
     warehouse = Warehouse(read_sources(spark, source_root), run_ts, as_of)
     if gate:
         stored = Warehouse(stored_tables(spark, source_root), run_ts, as_of)
         require_passed(check_warehouse(warehouse, stored))
-    for name in ("v_transaction", "v_login_attempt"):
-        write_mart(getattr(warehouse, name), mart_root, name)
+    names = ("v_transaction", "v_login_attempt")
+    publish_marts(spark, {name: getattr(warehouse, name) for name in names}, mart_root)
     return warehouse
 
 

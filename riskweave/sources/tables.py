@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.schemas import MARTS, PARTITION_COLUMN, SOURCES
+from riskweave.sources.versions import Versions, publish, published
+
+# The folder of marts that are published together.
+TOGETHER = "marts"
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -113,18 +117,37 @@ def write_source(df: DataFrame, root: str, name: str) -> str:
 
 
 def write_mart(df: DataFrame, root: str, name: str) -> str:
+    """Publish a mart as its next version; returns the folder of all versions.
+
+    Readers see the version before until this one is whole, also if the write
+    fails; the version before stays for those that have begun to read it.
+    """
     path = f"{root.rstrip('/')}/{name}.parquet"
-    df.write.mode("overwrite").parquet(path)
+    publish(df.sparkSession, path, df.write.parquet)
     return path
 
 
+def publish_marts(spark: SparkSession, marts: Mapping[str, DataFrame], root: str) -> int:
+    """Publish several marts together: all of them are whole before any of them is seen."""
+
+    def write(folder: str) -> None:
+        for name, df in marts.items():
+            df.write.parquet(f"{folder}/{name}.parquet")
+
+    return publish(spark, f"{root.rstrip('/')}/{TOGETHER}", write)
+
+
+def _mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    together = f"{root}/{TOGETHER}"
+    if Versions(spark, together).current() is not None:
+        return spark.read.schema(MARTS[name]).parquet(f"{published(spark, together)}/{name}.parquet")
+    return spark.read.schema(MARTS[name]).parquet(published(spark, f"{root}/{name}.parquet"))
+
+
 def load_marts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """Both marts as written by ``write_mart``: transactions, then logins."""
+    """Both marts as last published, together or one by one: transactions, then logins."""
     root = root.rstrip("/")
-    return tuple(
-        spark.read.schema(MARTS[name]).parquet(f"{root}/{name}.parquet")
-        for name in ("v_transaction", "v_login_attempt")
-    )
+    return tuple(_mart(spark, root, name) for name in ("v_transaction", "v_login_attempt"))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -316,3 +316,41 @@ def test_alerts_without_a_time_are_found_again(spark, tmp_path):
     assert S.read_alerts_folder(spark, path).count() == 1
     S.append_alerts(timeless.where("false"), path, now(), only_new=True)
     assert S.read_alerts_folder(spark, path).count() == 1
+
+
+def mart_rows(spark, n):
+    empty = spark.createDataFrame([], tables.MARTS["v_login_attempt"])
+    filled = spark.createDataFrame([(i,) for i in range(n)], "customer_id bigint")
+    return empty.unionByName(filled, allowMissingColumns=True)
+
+
+def failing(df):
+    """The same rows, but computing them fails after some were written."""
+    return df.withColumn("customer_id", F.expr("if(customer_id = 3, cast(raise_error('lost') as bigint), customer_id)"))
+
+
+def test_readers_keep_the_old_mart_during_and_after_a_failed_write(spark, tmp_path):
+    root = str(tmp_path)
+    marts = {"v_transaction": spark.createDataFrame([], tables.MARTS["v_transaction"]), "v_login_attempt": mart_rows(spark, 3)}
+    assert tables.publish_marts(spark, marts, root) == 0
+    before = tables.load_marts(spark, root)[1]
+    assert before.count() == 3
+    with pytest.raises(Exception, match="lost"):
+        tables.publish_marts(spark, {**marts, "v_login_attempt": failing(mart_rows(spark, 5))}, root)
+    assert tables.load_marts(spark, root)[1].count() == 3 and before.count() == 3
+    assert tables.publish_marts(spark, {**marts, "v_login_attempt": mart_rows(spark, 5)}, root) == 1
+    # A reader that had begun on the version before finishes; a new one sees the new version.
+    assert before.count() == 3 and tables.load_marts(spark, root)[1].count() == 5
+    tables.publish_marts(spark, {**marts, "v_login_attempt": mart_rows(spark, 6)}, root)
+    assert sorted(p.name for p in (tmp_path / tables.TOGETHER).iterdir()) == ["_versions", "version=1", "version=2"]
+
+
+def test_a_mart_published_alone_keeps_its_last_version_when_a_write_fails(spark, tmp_path):
+    root = str(tmp_path)
+    tables.write_mart(spark.createDataFrame([], tables.MARTS["v_transaction"]), root, "v_transaction")
+    tables.write_mart(mart_rows(spark, 2), root, "v_login_attempt")
+    with pytest.raises(Exception, match="lost"):
+        tables.write_mart(failing(mart_rows(spark, 5)), root, "v_login_attempt")
+    assert tables.load_marts(spark, root)[1].count() == 2
+    tables.write_mart(mart_rows(spark, 4), root, "v_login_attempt")
+    assert tables.load_marts(spark, root)[1].count() == 4
