@@ -26,6 +26,9 @@ def parser() -> argparse.ArgumentParser:
     build = job("build", "source_root", "mart_root")
     build.add_argument("--as-of", help="day account ages refer to (default: the run's)")
     build.add_argument("--gate", action="store_true", help="stop if a quality check fails")
+    build.add_argument(
+        "--most-skew", type=int, metavar="SECONDS", help="stop if the sources' files lie further apart"
+    )
     build.add_argument("--publish", action="store_true", help="also store the inner layers")
     job("train", "mart_root", "model_path")
     score = job("score", "mart_root", "alerts_path")
@@ -51,7 +54,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "build":
         as_of = args.as_of or args.run_ts[:10]
         warehouse = jobs.build_marts(
-            spark, args.source_root, args.mart_root, args.run_ts, as_of, args.gate
+            spark, args.source_root, args.mart_root, args.run_ts, as_of, args.gate, args.most_skew
         )
         if args.publish:
             jobs.publish_layers(spark, warehouse)

@@ -258,16 +258,28 @@ def category_risk_consistency(merchants: DataFrame) -> DataFrame:
 
 def ingestion_skew(models: Mapping[str, DataFrame], tolerance_seconds: int = 10) -> DataFrame:
     """Latest load time per model, and how far the models lie apart."""
-    loads = reduce(
+    return _apart({name: (df, F.col("ingestion_date")) for name, df in models.items()}, tolerance_seconds)
+
+
+def file_load_skew(tables: Mapping[str, DataFrame], tolerance_seconds: int = 10) -> DataFrame:
+    """The same by the times at which the tables' files were stored, as the file system has them.
+
+    ``tables`` are frames that read files directly. No column of theirs is read.
+    A table's latest file counts; one without rows tells nothing.
+    """
+    stored = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    return _apart({name: (df, stored) for name, df in tables.items()}, tolerance_seconds)
+
+
+def _apart(loads: Mapping[str, tuple[DataFrame, Column]], tolerance_seconds: int) -> DataFrame:
+    latest = reduce(
         DataFrame.unionByName,
         [
-            df.agg(F.max("ingestion_date").alias("latest_load")).select(
-                F.lit(name).alias("model"), "latest_load"
-            )
-            for name, df in models.items()
+            df.agg(F.max(loaded).alias("latest_load")).select(F.lit(name).alias("model"), "latest_load")
+            for name, (df, loaded) in loads.items()
         ],
     )
-    apart = loads.agg(
+    apart = latest.agg(
         F.min("latest_load").alias("first_load"), F.max("latest_load").alias("last_load")
     )
     seconds = F.timestamp_diff("SECOND", F.col("first_load"), F.col("last_load"))
@@ -279,6 +291,13 @@ def ingestion_skew(models: Mapping[str, DataFrame], tolerance_seconds: int = 10)
     )
 
 
+def require_loaded_together(tables: Mapping[str, DataFrame], tolerance_seconds: int) -> None:
+    """Raise if some table's files are older than another's by the tolerance or more."""
+    found = file_load_skew(tables, tolerance_seconds).first()
+    if found.failing_rows:
+        raise QualityError(f"the tables were loaded {found.skew_seconds} seconds apart")
+
+
 def column_profile(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Minimum, maximum, distinct values and nulls per column.
 

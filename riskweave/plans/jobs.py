@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from riskweave.operators import alerts as A
 from riskweave.operators.features import enrich_for_rules, enrich_transactions
 from riskweave.operators.layers import run_timestamp
-from riskweave.operators.quality import CHECKS, require_passed, run_checks
+from riskweave.operators.quality import (
+    CHECKS,
+    require_loaded_together,
+    require_passed,
+    run_checks,
+)
 from riskweave.operators.rules import apply_rules
 from riskweave.plans import training
 from riskweave.plans.warehouse import Warehouse
@@ -44,13 +49,22 @@ def check_warehouse(warehouse: Warehouse, stored: Warehouse | None = None) -> Da
 
 
 def build_marts(
-    spark: SparkSession, source_root: str, mart_root: str, run_ts, as_of, gate: bool = False
+    spark: SparkSession,
+    source_root: str,
+    mart_root: str,
+    run_ts,
+    as_of,
+    gate: bool = False,
+    most_skew: int | None = None,
 ) -> Warehouse:
     """Read the sources and publish both marts; with ``gate`` only if all checks pass.
 
     From source to mart this is one plan per mart: nothing in between is stored.
-    Readers see both old marts until both new ones are whole.
+    Readers see both old marts until both new ones are whole. ``most_skew`` is
+    how many seconds the sources' files may lie apart, if that matters.
     """
+    if most_skew is not None:
+        require_loaded_together(read_sources(spark, source_root), most_skew)
     warehouse = Warehouse(read_sources(spark, source_root), run_ts, as_of)
     if gate:
         stored = Warehouse(stored_tables(spark, source_root), run_ts, as_of)

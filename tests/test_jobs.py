@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import time
+from pathlib import Path
+
 import pytest
 
 from riskweave import __main__ as command
-from riskweave.operators.quality import QualityError
+from riskweave.operators.quality import QualityError, file_load_skew
 from riskweave.plans import jobs
 from riskweave.sources.alerts_store import read_alerts_folder
 from riskweave.sources.provided import provided_sources
@@ -107,3 +111,23 @@ def test_command_line(spark, root, warehouse, capsys):
     command.main(["--run-ts", RUN_TS, "score", f"{root}/marts", f"{root}/cli_alerts"])
     command.main(["report", f"{root}/cli_alerts", "--top", "3"])
     assert "total_risk_score" in capsys.readouterr().out
+
+
+def test_a_stale_source_stops_the_load(spark, tmp_path):
+    sources = f"{tmp_path}/sources"
+    for name, df in provided_sources(spark, f"{DATA}/sf0.001").items():
+        write_source(df.na.drop(), sources, name)
+    tables = read_sources(spark, sources)
+    assert file_load_skew(tables, 3600).first().failing_rows == 0
+    day_before = time.time() - 86_400
+    for file in Path(sources, "merchants").rglob("*.parquet"):
+        os.utime(file, (day_before, day_before))
+    found = file_load_skew(read_sources(spark, sources), 3600).first()
+    assert found.failing_rows == 1 and 86_000 < found.skew_seconds < 90_000
+    with pytest.raises(QualityError, match="apart"):
+        jobs.build_marts(spark, sources, f"{tmp_path}/marts", RUN_TS, AS_OF, most_skew=3600)
+    jobs.build_marts(spark, sources, f"{tmp_path}/marts", RUN_TS, AS_OF, most_skew=100_000)
+    assert load_marts(spark, f"{tmp_path}/marts")[0].count() > 0
+    # Nothing but the file's time is read.
+    plan = file_load_skew(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
