@@ -1,8 +1,8 @@
 """Substring deduplication by hashing lines whose ends the words themselves choose.
 
 Passages that documents share seldom begin and end with a line of the text. So
-the text is first broken into lines anew: a line ends after every word that,
-with the word before it, hashes below a bound. Equal passages break at equal
+the text is first broken into lines anew: a line ends after every word whose
+hash and that of the word before it fulfil a condition. Equal passages break at equal
 words wherever they stand, so all lines but those at their ends are equal.
 """
 
@@ -24,49 +24,55 @@ from riskweave.llm.text import WORD, digest, keyed, same_document, slices
 from riskweave.session import materialize
 
 WORDS = re.compile(WORD)
-# A line ends where the first hexadecimal digit is one of these: after 8 words on average.
-ENDS = ("0", "1")
+# Texts that are broken at once, and words whose hashes are kept.
+AT_ONCE = 1 << 20
+KNOWN = 200_000
 
+# A line ends after a word if this many times the hash of the word before it,
+# plus its own, is a multiple of EVERY: after 8 words on average.
+FACTOR = 3
+EVERY = 8
 
-def ends_line(before: str, word: str) -> bool:
-    """Whether a line ends after ``word``; both words are in lower case, nothing stands before the first."""
-    return hashlib.md5(f"{before} {word}".encode(), usedforsecurity=False).hexdigest()[0] in ENDS
 
+def word_hash(word: str) -> int:
+    """28 bits of the word's MD5, which SQL has too."""
+    return int(hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()[:7], 16)
 
-def break_lines(words: list[str], known: dict[tuple[str, str], bool]) -> list[int]:
-    """Numbers of the words behind each line; ``known`` keeps what pairs of words gave."""
-    ends, before = [], ""
-    for i, word in enumerate(words, 1):
-        pair = (before, word)
-        end = known.get(pair)
-        if end is None:
-            end = known[pair] = ends_line(before, word)
-        if end:
-            ends.append(i)
-        before = word
-    if words and (not ends or ends[-1] < len(words)):
-        ends.append(len(words))
-    return ends
+
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN:
+            self.clear()
+        self[word] = value = word_hash(word)
+        return value
+
+
+def break_lines(words: list[str], hashes: _Hashes) -> np.ndarray:
+    """Numbers of the words behind each line; before the first word stands the empty one."""
+    if not words:
+        return np.zeros(0, np.int64)
+    own = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words))
+    before = np.concatenate(([hashes[""]], own[:-1]))
+    ends = np.flatnonzero((FACTOR * before + own) % EVERY == 0) + 1
+    return ends if len(ends) and ends[-1] == len(words) else np.append(ends, len(words))
 
 
 def _broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its lines: two halves of a digest, number of the first word, words."""
-    for batch in slices(batches, "text"):
-        known: dict[tuple[str, str], bool] = {}
+    hashes = _Hashes()
+    for batch in slices(batches, "text", AT_ONCE):
         counts, firsts, sizes, digests = [], [], [], []
         for text in batch["text"].to_pylist():
             words = WORDS.findall((text or "").lower())
-            ends = break_lines(words, known)
+            ends = break_lines(words, hashes)
+            starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
             counts.append(len(ends))
-            first = 0
-            for end in ends:
-                line = " ".join(words[first:end]).encode()
-                digests.append(hashlib.blake2b(line, digest_size=16).digest())
-                firsts.append(first)
-                sizes.append(end - first)
-                first = end
+            firsts.append(starts)
+            sizes.append(ends - starts)
+            for first, end in zip(starts.tolist(), ends.tolist(), strict=True):
+                digests.append(hashlib.blake2b(" ".join(words[first:end]).encode(), digest_size=16).digest())
         halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        columns = [halves[:, 0].copy(), halves[:, 1].copy(), np.array(firsts, np.int32), np.array(sizes, np.int32)]
+        columns = [halves[:, 0].copy(), halves[:, 1].copy(), *(np.concatenate(x).astype(np.int32) for x in (firsts, sizes))]
         lines = pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["ud1", "ud2", "first", "words"])
         offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
         keys = [batch["doc_id"], batch["td1"], batch["td2"]]
@@ -142,7 +148,7 @@ def dedup_passages(
     cut = carried.alias("s").join(about.alias("c"), same_document("s", "c"), "left").select("s.*", "c.n_units", "c.again")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", AT_ONCE):
             texts, again = batch["text"].to_pylist(), batch["again"].to_pylist()
             done = zip(*(cut_runs(t, a or (), min_words) for t, a in zip(texts, again, strict=True)), strict=True)
             columns = [pa.array(x, kind) for x, kind in zip(done, ADDED.values(), strict=True)]

@@ -176,8 +176,10 @@ WITH tokens AS (
   SELECT doc_id, i, token, lower(regexp_extract(token, '[^\x20\x09-\x0D]+')) AS w,
     CAST(lead + coalesce(sum(length(token)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM tokens
+), hashed AS (
+  SELECT *, CAST('0x' || left(md5(w), 7) AS BIGINT) AS h, CAST('0x' || left(md5(''), 7) AS BIGINT) AS none FROM words
 ), marked AS (
-  SELECT *, left(md5(coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), '') || ' ' || w), 1) IN ('0', '1') AS ends FROM words
+  SELECT *, (3 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), none) + h) % 8 = 0 AS ends FROM hashed
 ), numbered AS (
   SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
   FROM marked
