@@ -30,7 +30,11 @@ def parser() -> argparse.ArgumentParser:
         "--most-skew", type=int, metavar="SECONDS", help="stop if the sources' files lie further apart"
     )
     build.add_argument("--publish", action="store_true", help="also store the inner layers")
-    job("train", "mart_root", "model_path")
+    train = job("train", "mart_root", "model_path")
+    train.add_argument(
+        "--choose-threshold", action="store_true", help="predict from the score of highest F1"
+    )
+    train.add_argument("--least-recall", type=float, default=0.0, help="what that score must reach")
     score = job("score", "mart_root", "alerts_path")
     score.add_argument("--model", help="stored model; the rules are used without one")
     score.add_argument("--append-all", action="store_true", help="repeat stored alerts")
@@ -59,7 +63,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.publish:
             jobs.publish_layers(spark, warehouse)
     elif args.job == "train":
-        jobs.train_model(spark, args.mart_root, args.model_path).show()
+        jobs.train_model(
+            spark, args.mart_root, args.model_path, args.choose_threshold, args.least_recall
+        ).show()
     elif args.job == "score":
         jobs.score_marts(
             spark,

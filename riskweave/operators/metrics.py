@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,3 +53,40 @@ def binary_metrics(
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
     )
+
+
+def metrics_by_flag(
+    predictions: DataFrame,
+    flags: Sequence[str],
+    fired: str = "flags",
+    label: str = "label",
+    prediction: str = "prediction",
+) -> DataFrame:
+    """Per flag, the confusion counts and recall of the rows that carry it.
+
+    Shows which rule's positives a model misses. ``fired`` lists a row's flags,
+    separated by commas; a row counts for each of them once. One pass, with a
+    row per flag even where no row carries it.
+    """
+    listed = F.split(F.col(fired), ",")
+    actual, predicted = F.col(label) == 1, F.col(prediction) == 1
+    cells = {
+        "tp": actual & predicted,
+        "fp": ~actual & predicted,
+        "fn": actual & ~predicted,
+        "tn": ~actual & ~predicted,
+    }
+    counts = predictions.agg(
+        *[
+            F.struct(
+                *[
+                    F.count_if(F.array_contains(listed, flag) & cell).alias(name)
+                    for name, cell in cells.items()
+                ]
+            ).alias(f"_{i}")
+            for i, flag in enumerate(flags)
+        ]
+    )
+    entries = [F.struct(F.lit(flag).alias("flag"), f"_{i}.*") for i, flag in enumerate(flags)]
+    rows = counts.select(F.inline(F.array(*entries)))
+    return rows.select("*", _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))

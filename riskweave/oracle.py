@@ -409,6 +409,67 @@ def _forest_eval() -> str:
     )
 
 
+def _curve(rows: str) -> str:
+    """Confusion counts at every distinct score of ``rows`` (score, label)."""
+    return f"""
+        SELECT threshold, tp, predicted - tp AS fp, positives - tp AS fn,
+               n - positives - predicted + tp AS tn, tp / predicted AS precision,
+               CASE WHEN positives > 0 THEN tp / positives ELSE 0 END AS recall,
+               2 * tp / (predicted + positives) AS f1
+        FROM (SELECT threshold, (sum(p) OVER (ORDER BY threshold DESC))::BIGINT AS tp,
+                     (sum(m) OVER (ORDER BY threshold DESC))::BIGINT AS predicted
+              FROM (SELECT score AS threshold, count(*) FILTER (label = 1) AS p, count(*) AS m
+                    FROM {rows} WHERE score IS NOT NULL GROUP BY score)),
+             (SELECT count(*) AS n, count(*) FILTER (label = 1) AS positives FROM {rows})"""
+
+
+_OUTLIERS = "SELECT transaction_id, abs(amount_zscore) AS score, label FROM scored"
+
+_THRESHOLD_EVAL = f"""
+    SELECT threshold, tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy,
+           CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
+           CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
+           CASE WHEN tp + fp + fn > 0 THEN round(2 * tp / (2 * tp + fp + fn), 9) ELSE 0 END AS f1
+    FROM (
+      WITH outliers AS ({_OUTLIERS}),
+      dealt AS (SELECT o.*, s.split FROM outliers o
+                JOIN split s ON s.transaction_id = o.transaction_id),
+      train AS (SELECT * FROM dealt WHERE split = 'train'),
+      chosen AS (SELECT threshold FROM ({_curve("train")}) ORDER BY f1 DESC, threshold DESC LIMIT 1)
+      SELECT any_value(threshold) AS threshold,
+             count(*) FILTER (label = 1 AND ifnull(score >= threshold, false)) AS tp,
+             count(*) FILTER (label = 0 AND ifnull(score >= threshold, false)) AS fp,
+             count(*) FILTER (label = 1 AND NOT ifnull(score >= threshold, false)) AS fn,
+             count(*) FILTER (label = 0 AND NOT ifnull(score >= threshold, false)) AS tn
+      FROM dealt, chosen WHERE split = 'test')"""
+
+
+def _metrics_by_flag() -> str:
+    """Confusion counts of the risk flag among the rows of each rule."""
+    flags = (
+        "FAILED_LOGIN",
+        "GEO_MISMATCH",
+        "HIGH_RISK_MERCHANT",
+        "CUSTOMER_RISK",
+        "PAST_FRAUD",
+        "ODD_HOURS",
+        "WEEKEND_LOGIN",
+        "NIGHT_LOGIN",
+        "AMOUNT_OUTLIER",
+    )
+    counts = "\nUNION ALL\n".join(
+        f"""SELECT '{flag}' AS flag,
+                   count(*) FILTER (label = 1 AND has_elevated_fraud_risk) AS tp,
+                   count(*) FILTER (label = 0 AND has_elevated_fraud_risk) AS fp,
+                   count(*) FILTER (label = 1 AND NOT has_elevated_fraud_risk) AS fn,
+                   count(*) FILTER (label = 0 AND NOT has_elevated_fraud_risk) AS tn
+            FROM scored WHERE f{number}"""
+        for number, flag in enumerate(flags, 1)
+    )
+    return f"""SELECT *, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall
+               FROM ({counts})"""
+
+
 _RULE_SCORES = _select(
     """SELECT transaction_id, customer_id, transaction_timestamp, failed_logins_24h,
               geo_mismatch, odd_hours, weekend_login, night_login, amount_zscore,
@@ -473,6 +534,22 @@ ORACLE_SQL: dict[str, str] = {
     "alerts_catalog_append": _select(_ALERTS_OVER_SNAPSHOTS),
     "rf_baseline_eval": _forest_eval(),
     "rf_balanced_eval": _forest_eval(),
+    "rf_threshold_eval": _select(
+        """SELECT count(*) FILTER (label = 1) AS test_positives,
+                  count(*) FILTER (label = 0) AS test_negatives,
+                  true AS accuracy_from_97, true AS precision_from_90, true AS recall_from_85
+           FROM split WHERE split = 'test'"""
+    ),
+    "forest_nodes_check": """SELECT 'baseline' AS trial, 100::BIGINT AS trees, 10::BIGINT AS features,
+               0::BIGINT AS differing, 1e0 AS total_importance
+        UNION ALL SELECT 'refined', 100, 9, 0, 1e0""",
+    "metrics_by_flag": _select(_metrics_by_flag()),
+    "precision_recall_curve": _select(
+        f"""SELECT * REPLACE (round(precision, 9) AS precision, round(recall, 9) AS recall,
+                              round(f1, 9) AS f1)
+            FROM (WITH outliers AS ({_OUTLIERS}) {_curve("outliers")})"""
+    ),
+    "threshold_eval": _select(_THRESHOLD_EVAL),
     "model_alerts_check": _select(
         """SELECT count(*) FILTER (label = 1) AS rule_positives, 0::BIGINT AS alerts_without_row,
                   0::BIGINT AS other_scores, true AS recall_from_90 FROM scored"""

@@ -87,11 +87,23 @@ def publish_layers(spark: SparkSession, warehouse: Warehouse) -> None:
             getattr(warehouse, name).write.mode("overwrite").saveAsTable(f"{database}.{name}")
 
 
-def train_model(spark: SparkSession, mart_root: str, model_path: str) -> DataFrame:
-    """Train on the marts with the rules as labels, store the model, return its metrics."""
+def train_model(
+    spark: SparkSession,
+    mart_root: str,
+    model_path: str,
+    choose_threshold: bool = False,
+    least_recall: float = 0.0,
+) -> DataFrame:
+    """Train on the marts with the rules as labels, store the model, return its metrics.
+
+    With ``choose_threshold`` the score from which the stored model predicts is
+    the one of highest F1 on the training split, with at least ``least_recall``.
+    """
     scored = apply_rules(enrich_for_rules(*load_marts(spark, mart_root)))
     data = training.training_set(scored)
     forest = training.train_refined(data)
+    if choose_threshold:
+        forest = training.with_chosen_threshold(forest, data, least_recall)
     training.save_forest(forest, model_path)
     return training.evaluate(forest, data)
 

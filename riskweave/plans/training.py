@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import as_flag, risk_level_code
 from riskweave.operators.alerts import model_alerts
+from riskweave.operators.curve import best_threshold, precision_recall_curve, predicted_from
 from riskweave.operators.metrics import binary_metrics, with_class_weight
 from riskweave.operators.sampling import stratified_split
 from riskweave.session import materialize
@@ -74,11 +76,20 @@ def _without_gaps(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class TrainedForest:
+    """``threshold`` is the score from which a row is predicted; without one the trees' vote decides."""
+
     model: PipelineModel
     features: tuple[str, ...]
+    threshold: float | None = None
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Add the trees' vote and ``score``, the probability of class 1."""
+        voted = self.model.transform(_without_gaps(df, self.features))
+        return voted.withColumn("score", vector_to_array("probability")[1])
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_without_gaps(df, self.features))
+        scored = self.score(df)
+        return scored if self.threshold is None else predicted_from(scored, self.threshold)
 
     def importances(self) -> list[tuple[str, float]]:
         """Features by importance, highest first."""
@@ -121,12 +132,36 @@ def evaluate(forest: TrainedForest, data: DataFrame) -> DataFrame:
     return binary_metrics(forest.predict(data.where("split = 'test'")))
 
 
+def with_chosen_threshold(
+    forest: TrainedForest, data: DataFrame, least_recall: float = 0.0
+) -> TrainedForest:
+    """The forest with the threshold of highest F1 on the training split.
+
+    ``least_recall`` is what the threshold has to reach there. The test split is
+    not looked at. Without a row to choose from the forest stays as it is.
+    """
+    scored = forest.score(data.where("split = 'train'"))
+    chosen = best_threshold(precision_recall_curve(scored), least_recall)
+    return replace(forest, threshold=chosen)
+
+
 def save_forest(forest: TrainedForest, path: str) -> None:
+    """Store the model, and its threshold beside it."""
     forest.model.write().overwrite().save(path)
+    spark = SparkSession.active()
+    threshold = spark.createDataFrame([(forest.threshold,)], "threshold double")
+    threshold.coalesce(1).write.mode("overwrite").parquet(f"{path}/threshold")
 
 
 def load_forest(path: str, features: Sequence[str] = SERVING_FEATURES) -> TrainedForest:
-    return TrainedForest(PipelineModel.load(path), tuple(features))
+    """A stored model; one that was stored without a threshold has none."""
+    model = PipelineModel.load(path)
+    spark = SparkSession.active()
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/threshold")
+    if not beside.getFileSystem(spark._jsc.hadoopConfiguration()).exists(beside):
+        return TrainedForest(model, tuple(features))
+    stored = spark.read.schema("threshold double").parquet(f"{path}/threshold").first()
+    return TrainedForest(model, tuple(features), stored.threshold)
 
 
 def score_transactions(enriched: DataFrame, forest: TrainedForest) -> DataFrame:

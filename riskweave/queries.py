@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import alerts as A
-from riskweave.operators import dims, facts, features, layers, marts, metrics
+from riskweave.operators import curve, dims, facts, features, layers, marts, metrics
 from riskweave.operators import quality as Q
-from riskweave.operators.rules import apply_rules
+from riskweave.operators.rules import RULES, apply_rules
 from riskweave.operators.sampling import stratified_split
-from riskweave.plans import training
+from riskweave.plans import forest_table, training
 from riskweave.plans.warehouse import Warehouse
 from riskweave.session import configure, materialize, scratch_path
 from riskweave.sources import alerts_store, tables
@@ -418,18 +418,54 @@ def binary_metrics(spark, folder):
     return rounded(result, 9, "accuracy", "precision", "recall", "f1")
 
 
+@query
+def metrics_by_flag(spark, folder):
+    """The same for the rows of each rule."""
+    scored = warehouse(spark, folder).scored_transactions
+    flagged = scored.withColumn("prediction", F.col("has_elevated_fraud_risk").cast("int"))
+    return rounded(metrics.metrics_by_flag(flagged, [r.flag for r in RULES]), 9, "recall")
+
+
+def _outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """How far a transaction's amount lies off the customer's mean, as a score of the rule label."""
+    scored = warehouse(spark, folder).scored_transactions
+    far = F.abs(F.round("amount_zscore", 6)).alias("score")
+    return materialize(scored.select("transaction_id", far, "label"), "outliers")
+
+
+@query
+def precision_recall_curve(spark, folder):
+    found = curve.precision_recall_curve(_outliers(spark, folder))
+    return rounded(found, 9, "precision", "recall", "f1")
+
+
+@query
+def threshold_eval(spark, folder):
+    """The outlier score's best threshold on the training split, and what it does to the test split."""
+    data = _outliers(spark, folder)
+    split = materialize(
+        stratified_split(data.select("transaction_id", "label")).drop("label"), "split"
+    )
+    data = materialize(data.join(split, "transaction_id"), "split_outliers")
+    chosen = curve.best_threshold(curve.precision_recall_curve(data.where("split = 'train'")))
+    predicted = curve.predicted_from(data.where("split = 'test'"), chosen)
+    result = metrics.binary_metrics(predicted).select(
+        F.lit(chosen).cast("double").alias("threshold"), "*"
+    )
+    return rounded(result, 9, "accuracy", "precision", "recall", "f1")
+
+
 def _training_set(spark: SparkSession, folder: str) -> DataFrame:
     return training.training_set(warehouse(spark, folder).scored_transactions)
 
 
-def _forest_eval(data: DataFrame, forest: training.TrainedForest) -> DataFrame:
+def _forest_eval(data: DataFrame, forest: training.TrainedForest, **percent: int) -> DataFrame:
     """Test rows by label, and whether the forest meets the quality bounds."""
+    percent = percent or {"accuracy": 90, "precision": 70, "recall": 70}
     return training.evaluate(forest, data).select(
         (F.col("tp") + F.col("fn")).alias("test_positives"),
         (F.col("fp") + F.col("tn")).alias("test_negatives"),
-        (F.col("accuracy") >= 0.9).alias("accuracy_from_90"),
-        (F.col("precision") >= 0.7).alias("precision_from_70"),
-        (F.col("recall") >= 0.7).alias("recall_from_70"),
+        *[(F.col(m) >= least / 100).alias(f"{m}_from_{least}") for m, least in percent.items()],
     )
 
 
@@ -456,6 +492,40 @@ def feature_importances(spark, folder):
     return frames[0].unionByName(frames[1]).orderBy("trial", F.desc("importance"), "feature")
 
 
+@query
+def forest_nodes_check(spark, folder):
+    """Importances recomputed from both stored forests' nodes, against the trainer's own."""
+    data = _training_set(spark, folder)
+    frames = []
+    for trial, forest in (
+        ("baseline", training.train_baseline(data)),
+        ("refined", training.train_refined(data)),
+    ):
+        path = scratch_path(spark, f"forest_{trial}")
+        training.save_forest(forest, path)
+        nodes = forest_table.forest_nodes(spark, path, forest.features)
+        recomputed = forest_table.importances_from_nodes(nodes, forest.features)
+        own = forest.importance_frame(data).withColumnRenamed("importance", "own")
+        differs = ~F.coalesce(F.abs(F.col("importance") - F.col("own")) < 1e-9, F.lit(False))
+        trees = nodes.agg(F.count_distinct("tree")).first()[0]
+        checked = recomputed.join(own, "feature", "full").agg(
+            F.count("*").alias("features"),
+            F.count_if(differs).alias("differing"),
+            F.round(F.sum("importance"), 9).alias("total_importance"),
+        )
+        named = (F.lit(trial).alias("trial"), F.lit(trees).cast("bigint").alias("trees"))
+        frames.append(checked.select(*named, "*"))
+    return frames[0].unionByName(frames[1])
+
+
+@query
+def rf_threshold_eval(spark, folder):
+    """The served forest with a threshold chosen on the training split."""
+    data = _training_set(spark, folder)
+    forest = training.with_chosen_threshold(training.train_refined(data), data)
+    return _forest_eval(data, forest, accuracy=97, precision=90, recall=85)
+
+
 @query
 def model_alerts(spark, folder):
     w = warehouse(spark, folder)

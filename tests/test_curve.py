@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from riskweave.operators import curve as C
+from riskweave.operators import metrics as M
+from tests.conftest import rows
+
+SCHEMA = "id bigint, score double, label int"
+
+
+def by_hand(data):
+    """The counts at every threshold, each from all rows."""
+    known = [(s, y) for _, s, y in data if y is not None]
+    found = []
+    for t in {s for s, _ in known if s is not None and not math.isnan(s)}:
+        reached = [(s is not None and not math.isnan(s) and s >= t, y) for s, y in known]
+        tp, fp = reached.count((True, 1)), reached.count((True, 0))
+        fn, tn = reached.count((False, 1)), reached.count((False, 0))
+        recall = tp / (tp + fn) if tp + fn else 0.0
+        found.append((t, tp, fp, fn, tn, tp / (tp + fp), recall, 2 * tp / (2 * tp + fp + fn)))
+    return sorted(found, key=repr)
+
+
+def some_rows(n, seed):
+    """Scores with ties, a third of them equal; some unknown scores and labels."""
+    draw = random.Random(seed)
+    scores = lambda: draw.choice([0.5, draw.randrange(40) / 8, draw.random(), None, float("nan")])
+    return [(i, scores(), draw.choice([0, 0, 1, None])) for i in range(n)]
+
+
+@pytest.mark.parametrize("partitions", [1, 5, None])
+def test_curve_equals_counting_at_each_threshold(spark, partitions):
+    data = some_rows(400, 7)
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    got = C.precision_recall_curve(df, partitions=partitions)
+    assert rows(got) == by_hand(data)
+
+
+def test_ties_meet_before_the_order_is_sorted(spark):
+    data = [(i, 1.0, i % 2) for i in range(1000)] + [(1000, 2.0, 1)]
+    got = rows(C.precision_recall_curve(spark.createDataFrame(data, SCHEMA)), "threshold", "tp", "fp")
+    assert got == [(1.0, 501, 500), (2.0, 1, 0)]
+
+
+def test_columns_named_like_the_result_do_not_clash(spark):
+    df = spark.createDataFrame(
+        [(0.5, 1, 9.0, 9), (0.25, 0, 8.0, 8)], "score double, label int, threshold double, tp int"
+    )
+    got = rows(C.precision_recall_curve(df), "threshold", "tp", "fp")
+    assert got == [(0.25, 1, 1), (0.5, 1, 0)]
+
+
+def test_nothing_to_choose_from(spark):
+    for data in ([], [(1, None, 1)], [(1, 0.5, None)]):
+        found = C.precision_recall_curve(spark.createDataFrame(data, SCHEMA))
+        assert found.count() == 0 and C.best_threshold(found) is None
+
+
+def test_best_threshold(spark):
+    data = [(1, 0.9, 1), (2, 0.8, 1), (3, 0.7, 0), (4, 0.6, 0), (5, 0.5, 1), (6, 0.1, 0)]
+    found = C.precision_recall_curve(spark.createDataFrame(data, SCHEMA))
+    assert C.best_threshold(found) == 0.8
+    assert C.best_threshold(found, least_recall=1.0) == 0.5
+    # No positives: F1 is zero everywhere, and the highest threshold predicts least.
+    none = C.precision_recall_curve(spark.createDataFrame([(1, 0.2, 0), (2, 0.4, 0)], SCHEMA))
+    assert C.best_threshold(none) == 0.4
+
+
+def test_predictions_from_a_threshold(spark):
+    data = [(1, 0.5, 1), (2, 0.4, 1), (3, None, 1), (4, float("nan"), 0)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = rows(C.predicted_from(df, 0.5), "id", "prediction")
+    assert got == [(1, 1.0), (2, 0.0), (3, 0.0), (4, 0.0)]
+    assert {r.prediction for r in C.predicted_from(df, None).collect()} == {0.0}
+
+
+def test_metrics_by_flag(spark):
+    data = [("A,B", 1, 1), ("A", 1, 0), ("AB", 1, 1), ("", 0, 1), (None, 0, 0), ("B", 0, 1)]
+    df = spark.createDataFrame(data, "flags string, label int, prediction int")
+    assert rows(M.metrics_by_flag(df, ["A", "B", "C"])) == [
+        ("A", 1, 0, 1, 0, 0.5),
+        ("B", 1, 1, 0, 0, 1.0),
+        ("C", 0, 0, 0, 0, 0.0),
+    ]
