@@ -6,7 +6,7 @@ A check's result is one row: model, column, kind and the number of failing rows
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -146,18 +146,43 @@ def _as_rows(one_row: DataFrame, checks: list[Check]) -> DataFrame:
     return one_row.select(F.inline(F.array(*entries)))
 
 
-def _duplicated_keys(df: DataFrame, check: Check) -> DataFrame:
-    """Number of key values that occur more than once.
+def value_counts(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Number of rows per value of each of several different keys, from one scan.
 
-    Counted per task before the shuffle, so a value repeated very often arrives
-    as one row per task.
+    Rows are grouped by every key at once as grouping sets. Each row becomes one
+    row per key before the partial aggregation, where repeated values meet, so a
+    value repeated very often arrives as one row per task. ``_key`` says which
+    key a row belongs to; the columns of the other keys are null in it. Column
+    types stay as they are.
     """
-    keys = list(check.columns)
-    rows = df.select(*keys)
-    if check.kind == UNIQUE:
-        rows = rows.where(F.col(keys[0]).isNotNull())
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    return _as_rows(counts.agg(F.count_if(F.col("n") > 1).alias("c0")), [check])
+    names = list(dict.fromkeys(name for key in keys for name in key))
+    # Plain names: those of the frame may be any, and a grouping set names no expression.
+    plain = {name: f"_c{i}" for i, name in enumerate(names)}
+    narrow = df.select(*[F.col(f"`{name}`").alias(plain[name]) for name in names])
+    sets = [[F.col(plain[name]) for name in key] for key in keys]
+    counts = narrow.groupingSets(sets, *[F.col(p) for p in plain.values()]).agg(
+        F.grouping_id().alias("_absent"), F.count("*").alias("_n")
+    )
+    # The first column is the highest bit; a bit is set where the column is not of the set.
+    width = len(names)
+    masks = [sum(1 << (width - 1 - i) for i, n in enumerate(names) if n not in key) for key in keys]
+    number = F.coalesce(*[F.when(F.col("_absent") == m, i) for i, m in enumerate(masks)])
+    return counts.select(
+        number.alias("_key"), *[F.col(p).alias(name) for name, p in plain.items()], "_n"
+    )
+
+
+def _duplicated_keys(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Per check, the number of key values that occur more than once; one scan for all."""
+    keys = list(dict.fromkeys(tuple(sorted(check.columns)) for check in checks))
+    counts = value_counts(df, keys)
+    repeated = []
+    for i, check in enumerate(checks):
+        wrong = (F.col("_key") == keys.index(tuple(sorted(check.columns)))) & (F.col("_n") > 1)
+        if check.kind == UNIQUE:
+            wrong = wrong & F.col(f"`{check.columns[0]}`").isNotNull()
+        repeated.append(F.count_if(wrong).alias(f"c{i}"))
+    return _as_rows(counts.agg(*repeated), checks)
 
 
 def run_checks(
@@ -172,12 +197,11 @@ def run_checks(
     """
     stored = stored or {}
     by_model: dict[str, list[Check]] = {}
-    parts = []
+    keys: dict[str, list[Check]] = {}
     for check in checks:
-        if check.kind in (UNIQUE, UNIQUE_COMBO):
-            parts.append(_duplicated_keys(models[check.model], check))
-        else:
-            by_model.setdefault(check.model, []).append(check)
+        group = keys if check.kind in (UNIQUE, UNIQUE_COMBO) else by_model
+        group.setdefault(check.model, []).append(check)
+    parts = [_duplicated_keys(models[model], group) for model, group in keys.items()]
     for model, group in by_model.items():
         failing = [
             _type_failures(c, stored.get(model, models[model])) if c.kind == TYPE else _failing_rows(c)
@@ -299,25 +323,29 @@ def require_loaded_together(tables: Mapping[str, DataFrame], tolerance_seconds:
 
 
 def column_profile(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Minimum, maximum, distinct values and nulls per column.
+    """Minimum, maximum, distinct values and nulls per column, from one scan.
 
-    Each column is grouped by itself: only that column is read and shuffled, its
-    repeated values having met before the shuffle. Counting all distinct values
-    in one aggregate would send every row once per column, as wide as the table.
-    Values are compared in their own type and shown as text.
+    Values are counted per column before the shuffle (``value_counts``), so what
+    travels is a row per task and distinct value, one column wide. Counting all
+    distinct values in one plain aggregate would send every row once per column,
+    as wide as the table. Values are compared in their own type and shown as text.
     """
-    profiles = []
-    for name in columns:
-        value = F.col(name)
-        values = df.groupBy(value).agg(F.count("*").alias("_n"))
-        profiles.append(
-            values.agg(
+    columns = list(dict.fromkeys(columns))
+    counts = value_counts(df, [(name,) for name in columns])
+    figures = []
+    for i, name in enumerate(columns):
+        # Null in the rows of the other columns, so minimum and maximum see only this one.
+        value, own = F.col(f"`{name}`"), F.col("_key") == i
+        figures.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
                 F.min(value).cast("string").alias("min_value"),
                 F.max(value).cast("string").alias("max_value"),
                 F.count(value).alias("distinct_values"),
-                F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), F.lit(0)).alias(
+                F.coalesce(F.sum(F.when(own & value.isNull(), F.col("_n"))), F.lit(0)).alias(
                     "null_values"
                 ),
-            ).select(F.lit(name).alias("column_name"), "*")
+            ).alias(f"p{i}")
         )
-    return reduce(DataFrame.unionByName, profiles)
+    one_row = counts.agg(*figures)
+    return one_row.select(F.inline(F.array(*[f"p{i}" for i in range(len(columns))])))

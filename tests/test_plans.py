@@ -7,6 +7,7 @@ import io
 
 import pytest
 
+from riskweave.operators import quality as Q
 from riskweave.operators.features import enrich_for_rules
 from riskweave.operators.rules import apply_rules
 from riskweave.operators.skew import KeySkew, measure_skew
@@ -113,3 +114,18 @@ def test_top_customers_are_not_sorted_whole(warehouse):
 
     top = tree(top_risky_customers(rule_alerts(warehouse.scored_transactions)))
     assert "TakeOrderedAndProject" in top
+
+
+def test_profiles_and_key_checks_scan_once(spark):
+    customers = provided_sources(spark, f"{DATA}/sf0.001")["customers"]
+    for result in (
+        Q.column_profile(customers, customers.columns),
+        Q.run_checks(
+            {"m": customers},
+            [Q.Check("m", Q.UNIQUE, (c,)) for c in ("CustomerID", "HomeDevice", "HomeIP")],
+        ),
+    ):
+        nodes = tree(result)
+        assert nodes.count("Scan parquet") == 1
+        # One for the values, one for the single row of results.
+        assert nodes.count("Exchange") == 2

@@ -145,3 +145,48 @@ def test_row_checks_take_one_pass(spark):
     checks += [Q.Check("m", Q.BETWEEN, ("x",), 0, 5), Q.Check("m", Q.NOT_CONSTANT, ("x",))]
     plan = Q.run_checks({"m": df}, checks)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (") == 1
+
+
+def test_key_checks_of_a_model_share_counts(spark):
+    data = [(1, "x", 1), (1, "x", 2), (2, None, 2), (None, None, 3), (None, "y", 3)]
+    checks = [
+        Q.Check("m", Q.UNIQUE, ("a",)),
+        Q.Check("m", Q.UNIQUE, ("b",)),
+        Q.Check("m", Q.UNIQUE, ("c",)),
+        Q.Check("m", Q.UNIQUE_COMBO, ("a", "b")),
+        Q.Check("m", Q.UNIQUE_COMBO, ("b", "a")),
+        Q.Check("m", Q.UNIQUE_COMBO, ("a",)),
+    ]
+    found = Q.run_checks({"m": spark.createDataFrame(data, "a bigint, b string, c int")}, checks)
+    assert [r.failing_rows for r in found.collect()] == [1, 1, 2, 1, 1, 2]
+
+
+def test_values_counted_per_key(spark):
+    df = spark.createDataFrame([(1, "x"), (1, None), (None, "x")], "a bigint, b string")
+    got = rows(Q.value_counts(df, [("b",), ("a",), ("a", "b")]))
+    # Columns stand in the order in which the keys name them first.
+    assert got == sorted(
+        [
+            (0, "x", None, 2),
+            (0, None, None, 1),
+            (1, None, 1, 2),
+            (1, None, None, 1),
+            (2, "x", 1, 1),
+            (2, None, 1, 1),
+            (2, "x", None, 1),
+        ],
+        key=repr,
+    )
+
+
+def test_profile_of_odd_names_and_types(spark):
+    df = spark.createDataFrame(
+        [(2, True, at("03 12:30")), (10, None, None), (None, None, None)],
+        "`a b` int, `x.y` boolean, t timestamp_ntz",
+    )
+    assert rows(Q.column_profile(df, df.columns)) == [
+        ("a b", "2", "10", 2, 1),
+        ("t", "2024-01-03 12:30:00", "2024-01-03 12:30:00", 1, 2),
+        ("x.y", "true", "true", 1, 2),
+    ]
+    assert rows(Q.column_profile(df.limit(0), ["a b"])) == [("a b", None, None, 0, 0)]
