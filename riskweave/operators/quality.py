@@ -6,11 +6,13 @@ A check's result is one row: model, column, kind and the number of failing rows
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import CATEGORY_RISK, category_risk, or_false
@@ -212,6 +214,57 @@ def run_checks(
     return reduce(DataFrame.unionByName, parts)
 
 
+class ObservedChecks:
+    """Row-wise checks counted while a frame is written to where it has to go anyway.
+
+    A watched frame is not read for its checks: they are observed metrics of the
+    plan it is part of. A frame that a plan reads twice, or a task that runs
+    again, may count a failing row more than once; none failing stays zero, which
+    is what a gate asks for. Watch frames of a session made for it
+    (``session.sibling``).
+    """
+
+    def __init__(self) -> None:
+        self._watched: list[tuple[list[Check], Observation]] = []
+
+    @staticmethod
+    def can_watch(check: Check) -> bool:
+        return check.kind in (NOT_NULL, BETWEEN, IN_SET, NOT_CONSTANT)
+
+    def watch(self, df: DataFrame, checks: Iterable[Check]) -> DataFrame:
+        """``df``, its checks counted by the next action on it or on what is made from it."""
+        checks = list(checks)
+        if not checks:
+            return df
+        observation = Observation(f"checks_{uuid.uuid4().hex}")
+        self._watched.append((checks, observation))
+        counts = [_failing_rows(c).cast("bigint").alias(f"c{i}") for i, c in enumerate(checks)]
+        return df.observe(observation, *counts)
+
+    def found(self) -> dict[Check, int]:
+        """Failing rows per check that was counted; to be called after the actions.
+
+        Where Spark has proved a plan empty before it ran, it has no metrics to
+        give: its checks are not among the result.
+        """
+        counted = {}
+        for checks, observation in self._watched:
+            try:
+                metrics = observation.get
+            except Py4JJavaError:
+                continue
+            counted.update({c: metrics[f"c{i}"] for i, c in enumerate(checks)})
+        return counted
+
+    def require_passed(self, models: Mapping[str, DataFrame]) -> None:
+        """Raise if a watched check failed; those that no plan counted are run on ``models``."""
+        counted = self.found()
+        _raise_for([f"{c.model}.{c.label} {c.kind}" for c, rows in counted.items() if rows])
+        rest = [c for checks, _ in self._watched for c in checks if c not in counted]
+        if rest:
+            require_passed(run_checks(models, rest))
+
+
 def checks_of(*kinds: str) -> list[Check]:
     return [check for check in CHECKS if check.kind in kinds]
 
@@ -223,9 +276,12 @@ class QualityError(RuntimeError):
 def require_passed(results: DataFrame) -> None:
     """Raise if a check failed, so that a load can stop before publishing."""
     failed = results.where("failing_rows > 0").collect()  # at most one row per check
+    _raise_for([f"{r.model}.{r.column_name} {r.check_kind}" for r in failed])
+
+
+def _raise_for(failed: list[str]) -> None:
     if failed:
-        listed = ", ".join(f"{r.model}.{r.column_name} {r.check_kind}" for r in failed)
-        raise QualityError(f"{len(failed)} quality checks failed: {listed}")
+        raise QualityError(f"{len(failed)} quality checks failed: {', '.join(failed)}")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 from functools import cached_property
 
@@ -19,7 +19,8 @@ class Warehouse:
 
     ``run_ts`` stamps the load, ``as_of`` is the day account ages refer to; both
     are arguments, so a run can be repeated. Customers with more than
-    ``group_limit`` events are split over tasks.
+    ``group_limit`` events are split over tasks. ``watch`` gets each model on the
+    way to the marts, under the name its checks have, and gives it back observed.
     """
 
     def __init__(
@@ -28,28 +29,34 @@ class Warehouse:
         run_ts: datetime | str,
         as_of: date | str,
         group_limit: int = GROUP_LIMIT,
+        watch: Callable[[str, DataFrame], DataFrame] = lambda model, df: df,
     ) -> None:
         self.sources = dict(sources)
         self.loaded_at = layers.run_timestamp(run_ts)
         self.as_of = as_of
         self.group_limit = group_limit
+        self.watch = watch
 
     # landing
     @cached_property
     def landing_customer(self) -> DataFrame:
-        return layers.land_customers(self.sources["customers"], self.loaded_at)
+        landed = layers.land_customers(self.sources["customers"], self.loaded_at)
+        return self.watch("raw_customer", landed)
 
     @cached_property
     def landing_merchant(self) -> DataFrame:
-        return layers.land_merchants(self.sources["merchants"], self.loaded_at)
+        landed = layers.land_merchants(self.sources["merchants"], self.loaded_at)
+        return self.watch("raw_merchant", landed)
 
     @cached_property
     def landing_transaction(self) -> DataFrame:
-        return layers.land_transactions(self.sources["transactions"], self.loaded_at)
+        landed = layers.land_transactions(self.sources["transactions"], self.loaded_at)
+        return self.watch("raw_transaction", landed)
 
     @cached_property
     def landing_login_attempt(self) -> DataFrame:
-        return layers.land_login_attempts(self.sources["login_attempts"])
+        landed = layers.land_login_attempts(self.sources["login_attempts"])
+        return self.watch("raw_login_attempt", landed)
 
     # staging
     @cached_property
@@ -79,7 +86,7 @@ class Warehouse:
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return dims.merchant_dimension(self.stg_merchant)
+        return self.watch("dim_merchant", dims.merchant_dimension(self.stg_merchant))
 
     # facts
     @cached_property
@@ -88,12 +95,13 @@ class Warehouse:
 
     @cached_property
     def fact_login_attempt(self) -> DataFrame:
-        return facts.login_fact(self.stg_login_attempt)
+        return self.watch("fact_login_attempt", facts.login_fact(self.stg_login_attempt))
 
     # marts
     @cached_property
     def v_transaction(self) -> DataFrame:
-        return self._mart_of(self.stg_transaction)
+        # The fact is part of the mart and not built apart.
+        return self.watch("fact_transaction", self._mart_of(self.stg_transaction))
 
     def _mart_of(self, staged: DataFrame) -> DataFrame:
         return marts.transaction_mart(staged, self.customer_profile, self.dim_merchant)

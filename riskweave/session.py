@@ -53,6 +53,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sibling(spark: SparkSession) -> SparkSession:
+    """Another session of the same application, with the same settings.
+
+    For observed metrics: a session that has observed any cannot be serialised
+    afterwards, and models hold on to the session that trained them.
+    """
+    beside = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            beside.conf.set(key, value)
+    return beside
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

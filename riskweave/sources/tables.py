@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,12 +127,21 @@ def write_mart(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
-def publish_marts(spark: SparkSession, marts: Mapping[str, DataFrame], root: str) -> int:
-    """Publish several marts together: all of them are whole before any of them is seen."""
+def publish_marts(
+    spark: SparkSession,
+    marts: Mapping[str, DataFrame],
+    root: str,
+    accept: Callable[[], None] = lambda: None,
+) -> int:
+    """Publish several marts together: all of them are whole before any of them is seen.
+
+    ``accept`` is called once all are written; if it raises, none is ever seen.
+    """
 
     def write(folder: str) -> None:
         for name, df in marts.items():
             df.write.parquet(f"{folder}/{name}.parquet")
+        accept()
 
     return publish(spark, f"{root.rstrip('/')}/{TOGETHER}", write)
 
